@@ -44,10 +44,16 @@ def _measures() -> dict[str, Column]:
 
 
 def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with all measures, before the calendar; keeps ``event_id`` and ``k``."""
-    events = table(spark, sf_dir, "events")
-    keyed = events.withColumn("k", F.get_json_object("props", "$.k").cast("int"))
-    return keyed.select(
+    """Events with all measures, before the calendar; keeps ``event_id`` and ``k``.
+
+    ``json_tuple`` is a generator: the text is parsed once per row, however many
+    expressions use ``k``, while a scalar function would be repeated in each
+    filter that is pushed down.
+    """
+    events = table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value", F.json_tuple("props", "k").alias("k")
+    )
+    return events.withColumn("k", F.col("k").cast("int")).select(
         "event_id",
         "k",
         F.col("event_type").alias("city"),

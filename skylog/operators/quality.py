@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,10 +46,7 @@ def out_of_range(column: str, low: float | None = None, high: float | None = Non
     value = F.col(column)
     bounds = [value < low] if low is not None else []
     bounds += [value > high] if high is not None else []
-    broken = bounds[0]
-    for bound in bounds[1:]:
-        broken = broken | bound
-    return broken
+    return reduce(Column.__or__, bounds)
 
 
 def duplicate_stats(df: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
@@ -156,10 +154,7 @@ def dataset_profile(df: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
     One scan: counted per key, then per city, then overall.
     """
     city, timestamp = keys
-    nulls = [F.col(c).isNull().cast("bigint") for c in df.columns]
-    missing = nulls[0]
-    for one in nulls[1:]:
-        missing = missing + one
+    missing = reduce(Column.__add__, [F.col(c).isNull().cast("bigint") for c in df.columns])
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(missing).alias("_missing"))
     per_city = per_key.groupBy(city).agg(
         F.sum("_n").alias("_rows"),
@@ -202,10 +197,14 @@ def with_broken_rules(df: DataFrame, rules: dict[str, Column] | None = None, nam
 
 
 def split_by_rules(df: DataFrame, rules: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
-    """The rows that keep all constraints, and the others with the rules they break."""
-    judged = with_broken_rules(df, rules)
-    clean = F.size("broken_rules") == 0
-    return judged.where(clean).drop("broken_rules"), judged.where(~clean)
+    """The rows that keep all constraints, and the others with the rules they break.
+
+    The split is on the plain conditions; names are made only for the rows that
+    break something.
+    """
+    rules = fact_constraints() if rules is None else rules
+    broken = reduce(Column.__or__, rules.values())
+    return df.where(~F.coalesce(broken, F.lit(False))), with_broken_rules(df.where(broken), rules)
 
 
 def load_check(fact: DataFrame, expected_rows: int, expected_cities: int, keys: Sequence[str] = KEY) -> DataFrame:

@@ -1,0 +1,114 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows, ts
+from skylog.operators.joins import coverage, merge_one_to_one, missing_members, unexpected_members
+from skylog.operators.rows import clean_observations, concat_sources, drop_exact_duplicates, first_per_key
+
+T0, T1 = ts("2025-01-01T00:00"), ts("2025-01-01T01:00")
+LEFT, RIGHT = "city string, timestamp timestamp_ntz, a double", "city string, timestamp timestamp_ntz, b double"
+KEYS = ["city", "timestamp"]
+
+
+def test_merge_keeps_matches_and_missing_values(spark):
+    left = spark.createDataFrame([("x", T0, 1.0), ("x", T1, None), ("y", T0, 3.0)], LEFT)
+    right = spark.createDataFrame([("x", T0, 10.0), ("x", T1, 20.0), ("z", T0, 30.0)], RIGHT)
+    got = merge_one_to_one(left, right, KEYS)
+    assert got.columns == ["city", "timestamp", "a", "b"]
+    assert sorted(rows(got), key=str) == [("x", T0, 1.0, 10.0), ("x", T1, None, 20.0)]
+
+
+@pytest.mark.parametrize("side", ["left", "right"])
+def test_merge_refuses_a_repeated_key(spark, side):
+    once = [("x", T0, 1.0)]
+    twice = [("x", T0, 1.0), ("x", T0, 1.0)]
+    left = spark.createDataFrame(twice if side == "left" else once, LEFT)
+    right = spark.createDataFrame(twice if side == "right" else once, RIGHT)
+    with pytest.raises(Exception, match="not one-to-one"):
+        merge_one_to_one(left, right, KEYS).collect()
+
+
+def test_merge_refuses_a_repeated_key_that_matches_nothing(spark):
+    left = spark.createDataFrame([("x", T0, 1.0), ("x", T0, 2.0)], LEFT)
+    right = spark.createDataFrame([("y", T0, 1.0)], RIGHT)
+    with pytest.raises(Exception, match="not one-to-one"):
+        merge_one_to_one(left, right, KEYS).collect()
+
+
+def test_merge_refuses_repeated_null_keys_even_when_they_are_dropped_later(spark):
+    left = spark.createDataFrame([("x", None, 1.0), ("x", None, 2.0), ("x", T0, 3.0)], LEFT)
+    right = spark.createDataFrame([("x", T0, 1.0)], RIGHT)
+    with pytest.raises(Exception, match="not one-to-one"):
+        merge_one_to_one(left, right, KEYS).na.drop(subset=["timestamp"]).collect()
+    with pytest.raises(Exception, match="not one-to-one"):
+        merge_one_to_one(left, right, KEYS).where(F.col("timestamp") == F.lit(T0).cast("timestamp_ntz")).collect()
+
+
+def test_one_null_key_per_side_is_dropped_by_cleaning(spark):
+    left = spark.createDataFrame([("x", None, 1.0), ("x", T0, 3.0)], LEFT)
+    right = spark.createDataFrame([("x", None, 1.0), ("x", T0, 4.0)], RIGHT)
+    got = clean_observations(merge_one_to_one(left, right, KEYS), unique=True)
+    assert [(r.city, r.timestamp, r.a, r.b) for r in got.collect()] == [("x", T0, 3.0, 4.0)]
+
+
+def test_merge_refuses_shared_value_columns(spark):
+    left = spark.createDataFrame([("x", T0, 1.0)], LEFT)
+    with pytest.raises(ValueError, match="both sides"):
+        merge_one_to_one(left, left, KEYS)
+
+
+def test_merge_matches_brute_force(spark):
+    rng = random.Random(7)
+    keys = [(c, ts(f"2025-01-{d:02d}T{h:02d}:00")) for c in "abc" for d in range(1, 11) for h in range(24)]
+    a = {k: rng.random() for k in keys if rng.random() < 0.7}
+    b = {k: rng.random() for k in keys if rng.random() < 0.7}
+    left = spark.createDataFrame([(*k, v) for k, v in a.items()], LEFT)
+    right = spark.createDataFrame([(*k, v) for k, v in b.items()], RIGHT)
+    assert sorted(rows(merge_one_to_one(left, right, KEYS))) == sorted((*k, a[k], b[k]) for k in a.keys() & b.keys())
+
+
+def test_members_ignore_nulls_and_copies(spark):
+    expected = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "city string")
+    actual = spark.createDataFrame([("b",), ("c",), ("c",), (None,)], "city string")
+    assert rows(missing_members(expected, actual, ["city"])) == [("a",)]
+    assert rows(unexpected_members(expected, actual, ["city"])) == [("c",)]
+
+
+def test_coverage_adds_up_records(spark):
+    expected = spark.createDataFrame([("a",), ("b",), ("c",)], "city string")
+    landed = spark.createDataFrame([("a", 2), ("a", 3), ("b", None), ("z", 9)], "city string, n int")
+    assert sorted(rows(coverage(expected, landed, ["city"], "n"))) == [("a", True, 5), ("b", True, 0), ("c", False, 0)]
+
+
+def test_concat_goes_by_name_and_keeps_copies(spark):
+    one = spark.createDataFrame([("x", 1)], "city string, n int")
+    two = spark.createDataFrame([(1, "x")], "n int, city string")
+    assert rows(concat_sources([one, two])) == [("x", 1), ("x", 1)]
+    assert rows(drop_exact_duplicates(concat_sources([one, two]))) == [("x", 1)]
+
+
+def test_clean_drops_orders_and_enriches(spark):
+    df = spark.createDataFrame([("b", T0, 1.0), ("a", T1, 2.0), ("a", T0, 3.0), ("a", T0, 3.0), ("a", None, 9.0)], LEFT)
+    got = clean_observations(df)
+    assert [(r.city, r.timestamp, r.a) for r in got.collect()] == [("a", T0, 3.0), ("a", T1, 2.0), ("b", T0, 1.0)]
+    assert got.columns == ["city", "timestamp", "a", "date", "year", "month", "day", "hour", "day_of_week"]
+
+
+def test_first_per_key_is_decided_by_the_order(spark):
+    df = spark.createDataFrame([("x", 2, "late"), ("x", 1, "early"), ("y", 5, "only")], "k string, o int, v string")
+    assert sorted(rows(first_per_key(df, ["k"], [F.asc("o")]))) == [("x", 1, "early"), ("y", 5, "only")]
+
+
+def test_first_per_key_cuts_a_hot_key_before_the_shuffle(spark):
+    df = spark.range(1000).select((F.col("id") % 3 > 0).alias("k"), "id")
+    plan = first_per_key(df, ["k"], [F.asc("id")])._jdf.queryExecution().toString()
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_empty_input(spark):
+    left, right = spark.createDataFrame([], LEFT), spark.createDataFrame([], RIGHT)
+    assert rows(clean_observations(merge_one_to_one(left, right, KEYS))) == []
