@@ -35,7 +35,7 @@ def clean_observations(df: DataFrame, unique: bool = False, ordered: bool = True
     return kept.orderBy(*KEY) if ordered else kept
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The first row of every key in the given order.
 
     Spark keeps one row per key and task before it shuffles (window group

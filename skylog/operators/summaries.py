@@ -22,7 +22,7 @@ from skylog.functions.numeric import count_rows, mean, peak, percentage, total
 def group_summary(obs: DataFrame, keys: Sequence[str] = ("city",), threshold: float = 100.0) -> DataFrame:
     """Level and pollutants per group, and how often the level exceeds the threshold."""
     above = F.count_if(F.col("us_aqi") > F.lit(threshold))
-    suffix = f"{threshold:g}"
+    suffix = f"{threshold:g}".replace(".", "_")
     return obs.groupBy(*keys).agg(
         count_rows("hourly_observations"),
         mean("us_aqi", "avg_aqi"),
@@ -124,7 +124,7 @@ def hours_per_range(obs: DataFrame, keys: Sequence[str] = ("city",), level: str
 def exceedance(obs: DataFrame, keys: Sequence[str] = ("city",), level: str = "us_aqi", threshold: float = 100.0) -> DataFrame:
     """Hours above a threshold and their share, most hours first."""
     above = F.count_if(F.col(level) > F.lit(threshold))
-    suffix = f"{threshold:g}"
+    suffix = f"{threshold:g}".replace(".", "_")
     return (
         obs.groupBy(*keys)
         .agg(
