@@ -16,7 +16,7 @@ from checks.bindings import (
     table,
     yearly_observations,
 )
-from skylog.functions import parse_timestamp, slug, with_calendar, without_nan
+from skylog.functions import parse_timestamp, slug, wall_clock, with_calendar, without_nan
 from skylog.operators import joins, quality, rankings, rows, summaries
 from skylog.plans import views
 from skylog.plans.export import export
@@ -300,7 +300,7 @@ def rows_by_city(spark, sf):
 
 def _spoilt(spark, sf):
     """Observations with values out of range and some keys repeated."""
-    obs = raw_observations(spark, sf)
+    obs = raw_observations(spark, sf, parse_once=True)
     spoilt = obs.withColumns(
         {
             "relative_humidity_2m": obs.relative_humidity_2m * 1.25 - 5.0,
@@ -348,7 +348,7 @@ def _appended(spark, sf):
     """A table with the first half of the month at a higher level, then a batch with everything twice."""
     obs = observations(spark, sf)
     path = scratch_path(spark, "fact")
-    early = obs.where(F.col("timestamp") < F.lit(datetime(2024, 1, 16)).cast("timestamp_ntz"))
+    early = obs.where(F.col("timestamp") < wall_clock(datetime(2024, 1, 16)))
     rebuild_fact(early.withColumn("us_aqi", early.us_aqi + 1000.0), path)
     batch = rows.concat_sources([obs.withColumn("us_aqi", obs.us_aqi + 500.0), obs])
     return append_new(batch, path, [F.asc(m) for m in MEASURES]), path

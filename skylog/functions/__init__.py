@@ -8,7 +8,7 @@ from skylog.functions.bands import (
 )
 from skylog.functions.numeric import count_rows, mean, peak, percentage, round2, total, without_nan
 from skylog.functions.text import slug
-from skylog.functions.time import parse_timestamp, with_calendar
+from skylog.functions.time import parse_timestamp, wall_clock, with_calendar
 
 __all__ = [
     "AQI_CATEGORIES",
@@ -25,6 +25,7 @@ __all__ = [
     "round2",
     "slug",
     "total",
+    "wall_clock",
     "with_calendar",
     "without_nan",
 ]

@@ -6,6 +6,8 @@ an hour skipped by a daylight-saving change in the session zone stays itself.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,11 @@ def parse_timestamp(text: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
 
+def wall_clock(moment: datetime) -> Column:
+    """Literal of a wall-clock time; a plain literal would pass through the zones of Python and session."""
+    return F.lit(moment.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def with_calendar(df: DataFrame, timestamp: str = "timestamp") -> DataFrame:
     """Add date, year, month, day, hour and English day name."""
     ts = F.col(timestamp)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skylog.functions.numeric import round2
+from skylog.functions.time import wall_clock
 from skylog.operators.joins import missing_members, unexpected_members
 from skylog.schemas import (
     CALENDAR_RANGES,
@@ -27,9 +28,13 @@ from skylog.session import small_frame
 
 @dataclass(frozen=True)
 class Expectations:
-    """What a complete dataset looks like; the defaults are the configured year and cities."""
+    """What a complete dataset looks like; the defaults are the configured year and cities.
 
-    cities: tuple[str, ...] = tuple(name for name, _, _ in LOCATIONS)
+    ``cities`` may be a frame with a column ``city`` instead, for more names
+    than a driver should list.
+    """
+
+    cities: tuple[str, ...] | DataFrame = tuple(name for name, _, _ in LOCATIONS)
     start: datetime | None = datetime(2025, 1, 1, 0, 0)
     end: datetime | None = datetime(2025, 12, 31, 23, 0)
     columns: tuple[str, ...] = FACT_COLUMNS
@@ -85,10 +90,10 @@ def quality_report(df: DataFrame, expected: Expectations = Expectations()) -> Da
 def _value_checks(df: DataFrame, expected: Expectations) -> DataFrame:
     checks: dict[str, Column] = {"valid_timestamps": F.count_if(F.col("timestamp").isNull())}
     if expected.start is not None:
-        start = F.min("timestamp").eqNullSafe(F.lit(expected.start).cast("timestamp_ntz"))
+        start = F.min("timestamp").eqNullSafe(wall_clock(expected.start))
         checks["starts_as_expected"] = F.when(start, 0).otherwise(1).cast("bigint")
     if expected.end is not None:
-        end = F.max("timestamp").eqNullSafe(F.lit(expected.end).cast("timestamp_ntz"))
+        end = F.max("timestamp").eqNullSafe(wall_clock(expected.end))
         checks["ends_as_expected"] = F.when(end, 0).otherwise(1).cast("bigint")
     for column in expected.percent:
         checks[f"percent_{column}"] = F.count_if(out_of_range(column, 0, 100))
@@ -107,7 +112,7 @@ def _key_checks(df: DataFrame, expected: Expectations) -> DataFrame:
         .groupBy(city)
         .agg(_sum_if(repeated, F.col("_n")).alias("_repeated"), F.lit(True).alias("_actual"))
     )
-    wanted = _expected_cities(df.sparkSession, expected).select(
+    wanted = expected_cities(df.sparkSession, expected).select(
         F.col("city").alias(city), F.lit(True).alias("_expected")
     )
     both = actual.join(wanted, city, "full_outer")
@@ -207,7 +212,7 @@ def split_by_rules(df: DataFrame, rules: dict[str, Column] | None = None) -> tup
     return df.where(~F.coalesce(broken, F.lit(False))), with_broken_rules(df.where(broken), rules)
 
 
-def load_check(fact: DataFrame, expected_rows: int, expected_cities: int, keys: Sequence[str] = KEY) -> DataFrame:
+def load_check(fact: DataFrame, expected_rows: int, city_count: int, keys: Sequence[str] = KEY) -> DataFrame:
     """State of a loaded table against expected rows and cities and unique keys, as one row."""
     city, timestamp = keys
     per_city = (
@@ -231,21 +236,24 @@ def load_check(fact: DataFrame, expected_rows: int, expected_cities: int, keys:
     )
     good = (
         (F.col("rows") == F.col("expected_rows"))
-        & (F.col("cities") == expected_cities)
+        & (F.col("cities") == city_count)
         & (F.col("duplicate_groups") == 0)
     )
     return state.withColumn("passed", good)
 
 
-def _expected_cities(spark: SparkSession, expected: Expectations) -> DataFrame:
+def expected_cities(spark: SparkSession, expected: Expectations) -> DataFrame:
+    """The expected cities as a frame, each once."""
+    if isinstance(expected.cities, DataFrame):
+        return expected.cities.select("city").distinct()
     return small_frame(spark, [(c,) for c in expected.cities], "city string")
 
 
 def missing_cities(df: DataFrame, expected: Expectations = Expectations()) -> DataFrame:
     """Expected cities without a row, by name."""
-    return missing_members(_expected_cities(df.sparkSession, expected), df, ["city"]).orderBy("city")
+    return missing_members(expected_cities(df.sparkSession, expected), df, ["city"]).orderBy("city")
 
 
 def unexpected_cities(df: DataFrame, expected: Expectations = Expectations()) -> DataFrame:
     """Cities that occur but are not expected, by name."""
-    return unexpected_members(_expected_cities(df.sparkSession, expected), df, ["city"]).orderBy("city")
+    return unexpected_members(expected_cities(df.sparkSession, expected), df, ["city"]).orderBy("city")

@@ -8,6 +8,7 @@ from skylog.sources.payloads import (
     parse_payloads,
     payload_problems,
     read_payloads,
+    read_texts,
     split_file_name,
 )
 from skylog.sources.tables import read_csv_lenient, read_csv_strict, read_fact, row_count, table_exists
@@ -25,6 +26,7 @@ __all__ = [
     "read_csv_strict",
     "read_fact",
     "read_payloads",
+    "read_texts",
     "row_count",
     "split_file_name",
     "table_exists",

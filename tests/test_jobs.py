@@ -86,3 +86,32 @@ def test_location_lookup_is_broadcast_because_it_is_small(spark, processed):
     joined = with_location(read_fact(spark, processed[0]), locations(spark), "city")
     assert "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
     assert joined.where(joined.slug != slug(joined.city)).count() == 0
+
+
+def test_command_line(spark, full_year, tmp_path, capsys):
+    from skylog.__main__ import main
+
+    weather, air = map(str, full_year)
+    table, fact = str(tmp_path / "table"), str(tmp_path / "fact")
+    assert main(["transform", "--weather", weather, "--air-quality", air, "--output", table], spark) == 0
+    assert main(["validate", "--input", table], spark) == 0
+    assert main(["validate", "--input", table, "--end", "2026-01-01T00:00"], spark) == 1
+    assert main(["load", "--input", table, "--fact", fact], spark) == 0
+    assert main(["analyze", "--fact", fact, "--question", "city_rank", "vw_city_air_quality_summary"], spark) == 0
+    assert main(["export", "--fact", fact, "--output", str(tmp_path / "out")], spark) == 0
+    assert main(["coverage", "--payloads", weather, "--source", "weather"], spark) == 0
+    out = capsys.readouterr().out
+    assert "failed checks: 1" in out and "aqi_rank" in out
+
+
+def test_locations_from_a_file(spark, full_year, tmp_path):
+    from skylog.__main__ import main
+
+    listed = tmp_path / "locations.csv"
+    listed.write_text("city,latitude,longitude\nDenver,39.7392,-104.9903\n")
+    table = str(tmp_path / "table")
+    options = ["--locations", str(listed)]
+    main(["transform", "--weather", str(full_year[0]), "--air-quality", str(full_year[1]), "--output", table, *options], spark)
+    assert read_fact(spark, table).count() == 8760
+    assert main(["validate", "--input", table, *options], spark) == 0
+    assert main(["load", "--input", table, "--fact", str(tmp_path / "fact"), *options], spark) == 0

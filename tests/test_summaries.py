@@ -4,6 +4,8 @@ import random
 from collections import defaultdict
 from datetime import timedelta
 
+from pyspark.sql import functions as F
+
 from conftest import rows, ts
 from skylog.functions import rain_label, with_calendar
 from skylog.functions.bands import WIND_BANDS
@@ -60,9 +62,9 @@ def test_group_without_any_level_comes_first(spark):
 
 
 def test_bands_are_ordered_by_their_lowest_value(spark):
-    df = obs(spark, 1.0)
-    winds = spark.createDataFrame([(22.0,), (3.0,), (12.0,), (None,)], "w double")
-    df = df.drop("wind_speed_10m").crossJoin(winds.withColumnRenamed("w", "wind_speed_10m"))
+    winds = [22.0, 3.0, 12.0, None]
+    df = obs(spark, 0.0, 1.0, 2.0, 3.0)
+    df = df.withColumn("wind_speed_10m", F.element_at(F.array(*map(F.lit, winds)), F.col("hour") + 1))
     got = summaries.by_band(df, "wind_speed_10m", WIND_BANDS, "wind_speed_group").collect()
     assert [(r.wind_speed_group, r.observations) for r in got] == [("0-5", 1), ("10-15", 1), ("20+", 2)]
     assert "_lowest" not in got[0].asDict()
