@@ -43,21 +43,10 @@ def _measures() -> dict[str, Column]:
     }
 
 
-def raw_observations(spark: SparkSession, sf_dir: str, parse_once: bool = False) -> DataFrame:
-    """Events with all measures, before the calendar; keeps ``event_id`` and ``k``.
-
-    A query that uses no ``k`` drops the parsing of ``props`` altogether. One
-    that filters on many expressions of ``k`` repeats it in each of them as the
-    filter is pushed down; ``parse_once`` has a generator do it, which is kept.
-    """
-    events = table(spark, sf_dir, "events")
-    if parse_once:
-        events = events.select(
-            "event_id", "ts", "user_id", "event_type", "value", F.json_tuple("props", "k").alias("k")
-        )
-    else:
-        events = events.withColumn("k", F.get_json_object("props", "$.k"))
-    return events.withColumn("k", F.col("k").cast("int")).select(
+def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with all measures, before the calendar; keeps ``event_id`` and ``k``."""
+    keyed = table(spark, sf_dir, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int"))
+    return keyed.select(
         "event_id",
         "k",
         F.col("event_type").alias("city"),

@@ -298,6 +298,11 @@ ORACLES: dict[str, str] = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "ingestion_coverage": """SELECT o_orderkey, o_orderpriority, count(l_orderkey) > 0 AS landed, count(l_orderkey) AS records
         FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_orderkey, o_orderpriority""",
+    "ingestion_totals": """SELECT count(*) AS members, count(*) FILTER (WHERE records > 0) AS landed,
+        count(*) FILTER (WHERE records = 0) AS absent, CAST(sum(records) AS BIGINT) AS records
+        FROM (SELECT o_orderkey, count(l_orderkey) AS records FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey
+          GROUP BY o_orderkey)""",
+    "merged_observations": f"WITH {OBS} SELECT {FACT_TEXT} FROM obs",
     "merge_one_to_one": """SELECT o_orderkey, o_totalprice, o_orderpriority, lines, max_quantity
         FROM orders JOIN (SELECT l_orderkey, count(*) AS lines, max(l_quantity) AS max_quantity
           FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey""",

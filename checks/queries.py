@@ -21,7 +21,7 @@ from skylog.operators import joins, quality, rankings, rows, summaries
 from skylog.plans import views
 from skylog.plans.export import export
 from skylog.plans.load import load
-from skylog.plans.transform import observations_from_payloads
+from skylog.plans.transform import merge_sources, observations_from_payloads
 from skylog.schemas import AIR_MEASURES, FACT_COLUMNS, MEASURES, WEATHER_MEASURES
 from skylog.session import materialise, scratch_path
 from skylog.sinks import append_new, rebuild_fact, write_csv
@@ -233,6 +233,20 @@ def ingestion_coverage(spark, sf):
     return joins.coverage(orders, lines, ["o_orderkey"], "lines")
 
 
+@query("ingestion_totals")
+def ingestion_totals(spark, sf):
+    return joins.coverage_totals(ingestion_coverage(spark, sf))
+
+
+@query("merged_observations")
+def merged_observations(spark, sf):
+    """The two halves of the measures put together again, with the calendar."""
+    obs = raw_observations(spark, sf)
+    weather = obs.select("city", "timestamp", *WEATHER_MEASURES)
+    air = obs.select("city", "timestamp", *AIR_MEASURES)
+    return rows.clean_observations(merge_sources(weather, air), unique=True, ordered=False).select(*FACT_COLUMNS)
+
+
 @query("merge_one_to_one")
 def merge_one_to_one(spark, sf):
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority")
@@ -300,7 +314,7 @@ def rows_by_city(spark, sf):
 
 def _spoilt(spark, sf):
     """Observations with values out of range and some keys repeated."""
-    obs = raw_observations(spark, sf, parse_once=True)
+    obs = raw_observations(spark, sf)
     spoilt = obs.withColumns(
         {
             "relative_humidity_2m": obs.relative_humidity_2m * 1.25 - 5.0,

@@ -72,9 +72,13 @@ def _sum_if(condition: Column, value: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, value)), F.lit(0))
 
 
-def quality_report(df: DataFrame, expected: Expectations = Expectations()) -> DataFrame:
+def quality_report(
+    df: DataFrame, expected: Expectations = Expectations(), rules: dict[str, Column] | None = None
+) -> DataFrame:
     """One row per check: ``check, violations, passed``.
 
+    With ``rules`` the rows that break any of them are one more check.
+
     Missing columns end the report, since the other checks need them. The value
     checks share one pass without a shuffle of rows; uniqueness and the city
     sets share a second one that reads the key columns only.
@@ -84,10 +88,10 @@ def quality_report(df: DataFrame, expected: Expectations = Expectations()) -> Da
     columns_row = small_frame(spark, [("required_columns", len(missing), not missing)], REPORT_SCHEMA)
     if missing:
         return columns_row
-    return columns_row.unionByName(_key_checks(df, expected)).unionByName(_value_checks(df, expected))
+    return columns_row.unionByName(_key_checks(df, expected)).unionByName(_value_checks(df, expected, rules))
 
 
-def _value_checks(df: DataFrame, expected: Expectations) -> DataFrame:
+def _value_checks(df: DataFrame, expected: Expectations, rules: dict[str, Column] | None) -> DataFrame:
     checks: dict[str, Column] = {"valid_timestamps": F.count_if(F.col("timestamp").isNull())}
     if expected.start is not None:
         start = F.min("timestamp").eqNullSafe(wall_clock(expected.start))
@@ -99,6 +103,8 @@ def _value_checks(df: DataFrame, expected: Expectations) -> DataFrame:
         checks[f"percent_{column}"] = F.count_if(out_of_range(column, 0, 100))
     for column in expected.non_negative:
         checks[f"non_negative_{column}"] = F.count_if(out_of_range(column, 0))
+    if rules:
+        checks["row_constraints"] = F.count_if(breaks_any(rules))
     return _as_rows(df.agg(*[c.alias(name) for name, c in checks.items()]), checks)
 
 
@@ -194,6 +200,11 @@ def fact_constraints() -> dict[str, Column]:
     return rules
 
 
+def breaks_any(rules: dict[str, Column]) -> Column:
+    """True for a row that breaks a constraint; a condition that is null is not broken."""
+    return F.coalesce(reduce(Column.__or__, rules.values()), F.lit(False))
+
+
 def with_broken_rules(df: DataFrame, rules: dict[str, Column] | None = None, name: str = "broken_rules") -> DataFrame:
     """Add the names of the constraints a row breaks; a condition that is null is not broken."""
     rules = fact_constraints() if rules is None else rules
@@ -204,12 +215,16 @@ def with_broken_rules(df: DataFrame, rules: dict[str, Column] | None = None, nam
 def split_by_rules(df: DataFrame, rules: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """The rows that keep all constraints, and the others with the rules they break.
 
-    The split is on the plain conditions; names are made only for the rows that
-    break something.
+    The verdict is the output of a generator, and the filters are on that. As a
+    plain filter, one condition over all columns would be pushed below every
+    projection, its expressions repeated, and the optimizer would derive it
+    anew for each subset of the renamed columns. Names are made only for the
+    rows that break something.
     """
     rules = fact_constraints() if rules is None else rules
-    broken = reduce(Column.__or__, rules.values())
-    return df.where(~F.coalesce(broken, F.lit(False))), with_broken_rules(df.where(broken), rules)
+    judged = df.select("*", F.explode(F.array(breaks_any(rules))).alias("_broken"))
+    valid = judged.where(~F.col("_broken")).drop("_broken")
+    return valid, with_broken_rules(judged.where("_broken").drop("_broken"), rules)
 
 
 def load_check(fact: DataFrame, expected_rows: int, city_count: int, keys: Sequence[str] = KEY) -> DataFrame:

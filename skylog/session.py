@@ -19,7 +19,8 @@ def build_session(app: str = "skylog", master: str | None = None, conf: dict[str
 
     Adaptive execution does the sizing: it coalesces small shuffle partitions,
     splits skewed join and rebalance partitions, and turns a join into a
-    broadcast only after it has measured the side at run time.
+    broadcast only after it has measured the side at run time. Call sites of
+    columns are not recorded, which takes longer than planning most queries.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",
@@ -27,6 +28,7 @@ def build_session(app: str = "skylog", master: str | None = None, conf: dict[str
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.sql.timestampType": "TIMESTAMP_NTZ",
         "spark.ui.enabled": "false",
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **(conf or {}),
     }
     builder = SparkSession.builder.appName(app)

@@ -11,11 +11,19 @@ from skylog.sources.payloads import (
     read_texts,
     split_file_name,
 )
-from skylog.sources.tables import read_csv_lenient, read_csv_strict, read_fact, row_count, table_exists
+from skylog.sources.tables import (
+    find_fact,
+    read_csv_lenient,
+    read_csv_strict,
+    read_fact,
+    row_count,
+    table_exists,
+)
 
 __all__ = [
     "PayloadFolder",
     "explode_payloads",
+    "find_fact",
     "fill_null_arrays",
     "landed_files",
     "latest_files",

@@ -75,6 +75,18 @@ def test_newest_run_of_each_city_by_full_slug(spark, tmp_path):
     assert values == {"York": 2.0, "York North": 3.0}
 
 
+def test_unusual_city_names(spark, tmp_path):
+    names = ["Zürich", "St. John's", "Foz do Iguaçu 100%", "A+B %41"]
+    for i, name in enumerate(names):
+        file = f"{name.lower().replace(' ', '_')}_2025-01-01_to_2025-01-01_20260101_000000.json"
+        write_payload(tmp_path, file, payload(TIMES, AIR_MEASURES, i))
+    folder = PayloadFolder(str(tmp_path), AIR_MEASURES)
+    read = read_payloads(spark, folder, cities(spark, *names))
+    assert {r.city: r.hourly.pm2_5[0] for r in read.collect()} == {n: float(i) for i, n in enumerate(names)}
+    report = ingestion_coverage(spark, folder, cities(spark, *names))
+    assert sorted(rows(report)) == sorted((n, True, 3) for n in names)
+
+
 def test_same_modification_time_goes_by_run_stamp(spark, tmp_path):
     for stamp in ("20260101_000000", "20260102_000000"):
         path = write_payload(tmp_path, f"york_2025-01-01_to_2025-01-01_{stamp}.json", payload(TIMES, AIR_MEASURES))
