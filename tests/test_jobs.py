@@ -1,18 +1,27 @@
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows, ts
+from conftest import hours, payload, rows, ts, write_payload
 from skylog.functions import slug
-from skylog.operators.quality import verdict
 from skylog.plans.export import export
 from skylog.plans.load import load
-from skylog.plans.transform import transform
+from skylog.plans.transform import observations_from_payloads, transform
 from skylog.plans.validate import validate
 from skylog.plans.views import QUESTIONS, VIEWS, register_views
-from skylog.schemas import FACT_COLUMNS, LOCATIONS
-from skylog.sources import locations, read_csv_lenient, read_csv_strict, read_fact, with_location
+from skylog.schemas import AIR_MEASURES, FACT_COLUMNS, LOCATIONS, WEATHER_MEASURES
+from skylog.sources import (
+    PayloadFolder,
+    locations,
+    read_csv_lenient,
+    read_csv_strict,
+    read_fact,
+    read_payloads,
+    with_location,
+)
 
 
 def fingerprint(df):
@@ -72,10 +81,6 @@ def test_load_views_questions_and_export(spark, processed, tmp_path):
 
 
 def test_the_merge_shuffles_rows_once(spark, full_year):
-    from skylog.plans.transform import observations_from_payloads
-    from skylog.schemas import AIR_MEASURES, WEATHER_MEASURES
-    from skylog.sources import PayloadFolder, read_payloads
-
     weather, air = map(str, full_year)
     cities = locations(spark)
     plan = observations_from_payloads(
@@ -92,30 +97,29 @@ def test_location_lookup_is_broadcast_because_it_is_small(spark, processed):
     assert joined.where(joined.slug != slug(joined.city)).count() == 0
 
 
-def test_command_line(spark, full_year, tmp_path, capsys):
+def test_command_line(spark, tmp_path, capsys):
     from skylog.__main__ import main
 
-    weather, air = map(str, full_year)
-    table, fact = str(tmp_path / "table"), str(tmp_path / "fact")
-    assert main(["transform", "--weather", weather, "--air-quality", air, "--output", table], spark) == 0
-    assert main(["validate", "--input", table], spark) == 0
-    assert main(["validate", "--input", table, "--end", "2026-01-01T00:00"], spark) == 1
-    assert main(["load", "--input", table, "--fact", fact], spark) == 0
+    names = ["Denver", "New York"]
+    times = hours(datetime(2025, 3, 8), 48)
+    for i, name in enumerate(names):
+        file = f"{name.lower().replace(' ', '_')}_2025-03-08_to_2025-03-09_20260101_000000.json"
+        write_payload(tmp_path / "weather", file, payload(times, WEATHER_MEASURES, 10 + i))
+        write_payload(tmp_path / "air", file, payload(times, AIR_MEASURES, 20 + i))
+    listed = tmp_path / "locations.csv"
+    listed.write_text("city,latitude,longitude\nDenver,39.7392,-104.9903\nNew York,40.7128,-74.0060\n")
+    weather, air, table, fact = (str(tmp_path / n) for n in ("weather", "air", "table", "fact"))
+    cities = ["--locations", str(listed)]
+    bounds = ["--start", "2025-03-08T00:00", "--end", "2025-03-09T23:00"]
+
+    assert main(["transform", "--weather", weather, "--air-quality", air, "--output", table, *cities], spark) == 0
+    assert main(["validate", "--input", table, *cities, *bounds], spark) == 0
+    assert main(["validate", "--input", table, *cities], spark) == 1
+    assert main(["load", "--input", table, "--fact", fact, *cities, *bounds], spark) == 0
     assert main(["analyze", "--fact", fact, "--question", "city_rank", "vw_city_air_quality_summary"], spark) == 0
     assert main(["export", "--fact", fact, "--output", str(tmp_path / "out")], spark) == 0
-    assert main(["coverage", "--payloads", weather, "--source", "weather"], spark) == 0
+    assert main(["coverage", "--payloads", weather, "--source", "weather", *cities], spark) == 0
     out = capsys.readouterr().out
-    assert "failed checks: 1" in out and "aqi_rank" in out
-
-
-def test_locations_from_a_file(spark, full_year, tmp_path):
-    from skylog.__main__ import main
-
-    listed = tmp_path / "locations.csv"
-    listed.write_text("city,latitude,longitude\nDenver,39.7392,-104.9903\n")
-    table = str(tmp_path / "table")
-    options = ["--locations", str(listed)]
-    main(["transform", "--weather", str(full_year[0]), "--air-quality", str(full_year[1]), "--output", table, *options], spark)
-    assert read_fact(spark, table).count() == 8760
-    assert main(["validate", "--input", table, *options], spark) == 0
-    assert main(["load", "--input", table, "--fact", str(tmp_path / "fact"), *options], spark) == 0
+    assert "failed checks: 2" in out and "aqi_rank" in out
+    # The night the clocks change has all its hours.
+    assert read_fact(spark, fact).count() == 96
