@@ -44,34 +44,41 @@ def worst_hours(obs: DataFrame, columns: Sequence[str] = HOUR_COLUMNS, level: st
     return obs.select(*columns).orderBy(F.desc_nulls_first(level), "city", "timestamp").limit(limit)
 
 
-def rank_groups(obs: DataFrame, keys: Sequence[str] = ("city",), level_step: float = 1.0) -> DataFrame:
+def rank_groups(obs: DataFrame, keys: Sequence[str] = ("city",)) -> DataFrame:
     """Rank of every group by its unrounded average level, worst first, equal ones sharing a rank.
 
-    A rank over everything would send all groups to one task. Here the averages
-    are written once, equal ones are counted together, and the counts are added
-    up in two steps: over the whole steps of the level (``floor(avg / level_step)``,
-    a few hundred rows for an index) and within each step. A group's rank is
-    then looked up by its average.
+    A rank over everything would send all groups to one task. Here equal
+    averages are counted together and range-partitioned, worst first; a rank is
+    one more than the groups in earlier ranges and those ahead in the same
+    range. A range holds its share of the distinct averages, and the window
+    over all ranges sees one row of each. Both steps are written down: the
+    averages because two branches use them, the ranges because their numbers
+    must not change.
     """
     averages = materialise(
-        obs.groupBy(*keys)
-        .agg(F.avg("us_aqi").alias("_level"), mean("pm2_5", "avg_pm2_5"), mean("pm10", "avg_pm10"))
-        .withColumn("_step", F.floor(F.col("_level") / F.lit(level_step))),
+        obs.groupBy(*keys).agg(
+            F.avg("us_aqi").alias("_level"), mean("pm2_5", "avg_pm2_5"), mean("pm10", "avg_pm10")
+        ),
         "group-averages",
     )
-    levels = averages.groupBy("_step", "_level").agg(F.count(F.lit(1)).alias("_groups"))
-    steps = levels.groupBy("_step").agg(F.sum("_groups").alias("_groups"))
+    levels = materialise(
+        averages.groupBy("_level")
+        .agg(F.count(F.lit(1)).alias("_groups"))
+        .repartitionByRange(F.desc_nulls_first("_level"))
+        .withColumn("_range", F.spark_partition_id()),
+        "ranged-averages",
+    )
 
     def ahead(window):
         return F.coalesce(F.sum("_groups").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
-    step_start = steps.select("_step", ahead(Window.orderBy(F.desc_nulls_first("_step"))).alias("_before"))
-    in_step = Window.partitionBy("_step").orderBy(F.desc_nulls_first("_level"))
+    ranges = levels.groupBy("_range").agg(F.sum("_groups").alias("_groups"))
+    before = ranges.select("_range", ahead(Window.orderBy("_range")).alias("_before"))
+    within = ahead(Window.partitionBy("_range").orderBy(F.desc_nulls_first("_level")))
     ranks = (
-        levels.withColumn("_within", ahead(in_step))
-        .alias("l")
-        .join(step_start.alias("s"), F.expr("l._step <=> s._step"))
-        .select(F.col("l._level").alias("_ranked"), (F.expr("_before + _within") + 1).alias("aqi_rank"))
+        levels.withColumn("_within", within)
+        .join(before, "_range")
+        .select(F.col("_level").alias("_ranked"), (F.col("_before") + F.col("_within") + 1).alias("aqi_rank"))
     )
     return (
         averages.join(ranks, averages._level.eqNullSafe(ranks._ranked))

@@ -160,5 +160,9 @@ def test_rank_matches_brute_force(spark):
     data = [(c, start, v, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 0.0) for c, v in levels.items()]
     df = with_calendar(spark.createDataFrame(data, SCHEMA))
     want = {c: 1 + sum(w > v for w in levels.values()) for c, v in levels.items()}
-    for step in (1.0, 50.0):
-        assert {r.city: r.aqi_rank for r in rankings.rank_groups(df, level_step=step).collect()} == want
+    for coalesce in ("true", "false"):  # one range, and as many as there are shuffle partitions
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+        try:
+            assert {r.city: r.aqi_rank for r in rankings.rank_groups(df).collect()} == want
+        finally:
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
