@@ -277,9 +277,9 @@ ORACLES: dict[str, str] = {
         'wind_speed_10m' AS variable FROM events WHERE event_type = 'view' GROUP BY 1, 2""",
     "payload_required_keys": """SELECT event_type AS city, event_id // 1000 AS chunk, 'missing' AS problem,
         'ozone' AS variable FROM events WHERE event_type = 'click' GROUP BY 1, 2""",
-    "parse_timestamp_lenient": f"""WITH {RAW}, texts AS (
-          SELECT event_id, CASE WHEN k < 10 THEN 'not a time' WHEN k < 20 THEN NULL
-            ELSE CAST("timestamp" AS VARCHAR) END AS t FROM raw)
+    "parse_timestamp_lenient": """WITH texts AS (
+          SELECT event_id, CASE event_type WHEN 'error' THEN 'not a time' WHEN 'signup' THEN NULL
+            ELSE CAST(ts AS VARCHAR) END AS t FROM events)
         SELECT event_id, CAST(TRY_CAST(t AS TIMESTAMP) AS VARCHAR) AS "timestamp"
         FROM texts WHERE TRY_CAST(t AS TIMESTAMP) IS NOT NULL""",
     "calendar_features": f"""SELECT o_orderkey, CAST(date AS VARCHAR) AS date, year, month, day, hour, day_of_week

@@ -154,15 +154,15 @@ def payload_required_keys(spark, sf):
 
 @query("parse_timestamp_lenient")
 def parse_timestamp_lenient(spark, sf):
-    obs = raw_observations(spark, sf)
-    text = obs.timestamp.cast("string")
+    events = table(spark, sf, "events")
+    text, kind = events.ts.cast("string"), events.event_type
     spoilt = (
-        F.when(obs.k < 10, F.lit("not a time"))
-        .when(obs.k < 20, F.lit(None).cast("string"))
-        .when(obs.k < 50, F.replace(text, F.lit(" "), F.lit("T")))
+        F.when(kind == "error", F.lit("not a time"))
+        .when(kind == "signup", F.lit(None).cast("string"))
+        .when(kind == "view", F.replace(text, F.lit(" "), F.lit("T")))
         .otherwise(text)
     )
-    parsed = obs.select("event_id", parse_timestamp(spoilt).alias("timestamp"))
+    parsed = events.select("event_id", parse_timestamp(spoilt).alias("timestamp"))
     return parsed.na.drop(subset=["timestamp"])
 
 
