@@ -24,8 +24,8 @@ from skylog.llm.common import attach, materialise, null_safe
 WEIGHTS = (5, 2, 1)
 # A source's target stops at this many times its size.
 MOST = 3
-# Size classes per doubling; a source has at most about 30 * CLASSES * 16 cells.
-CLASSES = 4
+# Size classes per doubling are two to the power of this. With 16 salts a source has some thousand cells, however long it is.
+CLASS_BITS = 4
 
 
 def words(text: Column) -> Column:
@@ -63,14 +63,14 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 
 
 def size_class(size: Column) -> Column:
-    """Classes that grow with the size, ``CLASSES`` to a doubling, from the digits of the number alone.
+    """Classes that grow with the size, from the digits of the number alone.
 
     The highest power of two and the next bits below it: no logarithm whose last
     digit could differ from one machine to the next.
     """
     bits = F.length(F.bin(size))
-    top = F.greatest(bits - F.lit(3), F.lit(0))
-    return (bits * F.lit(2 * CLASSES) + F.call_function("shiftright", size.cast("long"), top)).cast("int")
+    top = F.greatest(bits - F.lit(CLASS_BITS + 1), F.lit(0))
+    return (bits * F.lit(2 << CLASS_BITS) + F.call_function("shiftright", size.cast("long"), top)).cast("int")
 
 
 def copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", seed: str = "mix", weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:

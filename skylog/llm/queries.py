@@ -42,7 +42,7 @@ ORACLES = {
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
                    substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 1) AS salt FROM documents),
         c AS (SELECT *, length(bin(size)) AS bits FROM d),
-        k AS (SELECT *, bits * 8 + (size >> greatest(bits - 3, 0)) AS class FROM c),
+        k AS (SELECT *, bits * 32 + (size >> greatest(bits - 5, 0)) AS class FROM c),
         s AS (SELECT source, sum(size)::BIGINT AS source_size FROM k GROUP BY source),
         w AS (SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][(row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1] AS weight,
                      (source_size * 3)::DOUBLE AS lim FROM s),
