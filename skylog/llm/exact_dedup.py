@@ -37,7 +37,9 @@ def frequent_digests(rows: DataFrame, counters: int = COUNTERS, winners: int = W
     by_task = rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGES)).alias("task")).agg(
         F.expr(f"approx_top_k_accumulate(xxhash64(digest), {counters})").alias("sketch")
     )
-    merged = by_task.agg(F.expr(f"approx_top_k_combine(sketch, {counters})").alias("sketch"))
+    # Grouped by a constant, not global: a partition without sketches then adds nothing, where a global
+    # merge would start from an empty sketch of no type.
+    merged = by_task.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {counters})").alias("sketch"))
     top = merged.select(F.expr(f"explode(approx_top_k_estimate(sketch, {winners}))").alias("top"))
     return top.select(F.col("top.item").alias("hash"), F.col("top.count").alias("estimate"))
 
