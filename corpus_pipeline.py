@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skylog.llm import exact_dedup, mixing
+from skylog.llm import exact_dedup, mixing, probminhash
 from skylog.llm.common import materialise, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -21,12 +21,21 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.drop_duplicates(docs)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that links of 0.8 or more join, the one with the smallest id stays."""
+    return probminhash.one_of_each(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as its source's target weight asks for."""
     return mixing.mix(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("exact dedup", drop_copies), ("mixing", mix_sources)]
+STAGES: list[tuple[str, Stage]] = [
+    ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("mixing", mix_sources),
+]
 
 # A learned score, near duplicates and BPE are beyond SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skylog.session import materialise, scratch_path
 
-__all__ = ["arrow_rows", "attach", "lower_ascii", "materialise", "null_safe", "scratch_path", "table"]
+__all__ = ["arrow_rows", "attach", "importable", "lower_ascii", "materialise", "null_safe_join", "scratch_path", "table"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -26,8 +27,28 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on keys that may be null; keys come from the left, and so do columns of the same name."""
+    spare = [c for c in right.columns if c not in left.columns]
+    renamed = right.select(*[F.col(k).alias(f"_right_{k}") for k in keys], *([] if how.startswith("left_") else spare))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers that see this folder import the library from it, wherever the driver was started.
+
+    On a cluster whose machines do not see it, hand the library to
+    ``spark-submit --py-files``.
+    """
+    import skylog
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(skylog.__file__)))
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([p for p in known if p] + [root])
+    return spark
 
 
 def arrow_rows(df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]], schema: str, rows: int = 256) -> DataFrame:
@@ -51,6 +72,7 @@ def arrow_rows(df: DataFrame, work: Callable[[dict[str, list]], dict[str, list]]
                 made = work({n: part.column(i).to_pylist() for i, n in enumerate(part.schema.names)})
                 yield pa.RecordBatch.from_arrays([pa.array(made[f.name], f.type) for f in target], schema=target)
 
+    importable(df.sparkSession)
     return df.mapInArrow(run, parsed)
 
 
@@ -63,20 +85,14 @@ def attach(rows: DataFrame, decisions: DataFrame, keys: list[str], how: str = "i
     repeated keys pass the window; all other rows take the plain join.
     """
     spare = [c for c in decisions.columns if c not in keys]
-    counted = decisions.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_lines"), *[F.first(c).alias(f"_{c}") for c in spare]
-    )
-    single = counted.where("_lines = 1")
-    plain = rows.join(single, null_safe(rows, single, keys), how).select(
-        *[rows[c] for c in rows.columns], *[single[f"_{c}"].alias(c) for c in spare]
-    )
-    repeated = counted.where("_lines > 1")
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*(spare or keys))).alias("_place")
-    lines = decisions.join(repeated, null_safe(decisions, repeated, keys), "left_semi").select(*decisions.columns, place)
-    several = rows.join(repeated, null_safe(rows, repeated, keys), "left_semi")
+    counted = decisions.groupBy(*keys).agg(F.count(F.lit(1)).alias("_lines"), *[F.first(c).alias(c) for c in spare])
+    plain = null_safe_join(rows, counted.where("_lines = 1").drop("_lines"), keys, how)
+
+    repeated = counted.where("_lines > 1").select(*keys)
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*(spare or keys)))
+    lines = null_safe_join(decisions, repeated, keys, "left_semi").withColumn("_place", place)
     order = [c for c, kind in rows.dtypes if not kind.startswith(("map", "variant"))]
-    several = several.withColumn("_place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    paired = several.join(lines, null_safe(several, lines, [*keys, "_place"]), "inner").select(
-        *[several[c] for c in rows.columns], *[lines[c] for c in spare]
-    )
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    several = null_safe_join(rows, repeated, keys, "left_semi").withColumn("_place", place)
+    paired = null_safe_join(several, lines, [*keys, "_place"]).drop("_place")
     return plain.unionByName(paired)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skylog.llm.common import attach, materialise, null_safe
+from skylog.llm.common import attach, materialise, null_safe_join
 
 # Weights by place of the source in code point order, null last, repeating.
 WEIGHTS = (5, 2, 1)
@@ -96,15 +96,11 @@ def copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     targets = source_targets(sizes, weights, most)
     line = Window.partitionBy("source").orderBy("class", "salt")
     starts = cells.withColumn("start", F.sum("cell_rows").over(line) - F.col("cell_rows"))
-    starts = starts.join(targets, null_safe(starts, targets, ["source"])).select(
-        starts["source"], "class", "salt", "start", "source_size", "target"
-    )
+    starts = null_safe_join(starts, targets, ["source"]).select("source", "class", "salt", "start", "source_size", "target")
 
     within = Window.partitionBy("source", "class", "salt").orderBy("size", "doc_id")
     placed = rows.withColumn("nth", F.row_number().over(within).cast("long"))
-    placed = placed.join(starts, null_safe(placed, starts, ["source", "class", "salt"])).select(
-        "doc_id", placed["source"], "size", "source_size", "target", (F.col("start") + F.col("nth")).alias("place")
-    )
+    placed = null_safe_join(placed, starts, ["source", "class", "salt"]).withColumn("place", F.col("start") + F.col("nth"))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = unit_hash(F.concat(F.lit(seed), F.lit(":"), F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))))
     crossed = F.floor(F.col("place") * rate + offset) - F.floor((F.col("place") - 1) * rate + offset)
@@ -122,6 +118,6 @@ def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", s
     keyed = docs.withColumns(
         {"_mix_id": F.col(id_column), "_mix_source": F.col(source_column).cast("string"), "_mix_size": words(F.col(text_column))}
     )
-    taken = attach(keyed, lines.where("_mix_copies > 0"), ["_mix_id", "_mix_source", "_mix_size"])
+    taken = attach(keyed, lines, ["_mix_id", "_mix_source", "_mix_size"]).where("_mix_copies > 0")
     each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies"))).alias("_mix_copy")
     return taken.select(*docs.columns, each).drop("_mix_copy")

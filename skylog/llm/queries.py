@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylog.llm import exact_dedup, mixing, warc
+from skylog.llm import exact_dedup, mixing, probminhash, warc
 from skylog.llm.common import table
 
 
@@ -15,6 +15,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = mixing.copies(table(spark, sf_dir, "documents"))
     return lines.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -25,7 +29,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op9_mixing, op10_warc)
+    f.__name__: f for f in (op2_exact_dedup, op5_probminhash, op9_mixing, op10_warc)
 }
 
 ORACLES = {
