@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skylog.llm import exact_dedup, mixing, probminhash
+from skylog.llm import bpe, exact_dedup, mixing, probminhash
 from skylog.llm.common import materialise, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -31,10 +32,16 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A line per mixed document: ``doc_id, n_tokens, ids_sha256, decoded_sha256, ids``."""
+    return bpe.round_trip_digests(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("exact dedup", drop_copies),
     ("near dedup", drop_near_copies),
     ("mixing", mix_sources),
+    ("bpe", encode),
 ]
 
 # A learned score, near duplicates and BPE are beyond SQL; tests/llm holds the stages against brute force.

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylog.llm import exact_dedup, mixing, probminhash, warc
-from skylog.llm.common import table
+from skylog.llm import bpe, exact_dedup, mixing, probminhash, simple8b, warc
+from skylog.llm.common import scratch_path, table
+
+
+def op1_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    simple8b.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return simple8b.token_checksums(spark, path)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +26,10 @@ def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = mixing.copies(table(spark, sf_dir, "documents"))
     return lines.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -29,7 +40,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_exact_dedup, op5_probminhash, op9_mixing, op10_warc)
+    f.__name__: f for f in (op1_simple8b, op2_exact_dedup, op5_probminhash, op7_bpe, op9_mixing, op10_warc)
 }
 
 ORACLES = {
