@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylog.llm import bpe, exact_dedup, mixing, probminhash, simple8b, warc
+from skylog.llm import bpe, exact_dedup, mixing, probminhash, simple8b, vector_forest, warc
 from skylog.llm.common import scratch_path, table
 
 
@@ -22,6 +22,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op3_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_forest.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -40,7 +44,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simple8b, op2_exact_dedup, op5_probminhash, op7_bpe, op9_mixing, op10_warc)
+    f.__name__: f for f in (op1_simple8b, op2_exact_dedup, op3_forest, op5_probminhash, op7_bpe, op9_mixing, op10_warc)
 }
 
 ORACLES = {
@@ -52,6 +56,21 @@ ORACLES = {
                row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
         FROM t WINDOW w AS (PARTITION BY text_sha256)
     """,
+    "op3_forest": """
+        WITH RECURSIVE n AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM n a JOIN n b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+              WHERE list_cosine_similarity(a.v, b.v) >= 0.98::DOUBLE),
+        r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+        c AS (SELECT x, min(least(x, y)) AS component_id FROM r GROUP BY x),
+        k AS (SELECT x, count(DISTINCT y) AS n_links FROM l GROUP BY x)
+        SELECT e.vec_id, coalesce(k.n_links, 0) AS n_links, coalesce(c.component_id, e.vec_id) AS component_id,
+               coalesce(c.component_id, e.vec_id) = e.vec_id AS kept
+        FROM embeddings e LEFT JOIN k ON k.x = e.vec_id LEFT JOIN c ON c.x = e.vec_id
+    """,
     "op9_mixing": """
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
