@@ -11,12 +11,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skylog.llm import bpe, exact_dedup, mixing, probminhash
+from skylog.llm import bpe, exact_dedup, mixing, probminhash, toxicity
 from skylog.llm.common import materialise, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents not predicted toxic by a model that the labelled ones among them train."""
+    model = toxicity.train(toxicity.learning_rows(docs, table(spark, sf_dir, "labels")))
+    return toxicity.drop_toxic(docs, model)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal text the one with the largest id stays."""
     return exact_dedup.drop_duplicates(docs)
@@ -38,6 +44,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
     ("exact dedup", drop_copies),
     ("near dedup", drop_near_copies),
     ("mixing", mix_sources),

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylog.llm import bpe, exact_dedup, mixing, probminhash, simple8b, vector_forest, warc
+from skylog.llm import bpe, exact_dedup, mixing, probminhash, simple8b, toxicity, vector_forest, warc
 from skylog.llm.common import scratch_path, table
 
 
@@ -34,6 +34,12 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(toxicity.learning_rows(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score_documents(docs, model)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = mixing.copies(table(spark, sf_dir, "documents"))
     return lines.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
@@ -44,7 +50,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simple8b, op2_exact_dedup, op3_forest, op5_probminhash, op7_bpe, op9_mixing, op10_warc)
+    f.__name__: f for f in (op1_simple8b, op2_exact_dedup, op3_forest, op5_probminhash, op7_bpe, op8_toxicity, op9_mixing, op10_warc)
 }
 
 ORACLES = {
