@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylog.llm import bpe, exact_dedup, mixing, probminhash, simple8b, toxicity, vector_forest, warc
+from skylog.llm import bpe, exact_dedup, mixing, pii_crf, probminhash, simple8b, toxicity, vector_forest, warc
 from skylog.llm.common import scratch_path, table
 
 
@@ -26,6 +26,10 @@ def op3_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_forest.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op4_pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_crf.personal_data_digest(pii_crf.find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -50,7 +54,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simple8b, op2_exact_dedup, op3_forest, op5_probminhash, op7_bpe, op8_toxicity, op9_mixing, op10_warc)
+    f.__name__: f for f in (op1_simple8b, op2_exact_dedup, op3_forest, op4_pii_crf, op5_probminhash, op7_bpe, op8_toxicity, op9_mixing, op10_warc)
 }
 
 ORACLES = {
