@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylog.llm import bpe, exact_dedup, mixing, pii_crf, probminhash, simple8b, toxicity, vector_forest, warc
+from skylog.llm import bpe, exact_dedup, licenses, mixing, pii_crf, probminhash, simple8b, toxicity, vector_forest, warc
 from skylog.llm.common import scratch_path, table
 
 
@@ -34,6 +34,11 @@ def op5_probminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return probminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.recognise(table(spark, sf_dir, "documents"))
+    return found.withColumn("licences", F.array_join("licences", ","))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -54,7 +59,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simple8b, op2_exact_dedup, op3_forest, op4_pii_crf, op5_probminhash, op7_bpe, op8_toxicity, op9_mixing, op10_warc)
+    f.__name__: f for f in (op1_simple8b, op2_exact_dedup, op3_forest, op4_pii_crf, op5_probminhash, op6_licenses, op7_bpe, op8_toxicity, op9_mixing, op10_warc)
 }
 
 ORACLES = {
@@ -81,6 +86,7 @@ ORACLES = {
                coalesce(c.component_id, e.vec_id) = e.vec_id AS kept
         FROM embeddings e LEFT JOIN k ON k.x = e.vec_id LEFT JOIN c ON c.x = e.vec_id
     """,
+    "op6_licenses": licenses.oracle_sql(),
     "op9_mixing": """
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
