@@ -107,6 +107,8 @@ server <ip>10.20.30.40</ip> is down
 from <ip>192.168.1.77</ip> at night
 host <ip>2001:db8:85a3::8a2e:370:7334</ip> answered
 ping <ip>fe80::1ff:fe23:4567:890a</ip> again
+peer <ip>2001:db8::1</ip> replied
+node <ip>2a00:1450:4001:81b::200e</ip> is up
 address <ip>203.0.113.9</ip> was blocked
 the meeting is on 2024-01-15 at 12:30 in room 204
 version 1.2.3 fixes 45 bugs in 10.15.7
@@ -179,7 +181,9 @@ def _features(text: str, run: list[Token], i: int) -> list[str]:
         return (_shape(token.rstrip(_TRAIL[:6])), len(_digits(token))) if len(token) <= LONGEST else ("long", 20)
 
     shape, digits = own(i)
-    made = [f"shape={shape}", f"digits={min(digits, 20)}", f"both={shape}/{digits}", f"marks={''.join(c for c in shape if c not in 'dxX')}"]
+    marks = "".join(c for c in shape if c not in "dxX")
+    made = [f"shape={shape}", f"digits={min(digits, 20)}", f"both={shape}/{digits}", f"marks={marks}"]
+    made.append(f"kinds={''.join(sorted(set(marks)))}/{min(len(marks), 3)}")
     for name, j in (("before", i - 1), ("after", i + 1)):
         if 0 <= j < len(run):
             other, count = own(j)

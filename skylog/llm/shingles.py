@@ -91,7 +91,7 @@ def weighted_shingles(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarra
     first = np.repeat(np.cumsum(counts) - counts, counts)
     left = first + counts[owner] - np.arange(n)  # words from here to the end of the text
     sums = np.zeros(n, _U)
-    for k in range(words):
+    for k in range(min(words, n)):
         part = hashes[k:] * _U(pow(_BASE, k + 1, 1 << 64))
         sums[: n - k] += np.where(left[: n - k] > k, part, _U(0)) if k else part
     starts = (left >= words) | (np.arange(n) == first)

@@ -1,0 +1,170 @@
+from __future__ import annotations
+
+import hashlib
+import os
+import shutil
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as driver
+import corpus_pipeline
+from checks.compare import connect
+from skylog.llm import mixing, queries, warc
+from tests_llm_helpers import compare_with_sql
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def connection():
+    return connect(SF)
+
+
+@pytest.mark.parametrize("name", sorted(set(queries.ORACLES) - {"op6_licenses"}))
+def test_query_agrees_with_its_sql(spark, connection, name):
+    assert compare_with_sql(spark, connection, name, SF) is None
+
+
+def test_one_query_per_operator():
+    assert [int(n.split("_")[0][2:]) for n in queries.QUERIES] == list(range(1, 11))
+    assert set(queries.QUERIES) | {"pipeline"} <= set(driver.queries())
+
+
+def test_native_plans_have_no_python(spark):
+    for name in ("op2_exact_dedup", "op9_mixing"):
+        plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "BroadcastNestedLoopJoin"))
+
+
+def filled(sizes, weights, most=3):
+    """Share out by weight, stop at the limit, share the rest out again, until none is above."""
+    total, open_sources = sum(sizes.values()), set(sizes)
+    target = {}
+    while True:
+        weighing = sum(weights[s] for s in open_sources)
+        share = {s: (total - sum(target.values())) * weights[s] / weighing for s in open_sources}
+        over = {s for s in open_sources if share[s] > most * sizes[s]}
+        if not over:
+            return {**target, **share}
+        target.update({s: most * sizes[s] for s in over})
+        open_sources -= over
+
+
+def test_targets(spark):
+    sizes = {"a": 10, "b": 1000, "c": 5, "d": 0, "e": 400, "Z": 90, "é": 3, None: 2000}
+    frame = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    names = sorted((s for s in sizes if s is not None)) + [None]
+    weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    got = {r.source: r.target for r in mixing.source_targets(frame).collect()}
+    assert got == pytest.approx(filled(sizes, weights))
+    assert sum(got.values()) == pytest.approx(sum(sizes.values()))
+
+
+def test_mix_comes_near_its_targets(spark):
+    docs = spark.range(6000).selectExpr(
+        "id AS doc_id", "repeat('word ', cast(1 + (id * 7919) % 97 AS int)) AS text",
+        "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 7 = 0 THEN NULL ELSE 's' || id % 5 END AS source",
+    )
+    lines = mixing.copies(docs).cache()
+    assert lines.count() == 6000
+    for r in lines.groupBy("source").agg(F.sum(F.col("copies") * F.col("size")).alias("taken"), F.first("target").alias("target"), F.max("copies").alias("most"), F.sum("size").alias("size"), F.first("source_size").alias("stated")).collect():
+        assert r.taken == pytest.approx(r.target, rel=0.03) and r.most <= 3 and r.size == r.stated
+    again = mixing.copies(docs.repartition(7)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, lines.collect()))
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and mixed.count() == lines.agg(F.sum("copies")).first()[0]
+
+
+def test_copies_are_boundaries_crossed(spark):
+    docs = spark.range(40).selectExpr("id AS doc_id", "'one two' AS text", "CASE WHEN id < 30 THEN 'a' ELSE 'b' END AS source")
+    lines = mixing.copies(docs).groupBy("source").agg(F.sum("copies").alias("n"), F.first("target").alias("t")).collect()
+    assert all(abs(r.n - r.t / 2) < 1 for r in lines)
+
+
+def test_mix_edge_cases(edge, nothing):
+    lines = mixing.copies(edge).collect()
+    assert len(lines) == 10
+    sizes = {r.doc_id: r.size for r in lines}
+    assert sizes[9] == sizes[1] == sizes[2] == 0 and sizes[5] == 200_000 and sizes[6] == 1
+    assert all(r.copies <= 3 for r in lines)
+    assert mixing.mix(edge).columns == edge.columns
+    assert mixing.mix(edge).count() == sum(r.copies for r in lines)
+    assert mixing.copies(nothing).count() == 0 and mixing.mix(nothing).count() == 0
+
+
+def plain_record(page_id, url, payload, kind, refers):
+    digest = hashlib.sha1(payload).hexdigest()
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page_id}>", f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{digest}"]
+    if kind == "revisit":
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers}>"]
+    lines += ["Content-Type: text/html", f"Content-Length: {0 if kind == 'revisit' else len(payload)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + (b"" if kind == "revisit" else payload) + b"\r\n\r\n"
+
+
+PAGES = [
+    (1, "http://a/1", "é" * 600), (2, "http://a/2", "é" * 600), (5, "http://a/5", "é" * 600), (5, "http://a/5", "é" * 600),
+    (3, "http://a/3", "short"), (4, "http://a/4", "short"), (6, None, None), (7, "http://a/7\r\nWARC-Type: x", ""), (None, "u", "é" * 600),
+]
+
+
+@pytest.fixture
+def archive(spark, tmp_path):
+    path = str(tmp_path / "archive")
+    pages = spark.createDataFrame([(*p, b"p", "a", 1) for p in PAGES], "page_id long, url string, html string, payload binary, address string, row int")
+    warc.write_archive(pages, path)
+    return path
+
+
+def test_archive_keeps_each_payload_once(spark, archive):
+    assert spark.read.parquet(f"{archive}/payloads").count() == 3
+    assert spark.read.parquet(f"{archive}/records").count() == len(PAGES)
+
+
+def test_records_come_back_byte_for_byte(spark, archive):
+    big = ("é" * 600).encode()
+    expected = [
+        (1, plain_record(1, "http://a/1", big, "revisit", 5)), (2, plain_record(2, "http://a/2", big, "revisit", 5)),
+        (5, plain_record(5, "http://a/5", big, "response", None)), (5, plain_record(5, "http://a/5", big, "revisit", 5)),
+        (3, plain_record(3, "http://a/3", b"short", "response", None)), (4, plain_record(4, "http://a/4", b"short", "response", None)),
+        (6, plain_record(6, "", b"", "response", None)), (7, plain_record(7, "http://a/7%0D%0AWARC-Type: x", b"", "response", None)),
+        (None, plain_record("null", "u", big, "revisit", 5)),
+    ]
+    got = [(r.page_id, bytes(r.record)) for r in warc.original_records(spark, archive).collect()]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+
+
+def test_a_spoilt_payload_is_noticed(spark, archive, tmp_path):
+    spoilt = str(tmp_path / "spoilt")
+    shutil.copytree(os.path.join(archive, "records"), os.path.join(spoilt, "records"))
+    stored = spark.read.parquet(f"{archive}/payloads")
+    stored.withColumn("payload", F.concat("payload", F.lit(b"!"))).write.parquet(f"{spoilt}/payloads")
+    with pytest.raises(Exception, match="does not match its address"):
+        warc.read_archive(spark, spoilt).collect()
+    missing = str(tmp_path / "missing")
+    shutil.copytree(os.path.join(archive, "records"), os.path.join(missing, "records"))
+    stored.limit(1).write.parquet(f"{missing}/payloads")
+    with pytest.raises(Exception, match="missing"):
+        warc.read_archive(spark, missing).collect()
+
+
+def test_empty_archive(spark):
+    assert warc.archive_round_trip(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_pipeline_stages(spark, documents):
+    """Each stage keeps what its operator says, all but the last with the columns of documents."""
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact dedup", "near dedup", "mixing", "bpe"]
+    docs = documents
+    kept = []
+    for place, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        made = stage(spark, docs, SF)
+        if place < 4:
+            assert made.columns == documents.columns
+        docs = made.cache()
+        kept.append(docs.count())
+    lowered = {}
+    for r in documents.collect():
+        lowered.setdefault(r.text.lower(), []).append(r.doc_id)
+    assert kept[0] <= documents.count() and kept[1] <= len(lowered) and kept[2] <= kept[1] and kept[3] == kept[4]
+    assert corpus_pipeline.run(spark, SF).count() == kept[4]
