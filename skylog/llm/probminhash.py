@@ -9,8 +9,9 @@ soon as its next arrival is later than the latest component, which leaves little
 more than one arrival for most.
 
 Bands of the signature give buckets. A bucket is not turned into all its pairs:
-each member is held against the bucket's smallest, and verified links make
-components; then only members of different components that share a bucket are
+each member is held against one of them, the one that shares most with others (of
+edited copies that is the text they were made from, if it is there), and verified
+links make components; then only members of different components that share a bucket are
 compared, by signature within the task, and what may be similar is verified.
 """
 
@@ -29,8 +30,8 @@ THRESHOLD = 0.8
 SIZE = 256
 # 42 bands of 6: a pair at 0.8 shares no bucket with a probability of 3e-6, one at 0.3 shares one with 0.03.
 ROWS = 6
-# Signature agreement below which a pair is not verified: eight standard deviations under the threshold.
-MAYBE = 0.6
+# Signature agreement below which a pair is not verified: four standard deviations under the threshold.
+MAYBE = 0.7
 # Members of a bucket that are compared at once; larger buckets go block against block.
 BLOCK = 1024
 
@@ -191,12 +192,15 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     signed = worded.join(heads, "doc_id", "left_semi").select("doc_id", "bands", "signature")
 
     banded = signed.select("doc_id", F.explode("bands").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low != high")
-    hits = materialise(banded.join(shared.select("bucket", "low"), "bucket").select("bucket", "doc_id", "low"), "buckets")
-    involved = hits.select("doc_id").distinct()
-    texts = materialise(given.join(involved, "doc_id", "left_semi"), "texts")
-
-    stars = hits.where("doc_id != low").select(F.col("doc_id").alias("a"), F.col("low").alias("b")).distinct()
+    shared = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    hits = materialise(banded.join(shared, "bucket"), "buckets")
+    standing = hits.groupBy("doc_id").agg(F.sum("size").alias("standing"))
+    texts = materialise(given.join(standing, "doc_id", "left_semi"), "texts")
+
+    placed = hits.join(standing, "doc_id").select("bucket", "doc_id", F.struct("standing", (-F.col("doc_id")).alias("minus")).alias("place"))
+    lead = placed.groupBy("bucket").agg((-F.max("place")["minus"]).alias("lead"))
+    stars = hits.join(lead, "bucket").where("doc_id != lead")
+    stars = stars.select(F.greatest("doc_id", "lead").alias("a"), F.least("doc_id", "lead").alias("b")).distinct()
     stars = materialise(stars, "stars")
     links = materialise(verify(stars, texts, threshold), "verified")
     found = components(links)
