@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skylog.functions.text import slug
 from skylog.functions.time import with_calendar
 from skylog.schemas import FACT_COLUMNS
+from skylog.session import scratch_path
 
 # Rows per generated payload document. Event ids are unique and consecutive, so
 # that a document never holds more, however many events a type has.
@@ -88,3 +90,27 @@ def payloads(rows: DataFrame, measures: tuple[str, ...], spoil: Column | None =
         arrays[spoilt] = spoil
     hourly = F.struct(*[values.alias(name) for name, values in arrays.items()])
     return packed.select("city", "chunk", F.to_json(F.struct(hourly.alias("hourly"))).alias("raw"))
+
+
+def documents(rows: DataFrame, measures: tuple[str, ...]) -> DataFrame:
+    """One document per city of at most ``PAYLOAD_ROWS`` rows: ``city, slug, raw``; a city is a type and a running number."""
+    packed = payloads(rows, measures)
+    city = F.concat_ws(" ", "city", F.col("chunk").cast("string"))
+    return packed.select(city.alias("city"), slug(city).alias("slug"), "raw")
+
+
+def land(docs: DataFrame, folder: str, name: Column) -> None:
+    """Write each document into the folder under its file name, as a source would.
+
+    Spark writes them in parallel, one file each; the driver renames.
+    """
+    spark = docs.sparkSession
+    aside = scratch_path(spark, "landing")
+    docs.select(name.alias("name"), "raw").repartition("name").write.partitionBy("name").text(aside)
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(aside).getFileSystem(conf)
+    files.mkdirs(path(folder))
+    for part in files.globStatus(path(f"{aside}/name=*/part-*")):
+        source = part.getPath()
+        files.rename(source, path(folder, source.getParent().getName().removeprefix("name=")))

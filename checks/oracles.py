@@ -130,8 +130,17 @@ SPOILT = f"""spoilt AS (
   FROM (SELECT * REPLACE (CASE WHEN k <> 60 THEN "timestamp" END AS "timestamp") FROM raw)
 )"""
 
+# The measures that are not negative.
 NON_NEGATIVE = (
-    "precipitation wind_speed_10m pm2_5 pm10 carbon_monoxide nitrogen_dioxide sulphur_dioxide ozone us_aqi".split()
+    "precipitation",
+    "wind_speed_10m",
+    "pm2_5",
+    "pm10",
+    "carbon_monoxide",
+    "nitrogen_dioxide",
+    "sulphur_dioxide",
+    "ozone",
+    "us_aqi",
 )
 EXPECTED_CITIES = "('click'), ('error'), ('purchase'), ('refund'), ('signup')"
 
@@ -342,4 +351,40 @@ ORACLES: dict[str, str] = {
     "export_summary": f"""WITH {OBS}, {CATEGORIES} SELECT count(*) AS files, CAST(sum(rows) AS BIGINT) AS total_rows
         FROM ({_exports()})""",
     "payloads_to_summary": f"WITH {OBS} {CITY_SUMMARY}",
+    "monthly_trend_default": f"""WITH {YEARLY} SELECT city, year, month, {POLLUTION}, {top('us_aqi', 'max_aqi')},
+        count(*) AS hourly_observations FROM yearly GROUP BY city, year, month""",
+    "worst_months_default": f"""WITH {YEARLY} SELECT city, year, month, {avg('us_aqi', 'avg_aqi')},
+        {avg('pm2_5', 'avg_pm2_5')}, {top('us_aqi', 'max_aqi')} FROM yearly GROUP BY city, year, month
+        ORDER BY avg_aqi DESC NULLS FIRST, city, year, month LIMIT 20""",
+    "csv_unreadable_values": f"""WITH {RAW} SELECT c.name AS "column", CASE c.name
+          WHEN 'us_aqi' THEN (SELECT count(*) FROM raw WHERE k % 10 = 3)
+          WHEN 'ozone' THEN (SELECT count(*) FROM raw WHERE k = 50)
+          WHEN 'weather_code' THEN (SELECT count(*) FROM raw WHERE k % 4 = 1) ELSE 0 END AS unreadable
+        FROM (SELECT unnest(string_split('{WEATHER}, {AIR}, date, year, month, day, hour', ', ')) AS name) c""",
+    "csv_decimal_codes": f"WITH {OBS} SELECT {FACT_TEXT} FROM obs",
+    "load_with_quarantine": f"""WITH {OBS} SELECT count(*) FILTER (WHERE pm10 >= 40) AS kept, count(*) FILTER (WHERE pm10 < 40) AS set_aside,
+        CAST(0 AS BIGINT) AS reloaded, count(*) FILTER (WHERE pm10 < 40) AS quarantined FROM obs""",
+    "load_verify_detects": f"""WITH {OBS} SELECT count(*) AS expected_rows, CAST(count(*) + count(*) FILTER (WHERE weather_code < 10) AS BIGINT) AS rows,
+        count(DISTINCT city) AS cities, CAST(min("timestamp") AS VARCHAR) AS start_timestamp,
+        CAST(max("timestamp") AS VARCHAR) AS end_timestamp, count(*) FILTER (WHERE weather_code < 10) AS duplicate_groups, false AS passed FROM obs""",
+    "payload_files_latest": f"""WITH {RAW} SELECT city || ' ' || (event_id // 1000) AS city, count(*) AS hours, min(us_aqi) AS lowest, max(us_aqi) AS highest
+        FROM raw GROUP BY raw.city, event_id // 1000""",
+    "payload_files_recent": f"""WITH {RAW} SELECT city || ' ' || (event_id // 1000) AS city, count(*) AS hours, min(us_aqi + 500.0e0) AS lowest,
+        max(us_aqi + 500.0e0) AS highest FROM raw GROUP BY raw.city, event_id // 1000""",
+    "transform_files": f"WITH {OBS} SELECT {FACT_TEXT} FROM obs",
+    "coverage_files": f"""WITH {RAW} SELECT city || ' ' || (event_id // 1000) AS city, true AS landed,
+        CASE WHEN (event_id // 1000) % 3 = 1 THEN 0 ELSE count(*) END AS records, (event_id // 1000) % 3 <> 1 AS readable
+        FROM raw GROUP BY raw.city, event_id // 1000 UNION ALL SELECT 'nowhere 0', false, 0, false""",
+    "validation_details": f"""WITH {RAW}, {SPOILT}, {_report()}, wanted(city) AS (VALUES {EXPECTED_CITIES}), n AS (SELECT count(*) AS n FROM spoilt WHERE "timestamp" IS NULL)
+        SELECT 'missing city' AS kind, city AS name, CAST(1 AS BIGINT) AS value FROM wanted WHERE city NOT IN (SELECT city FROM spoilt)
+        UNION ALL SELECT DISTINCT 'unexpected city', city, CAST(1 AS BIGINT) FROM spoilt WHERE city NOT IN (SELECT city FROM wanted)
+        UNION ALL SELECT 'missing value', c, n.n FROM n, unnest(['timestamp', 'date', 'year', 'month', 'day', 'hour', 'day_of_week']) AS x(c) WHERE n.n > 0
+        UNION ALL SELECT 'rows', city, count(*) FROM spoilt GROUP BY city
+        UNION ALL SELECT 'failed checks', 'all', count(*) FILTER (WHERE NOT passed) FROM report""",
+    "table_probe": "SELECT false AS before, true AS after, count(*) AS rows FROM events",
+    "configured_locations": """SELECT l.city, l.latitude, l.longitude, l.slug, count(n_nationkey) AS nations FROM (VALUES
+        (0, 'Chicago', 41.8781::DOUBLE, -87.6298::DOUBLE, 'chicago'), (1, 'Denver', 39.7392, -104.9903, 'denver'), (2, 'Houston', 29.7604, -95.3698, 'houston'),
+        (3, 'Los Angeles', 34.0522, -118.2437, 'los_angeles'), (4, 'New York', 40.7128, -74.0060, 'new_york'), (5, 'Phoenix', 33.4484, -112.0740, 'phoenix'),
+        (6, 'Salt Lake City', 40.7608, -111.8910, 'salt_lake_city'), (7, 'Seattle', 47.6062, -122.3321, 'seattle')) AS l(place, city, latitude, longitude, slug)
+        LEFT JOIN nation ON n_nationkey % 8 = place GROUP BY ALL""",
 }

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.bindings import (
+    documents,
+    land,
     observations,
     payloads,
     raw_observations,
@@ -20,18 +23,26 @@ from skylog.functions import parse_timestamp, slug, wall_clock, with_calendar, w
 from skylog.operators import joins, quality, rankings, rows, summaries
 from skylog.plans import views
 from skylog.plans.export import export
-from skylog.plans.load import load
-from skylog.plans.transform import merge_sources, observations_from_payloads
-from skylog.schemas import AIR_MEASURES, FACT_COLUMNS, MEASURES, WEATHER_MEASURES
-from skylog.session import materialise, scratch_path
+from skylog.plans.load import load, verify_table
+from skylog.plans.transform import ingestion_coverage as ingestion_coverage_job
+from skylog.plans.transform import merge_sources, observations_from_payloads, transform
+from skylog.plans.validate import validate
+from skylog.schemas import AIR_MEASURES, FACT_COLUMNS, FACT_PARTITIONS, LOCATIONS, MEASURES, WEATHER_MEASURES
+from skylog.session import materialise, scratch_path, small_frame
 from skylog.sinks import append_new, rebuild_fact, write_csv
 from skylog.sources import (
+    PayloadFolder,
+    csv_unreadable,
     explode_payloads,
+    locations,
     parse_payloads,
     payload_problems,
     read_csv_lenient,
     read_csv_strict,
     read_fact,
+    read_payloads,
+    row_count,
+    table_exists,
     with_location,
 )
 
@@ -59,6 +70,7 @@ def _comparable(df: DataFrame) -> DataFrame:
 
 # --- views and analysis questions ----------------------------------------------
 
+# The names on the right are the reporting interface in ``views``.
 for _key, _view in {
     "city_summary": "vw_city_air_quality_summary",
     "daily_summary": "vw_daily_air_quality",
@@ -91,7 +103,17 @@ def monthly_summary(spark, sf):
 
 @query("monthly_trend")
 def monthly_trend(spark, sf):
-    return summaries.trend(yearly_observations(spark, sf))
+    return summaries.trend(yearly_observations(spark, sf), ("city", "month"))
+
+
+@query("monthly_trend_default")
+def monthly_trend_default(spark, sf):
+    return views.QUESTIONS["monthly_trend"](yearly_observations(spark, sf))
+
+
+@query("worst_months_default")
+def worst_months_default(spark, sf):
+    return views.QUESTIONS["worst_months"](yearly_observations(spark, sf))
 
 
 @query("worst_months_topk")
@@ -382,9 +404,8 @@ def append_counts(spark, sf):
 
 @query("post_load_verify")
 def post_load_verify(spark, sf):
-    counts, path = _appended(spark, sf)
-    row = counts.first()
-    return quality.load_check(read_fact(spark, path), row.rows_before + row.inserted, len(CITIES))
+    _, path = _appended(spark, sf)
+    return verify_table(spark, path, observations(spark, sf).select("city", "timestamp").distinct().count(), len(CITIES))
 
 
 @query("csv_roundtrip")
@@ -422,3 +443,151 @@ def payloads_to_summary(spark, sf):
     path = scratch_path(spark, "fact")
     load(batch, path, quality.Expectations(cities=CITIES, start=None, end=None))
     return summaries.group_summary(read_fact(spark, path))
+
+
+# --- files -----------------------------------------------------------------------
+
+
+def _text_columns(df: DataFrame, **changed) -> DataFrame:
+    """All columns as a CSV would print them, some of them changed."""
+    return df.select(*[(changed[c] if c in changed else F.col(c).cast("string")).alias(c) for c in df.columns])
+
+
+def _csv_with(spark, df: DataFrame) -> str:
+    path = scratch_path(spark, "csv")
+    write_csv(df, path)
+    return path
+
+
+@query("csv_unreadable_values")
+def csv_unreadable_values(spark, sf):
+    """Values of a CSV that cannot be read, per column: words, and codes with a fraction."""
+    obs = observations(spark, sf)
+    text = _text_columns(
+        obs,
+        us_aqi=F.when(obs.weather_code % 10 == 3, F.lit("abc")).otherwise(obs.us_aqi.cast("string")),
+        ozone=F.when(obs.weather_code == 50, F.lit("n/a")).when(obs.weather_code == 51, F.lit("nan")).otherwise(obs.ozone.cast("string")),
+        weather_code=F.when(obs.weather_code % 4 == 1, F.concat(obs.weather_code.cast("string"), F.lit(".5"))).otherwise(obs.weather_code.cast("string")),
+    )
+    return csv_unreadable(spark, _csv_with(spark, text))
+
+
+@query("csv_decimal_codes")
+def csv_decimal_codes(spark, sf):
+    """Integers printed as ``3.0`` come back as integers."""
+    obs = observations(spark, sf)
+    decimal = {c: F.concat(F.col(c).cast("string"), F.lit(".0")) for c in ("weather_code", "year", "hour")}
+    return read_csv_strict(spark, _csv_with(spark, _text_columns(obs, **decimal)))
+
+
+@query("load_with_quarantine")
+def load_with_quarantine(spark, sf):
+    """A gated load that sets rows aside, twice: what is kept, what is set aside, and what the second load adds."""
+    batch = materialise(observations(spark, sf).withColumn("pm10", F.col("pm10") - 40.0), "batch")
+    path, aside = scratch_path(spark, "fact"), scratch_path(spark, "aside")
+    expected = quality.Expectations(cities=CITIES, start=None, end=None)
+    load(batch, path, expected, quarantine=aside)
+    kept, first = read_fact(spark, path).count(), spark.read.parquet(aside).count()
+    again = load(batch, path, expected, quarantine=aside).counts.first().inserted
+    return small_frame(
+        spark, [(kept, first, again, spark.read.parquet(aside).count())], "kept bigint, set_aside bigint, reloaded bigint, quarantined bigint"
+    )
+
+
+@query("load_verify_detects")
+def load_verify_detects(spark, sf):
+    """Rows that get into the table beside a load make its verification fail."""
+    obs = observations(spark, sf)
+    path = scratch_path(spark, "fact")
+    load(materialise(obs, "batch"), path, quality.Expectations(cities=CITIES, start=None, end=None))
+    obs.where("weather_code < 10").write.mode("append").partitionBy(*FACT_PARTITIONS).parquet(path)
+    return verify_table(spark, path, obs.count(), len(CITIES))
+
+
+def _landed(spark, sf, measures: tuple[str, ...]) -> tuple[PayloadFolder, DataFrame]:
+    """A folder with an older and a newer historical run and a recent one of every city, and the cities."""
+    raw = raw_observations(spark, sf)
+    folder = scratch_path(spark, "landed")
+    level = measures[-1]
+    runs = [
+        (1000.0, "_2024-01-01_to_2024-01-31_20250101_000000.json"),
+        (0.0, "_2024-01-01_to_2024-01-31_20250102_000000.json"),
+        (500.0, "_20250103_000000.json"),
+    ]
+    for added, ending in runs:
+        docs = documents(raw.withColumn(level, F.col(level) + F.lit(added).cast(raw.schema[level].dataType)), measures)
+        land(docs, folder, F.concat("slug", F.lit(ending)))
+    return PayloadFolder(folder, measures), documents(raw, measures).select("city", "slug")
+
+
+def _levels(payloads_: DataFrame) -> DataFrame:
+    level = F.col("hourly.us_aqi")
+    return payloads_.select("city", F.size("hourly.time").cast("bigint").alias("hours"), F.array_min(level).alias("lowest"), F.array_max(level).alias("highest"))
+
+
+@query("payload_files_latest")
+def payload_files_latest(spark, sf):
+    folder, cities = _landed(spark, sf, AIR_MEASURES)
+    return _levels(read_payloads(spark, folder, cities))
+
+
+@query("payload_files_recent")
+def payload_files_recent(spark, sf):
+    folder, cities = _landed(spark, sf, AIR_MEASURES)
+    return _levels(read_payloads(spark, PayloadFolder(folder.path, AIR_MEASURES, recent=True), cities))
+
+
+@query("transform_files")
+def transform_files(spark, sf):
+    """Payload files of both sources to the processed table."""
+    weather, cities = _landed(spark, sf, WEATHER_MEASURES)
+    air, _ = _landed(spark, sf, AIR_MEASURES)
+    path = scratch_path(spark, "processed")
+    transform(spark, weather.path, air.path, path, cities)
+    return read_fact(spark, path).withColumn("city", F.element_at(F.split("city", " "), 1))
+
+
+@query("coverage_files")
+def coverage_files(spark, sf):
+    """Coverage of a folder in which some documents are cut short and one city has none."""
+    raw = raw_observations(spark, sf)
+    folder = scratch_path(spark, "landed")
+    docs = documents(raw, AIR_MEASURES)
+    number = F.element_at(F.split("city", " "), 2).cast("int")
+    cut = F.when(number % 3 == 1, F.substring("raw", 1, 100)).otherwise(F.col("raw"))
+    land(docs.withColumn("raw", cut), folder, F.concat("slug", F.lit("_2024-01-01_to_2024-01-31_20250101_000000.json")))
+    absent = small_frame(spark, [("nowhere 0", "nowhere_0")], "city string, slug string")
+    return ingestion_coverage_job(spark, PayloadFolder(folder, AIR_MEASURES), docs.select("city", "slug").unionByName(absent))
+
+
+@query("validation_details")
+def validation_details(spark, sf):
+    """All detail frames of the validation job in one, and the number of checks that failed."""
+    result = validate(_spoilt(spark, sf), _EXPECTED)
+    frames = [
+        result.missing_cities.select(F.lit("missing city").alias("kind"), F.col("city").alias("name"), F.lit(1).cast("bigint").alias("value")),
+        result.unexpected_cities.select(F.lit("unexpected city"), "city", F.lit(1).cast("bigint")),
+        result.missing_values.select(F.lit("missing value"), "column", "missing"),
+        result.rows_by_city.select(F.lit("rows"), "city", "rows"),
+        small_frame(spark, [("failed checks", "all", result.failed_checks)], "kind string, name string, value bigint"),
+    ]
+    return reduce(DataFrame.union, frames)
+
+
+@query("table_probe")
+def table_probe(spark, sf):
+    """Whether a table is there, before and after it is written, and its rows."""
+    path = scratch_path(spark, "fact")
+    before = table_exists(spark, path)
+    rebuild_fact(observations(spark, sf), path)
+    counted = row_count(read_fact(spark, path))
+    return small_frame(spark, [(before, table_exists(spark, path), counted)], "before boolean, after boolean, rows bigint")
+
+
+@query("configured_locations")
+def configured_locations(spark, sf):
+    """The configured locations, each with the nations that fall to it by number."""
+    place = F.row_number().over(Window.orderBy("city")) - 1
+    places = locations(spark).withColumn("place", place)
+    nations = table(spark, sf, "nation").groupBy((F.col("n_nationkey") % len(LOCATIONS)).alias("place")).agg(F.count(F.lit(1)).alias("nations"))
+    return places.join(nations, "place", "left").select("city", "latitude", "longitude", "slug", F.coalesce("nations", F.lit(0).cast("bigint")).alias("nations"))

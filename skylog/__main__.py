@@ -7,12 +7,14 @@
     python -m skylog export    --fact PATH --output DIR
     python -m skylog coverage  --payloads DIR --source weather|air_quality [--recent]
 
+Results are previewed on the console; ``--output-folder`` writes all of them.
 On a cluster hand this module to ``spark-submit``.
 """
 
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 from datetime import datetime
 
@@ -27,8 +29,9 @@ from skylog.plans.transform import ingestion_coverage, transform
 from skylog.plans.validate import validate
 from skylog.plans.views import QUESTIONS, VIEWS
 from skylog.schemas import AIR_MEASURES, LOCATION, WEATHER_MEASURES
-from skylog.session import build_session
-from skylog.sources import PayloadFolder, locations, read_csv_lenient, read_csv_strict, read_fact
+from skylog.session import build_session, drop_scratch, small_frame
+from skylog.sinks import write_csv
+from skylog.sources import PayloadFolder, csv_unreadable, locations, read_csv_lenient, read_csv_strict, read_fact
 
 
 def _cities(spark: SparkSession, args) -> DataFrame:
@@ -42,24 +45,36 @@ def _expectations(spark: SparkSession, args) -> Expectations:
     return Expectations(cities=_cities(spark, args), start=args.start, end=args.end)
 
 
+def _give(frame: DataFrame, name: str, args) -> None:
+    """All rows to ``--output`` where it is given; the console shows a preview and says when there is more."""
+    if args.output_folder:
+        write_csv(frame, os.path.join(args.output_folder, name))
+    seen = frame.take(args.rows + 1)
+    print(name)
+    small_frame(frame.sparkSession, [tuple(r) for r in seen[: args.rows]], frame.schema).show(args.rows, truncate=False)
+    if len(seen) > args.rows:
+        print(f"preview: the first {args.rows} rows; " + (f"all are in {args.output_folder}/{name}" if args.output_folder else "--output-folder writes all"))
+
+
 def _transform(spark, args) -> int:
     result = transform(
         spark, args.weather, args.air_quality, args.output, _cities(spark, args), args.null_arrays, args.format
     )
-    result.profile.show(truncate=False)
-    result.rows_by_city.show(truncate=False)
+    _give(result.profile, "profile", args)
+    _give(result.rows_by_city, "rows_by_city", args)
     return 0
 
 
 def _validate(spark, args) -> int:
-    df = read_csv_lenient(spark, args.input) if args.format == "csv" else read_fact(spark, args.input)
-    result = validate(df, _expectations(spark, args))
-    for frame in (result.report, result.missing_cities, result.unexpected_cities, result.missing_values, result.rows_by_city):
-        if frame is not None:
-            frame.show(50, truncate=False)
-    verdict = result.verdict.first()
-    print("passed" if verdict.passed else f"failed checks: {verdict.failed_checks}")
-    return 0 if verdict.passed else 1
+    csv = args.format == "csv"
+    df = read_csv_lenient(spark, args.input) if csv else read_fact(spark, args.input)
+    result = validate(df, _expectations(spark, args), csv_unreadable(spark, args.input) if csv else None)
+    frames = {"report": result.report_frame(spark)}
+    frames |= {n: f for n in ("missing_cities", "unexpected_cities", "missing_values", "rows_by_city") if (f := getattr(result, n)) is not None}
+    for name, frame in frames.items():
+        _give(frame, name, args)
+    print("passed" if result.passed else f"failed checks: {result.failed_checks}")
+    return 0 if result.passed else 1
 
 
 def _load(spark, args) -> int:
@@ -74,8 +89,7 @@ def _analyze(spark, args) -> int:
     fact = read_fact(spark, args.fact)
     asked = {**VIEWS, **QUESTIONS}
     for name in args.question or QUESTIONS:
-        print(name)
-        asked[name](fact).show(args.rows, truncate=False)
+        _give(asked[name](fact), name, args)
     return 0
 
 
@@ -89,8 +103,8 @@ def _export(spark, args) -> int:
 def _coverage(spark, args) -> int:
     measures = WEATHER_MEASURES if args.source == "weather" else AIR_MEASURES
     report = ingestion_coverage(spark, PayloadFolder(args.payloads, measures, args.recent), _cities(spark, args))
-    report.orderBy("city").show(truncate=False)
-    coverage_totals(report).show()
+    _give(report.orderBy("city"), "coverage", args)
+    _give(coverage_totals(report), "coverage_totals", args)
     return 0
 
 
@@ -101,6 +115,8 @@ def _parser() -> argparse.ArgumentParser:
     def job(name, run, **paths):
         sub = jobs.add_parser(name)
         sub.set_defaults(run=run)
+        sub.add_argument("--output-folder", help="write every result in full here, a CSV folder each")
+        sub.add_argument("--rows", type=int, default=20, help="rows of each result shown on the console")
         for option, required in paths.items():
             sub.add_argument("--" + option.replace("_", "-"), required=required)
         return sub
@@ -125,7 +141,6 @@ def _parser() -> argparse.ArgumentParser:
         with_bounds(sub)
     sub = job("analyze", _analyze, fact=True)
     sub.add_argument("--question", nargs="*", choices=[*VIEWS, *QUESTIONS])
-    sub.add_argument("--rows", type=int, default=20, help="rows shown per question")
     job("export", _export, fact=True, output=True)
     sub = job("coverage", _coverage, payloads=True)
     sub.add_argument("--source", choices=("weather", "air_quality"), required=True)
@@ -136,7 +151,11 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = _parser().parse_args(argv)
-    return args.run(spark or build_session(f"skylog {args.job}"), args)
+    spark = spark or build_session(f"skylog {args.job}")
+    try:
+        return args.run(spark, args)
+    finally:
+        drop_scratch(spark)
 
 
 if __name__ == "__main__":

@@ -12,8 +12,10 @@ def round2(value: Column) -> Column:
 
     ``round(double)`` looks at the binary value, so that the noise of the order
     of a sum can turn 70.695 into 70.69 or 70.70. Twelve decimals drop it.
+    Values of 1e15 and more have no two decimals as doubles and stay as they are.
     """
-    return F.round(value.cast("decimal(28,12)"), 2).cast("double")
+    number = value.cast("double")
+    return F.when(F.abs(number) < 1e15, F.round(value.try_cast("decimal(28,12)"), 2).cast("double")).otherwise(number)
 
 
 def percentage(part: Column, whole: Column) -> Column:

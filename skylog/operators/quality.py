@@ -197,6 +197,7 @@ def fact_constraints() -> dict[str, Column]:
     rules |= {f"{c} negative": out_of_range(c, 0) for c in NON_NEGATIVE_MEASURES}
     rules |= {f"{c} outside {lo}..{hi}": out_of_range(c, lo, hi) for c, (lo, hi) in CALENDAR_RANGES.items()}
     rules |= {f"{c} longer than {n}": F.char_length(c) > n for c, n in MAX_LENGTHS.items()}
+    rules |= {f"{c} is not that of timestamp": F.col(c) != part("timestamp") for c, part in (("year", F.year), ("month", F.month))}
     return rules
 
 
@@ -215,20 +216,20 @@ def with_broken_rules(df: DataFrame, rules: dict[str, Column] | None = None, nam
 def split_by_rules(df: DataFrame, rules: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
     """The rows that keep all constraints, and the others with the rules they break.
 
-    The verdict is the output of a generator, and the filters are on that. As a
-    plain filter, one condition over all columns would be pushed below every
-    projection, its expressions repeated, and the optimizer would derive it
-    anew for each subset of the renamed columns. Names are made only for the
-    rows that break something.
+    Each half is one scan with one condition. Names are made only for the rows
+    that break something.
     """
     rules = fact_constraints() if rules is None else rules
-    judged = df.select("*", F.explode(F.array(breaks_any(rules))).alias("_broken"))
-    valid = judged.where(~F.col("_broken")).drop("_broken")
-    return valid, with_broken_rules(judged.where("_broken").drop("_broken"), rules)
+    broken = breaks_any(rules)
+    return df.where(~broken), with_broken_rules(df.where(broken), rules)
 
 
-def load_check(fact: DataFrame, expected_rows: int, city_count: int, keys: Sequence[str] = KEY) -> DataFrame:
-    """State of a loaded table against expected rows and cities and unique keys, as one row."""
+def load_check(fact: DataFrame, expected_rows: int | None, city_count: int | None = None, keys: Sequence[str] = KEY) -> DataFrame:
+    """State of a loaded table against expected rows and cities and unique keys, as one row.
+
+    The expected numbers must come from elsewhere than the table; None checks
+    nothing. Groups by key: pass the part of the table that can have changed.
+    """
     city, timestamp = keys
     per_city = (
         fact.groupBy(*keys)
@@ -249,11 +250,11 @@ def load_check(fact: DataFrame, expected_rows: int, city_count: int, keys: Seque
         F.max("_end").alias("end_timestamp"),
         F.coalesce(F.sum("_groups"), F.lit(0)).alias("duplicate_groups"),
     )
-    good = (
-        (F.col("rows") == F.col("expected_rows"))
-        & (F.col("cities") == city_count)
-        & (F.col("duplicate_groups") == 0)
-    )
+    good = F.col("duplicate_groups") == 0
+    if expected_rows is not None:
+        good = good & (F.col("rows") == F.col("expected_rows"))
+    if city_count is not None:
+        good = good & (F.col("cities") == city_count)
     return state.withColumn("passed", good)
 
 

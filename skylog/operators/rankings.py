@@ -12,8 +12,11 @@ from skylog.operators.rows import first_per_key
 from skylog.session import materialise
 
 
-def worst_periods(obs: DataFrame, keys: Sequence[str] = ("city", "month"), limit: int = 20) -> DataFrame:
-    """The groups with the highest rounded average level; ties go by key."""
+def worst_periods(obs: DataFrame, keys: Sequence[str] = ("city", "year", "month"), limit: int = 20) -> DataFrame:
+    """The groups with the highest rounded average level; ties go by key.
+
+    ``keys=("city", "month")`` pools the same month of all years.
+    """
     return (
         obs.groupBy(*keys)
         .agg(mean("us_aqi", "avg_aqi"), mean("pm2_5", "avg_pm2_5"), peak("us_aqi", "max_aqi"))
@@ -53,7 +56,8 @@ def rank_groups(obs: DataFrame, keys: Sequence[str] = ("city",)) -> DataFrame:
     range. A range holds its share of the distinct averages, and the window
     over all ranges sees one row of each. Both steps are written down: the
     averages because two branches use them, the ranges because their numbers
-    must not change.
+    must not change. Both tables are in the shared folder until
+    ``session.drop_scratch``.
     """
     averages = materialise(
         obs.groupBy(*keys).agg(

@@ -100,8 +100,8 @@ def overview(obs: DataFrame, keys: Sequence[str] = ("city",)) -> DataFrame:
     return _pollution(obs, keys).orderBy(F.desc_nulls_first("avg_aqi"), *keys)
 
 
-def trend(obs: DataFrame, keys: Sequence[str] = ("city", "month")) -> DataFrame:
-    """The same measures per group and period, in order of the keys."""
+def trend(obs: DataFrame, keys: Sequence[str] = ("city", "year", "month")) -> DataFrame:
+    """The same measures per group and period, in order of the keys; ``("city", "month")`` pools the years."""
     return _pollution(obs, keys).orderBy(*[F.asc_nulls_last(k) for k in keys])
 
 

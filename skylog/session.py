@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 import pyarrow as pa
@@ -11,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-_local_scratch: str | None = None
+# Tables written on the way by this process, for ``drop_scratch``.
+_written: list[str] = []
 
 
 def build_session(app: str = "skylog", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
@@ -40,20 +40,23 @@ def build_session(app: str = "skylog", master: str | None = None, conf: dict[str
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path under the folder named in ``spark.checkpoint.dir``.
+    """A new path under the folder named in ``spark.checkpoint.dir``, or else in the session's warehouse.
 
-    Only a local session may go without that setting: there a folder of this
-    machine is good enough, on a cluster it would be lost with its executor.
+    Both are folders that all executors share; a folder of one machine would be
+    lost with it. ``drop_scratch`` deletes what was written there.
     """
-    global _local_scratch
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        if _local_scratch is None:
-            _local_scratch = tempfile.mkdtemp(prefix="skylog-")
-        root = _local_scratch
-    return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
+    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
+    path = os.path.join(root, f"{label}-{uuid.uuid4().hex}")
+    _written.append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the tables this process wrote on the way; frames that read them cannot be used after that."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
 
 
 def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:

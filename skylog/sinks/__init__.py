@@ -1,16 +1,13 @@
 from skylog.sinks.csv import ExportError, export_summary, export_tables, verify_export, write_csv
-from skylog.sinks.fact import Staged, append_new, append_staged, new_rows, rebuild_fact, stage_new
+from skylog.sinks.fact import append_new, new_rows, rebuild_fact
 
 __all__ = [
     "ExportError",
-    "Staged",
     "append_new",
-    "append_staged",
     "export_summary",
     "export_tables",
     "new_rows",
     "rebuild_fact",
-    "stage_new",
     "verify_export",
     "write_csv",
 ]

@@ -12,6 +12,7 @@ from skylog.sources.payloads import (
     split_file_name,
 )
 from skylog.sources.tables import (
+    csv_unreadable,
     find_fact,
     read_csv_lenient,
     read_csv_strict,
@@ -22,6 +23,7 @@ from skylog.sources.tables import (
 
 __all__ = [
     "PayloadFolder",
+    "csv_unreadable",
     "explode_payloads",
     "find_fact",
     "fill_null_arrays",

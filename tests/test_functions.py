@@ -59,6 +59,11 @@ def test_round2_is_half_away_from_zero(spark):
     assert [r[0] for r in df.select(round2(F.col("x"))).collect()] == [70.7, -70.7, 0.01, 70.7, None]
 
 
+def test_round2_of_large_values(spark):
+    df = spark.createDataFrame([(1.5e16,), (-3e300,), (float("nan"),)], "x double")
+    assert [str(r[0]) for r in df.select(round2(F.col("x"))).collect()] == ["1.5e+16", "-3e+300", "nan"]
+
+
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(-1e6, 1e6, allow_nan=False), min_size=1, max_size=60))
 def test_round2_matches_decimal_arithmetic(spark, values):

@@ -47,7 +47,7 @@ def test_a_full_year_has_its_published_shape(spark, processed):
 
 def test_a_full_year_passes_every_check(spark, processed):
     result = validate(read_fact(spark, processed[0]))
-    assert rows(result.verdict) == [(True, 0)]
+    assert (result.passed, result.failed_checks) == (True, 0)
 
 
 def test_csv_output_is_the_same_data(spark, full_year, processed, tmp_path):
@@ -74,7 +74,7 @@ def test_load_views_questions_and_export(spark, processed, tmp_path):
     counts = {name: question(fact).count() for name, question in QUESTIONS.items()}
     assert len(counts) == 15
     assert (counts["worst_months"], counts["worst_hours"], counts["city_rank"], counts["worst_day"]) == (20, 25, 8, 8)
-    assert (counts["month_over_month"], counts["hour_by_city"]) == (96, 192)
+    assert (counts["month_over_month"], counts["hour_by_city"], counts["monthly_trend"]) == (96, 192, 96)
 
     manifest = {r.source: r.rows for r in export(fact, str(tmp_path / "out")).manifest.collect()}
     assert manifest["observations"] == 70_080 and manifest["vw_daily_air_quality"] == 8 * 365
@@ -121,5 +121,16 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["coverage", "--payloads", weather, "--source", "weather", *cities], spark) == 0
     out = capsys.readouterr().out
     assert "failed checks: 2" in out and "aqi_rank" in out
+    full = str(tmp_path / "full")
+    assert main(["analyze", "--fact", fact, "--question", "hour_by_city", "--output-folder", full], spark) == 0
+    assert "preview: the first 20 rows; all are in" in capsys.readouterr().out
+    assert spark.read.option("header", True).csv(f"{full}/hour_by_city").count() == 48
     # The night the clocks change has all its hours.
     assert read_fact(spark, fact).count() == 96
+
+
+def test_years_are_not_pooled(spark, processed):
+    fact = read_fact(spark, processed[0]).where("city = 'Denver' AND month = 1")
+    both = fact.unionByName(fact.withColumn("year", F.lit(2024)))
+    assert {(r.year, r.month) for r in QUESTIONS["monthly_trend"](both).collect()} == {(2024, 1), (2025, 1)}
+    assert {(r.year, r.month) for r in QUESTIONS["worst_months"](both).collect()} == {(2024, 1), (2025, 1)}

@@ -84,7 +84,7 @@ def test_unusual_city_names(spark, tmp_path):
     read = read_payloads(spark, folder, cities(spark, *names))
     assert {r.city: r.hourly.pm2_5[0] for r in read.collect()} == {n: float(i) for i, n in enumerate(names)}
     report = ingestion_coverage(spark, folder, cities(spark, *names))
-    assert sorted(rows(report)) == sorted((n, True, 3) for n in names)
+    assert sorted(rows(report)) == sorted((n, True, 3, True) for n in names)
 
 
 def test_same_modification_time_goes_by_run_stamp(spark, tmp_path):
@@ -182,5 +182,34 @@ def test_coverage_counts_the_newest_run_only(spark, tmp_path):
     write_payload(tmp_path, f"york_{run}_20260102_000000.json", payload(TIMES, AIR_MEASURES))
     write_payload(tmp_path, f"leeds_{run}_20260102_000000.json", {"reason": "no data"})
     report = ingestion_coverage(spark, PayloadFolder(str(tmp_path), AIR_MEASURES), cities(spark, "York", "Leeds", "Hull"))
-    assert sorted(rows(report)) == [("Hull", False, 0), ("Leeds", True, 0), ("York", True, 3)]
+    assert sorted(rows(report)) == [("Hull", False, 0, False), ("Leeds", True, 0, True), ("York", True, 3, True)]
     assert rows(coverage_totals(report)) == [(3, 2, 1, 3)]
+
+
+def test_coverage_goes_on_after_a_broken_payload(spark, tmp_path):
+    run = "2025-01-01_to_2025-01-01"
+    write_payload(tmp_path, f"york_{run}_20260101_000000.json", payload(TIMES, AIR_MEASURES))
+    broken = write_payload(tmp_path, f"leeds_{run}_20260101_000000.json", payload(TIMES, AIR_MEASURES))
+    broken.write_text(broken.read_text()[:-40])
+    report = ingestion_coverage(spark, PayloadFolder(str(tmp_path), AIR_MEASURES), cities(spark, "York", "Leeds"))
+    assert sorted(rows(report)) == [("Leeds", True, 0, False), ("York", True, 3, True)]
+
+
+def test_fractional_codes_are_an_error(spark):
+    document = payload(TIMES, WEATHER_MEASURES)
+    document["hourly"]["weather_code"] = [1, 2.5, 3.0]
+    parsed = parse_payloads(texts(spark, document), WEATHER_MEASURES)
+    with pytest.raises(Exception, match="fractional weather_code"):
+        source_rows(parsed, WEATHER_MEASURES).collect()
+
+
+def test_many_small_files(spark, tmp_path):
+    document = payload(TIMES, AIR_MEASURES)
+    for i in range(300):
+        for stamp in ("20260101_000000", "20260102_000000"):
+            (tmp_path / f"c{i}_2025-01-01_to_2025-01-01_{stamp}.json").write_text('{"hourly": {"time": ["2025-01-01T00:00"]}}' if stamp[7] == "1" else "{}")
+    (tmp_path / "c0_2025-01-01_to_2025-01-01_20260103_000000.json").write_text(__import__("json").dumps(document))
+    names = [f"C{i}" for i in range(300)]
+    report = ingestion_coverage(spark, PayloadFolder(str(tmp_path), AIR_MEASURES), cities(spark, *names))
+    assert report.count() == 300 and report.where("landed").count() == 300
+    assert report.where("city = 'C0'").first().records == 3

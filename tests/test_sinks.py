@@ -10,12 +10,12 @@ from conftest import rows, ts
 from skylog.functions import with_calendar
 from skylog.operators.quality import Expectations
 from skylog.plans.export import export
-from skylog.plans.load import LoadError, load
-from skylog.plans.validate import QualityError
+from skylog.plans.load import LoadError, load, verify_table
+from skylog.plans.validate import QualityError, validate
 from skylog.schemas import FACT_COLUMNS, MEASURES, OBSERVATION
-from skylog.sinks import ExportError, append_new, export_tables, rebuild_fact, stage_new, write_csv
-from skylog.sinks.fact import append_staged
-from skylog.sources import read_csv_lenient, read_csv_strict, read_fact, row_count, table_exists
+from skylog.sinks import ExportError, append_new, export_tables, new_rows, rebuild_fact, write_csv
+from skylog.sinks.fact import in_partitions, touched_partitions
+from skylog.sources import csv_unreadable, read_csv_lenient, read_csv_strict, read_fact, row_count, table_exists
 
 ORDER = ["us_aqi"]
 START = ts("2025-01-01T00:00")
@@ -70,12 +70,43 @@ def test_a_large_month_is_written_by_several_tasks(spark, tmp_path):
     assert len(files) > 1 and read_fact(spark, path).count() == 9600
 
 
-def test_staged_rows_leave_the_table_alone(spark, tmp_path):
+def test_a_batch_of_another_type_is_refused(spark, tmp_path):
     path = str(tmp_path / "fact")
+    drifted = obs(spark, ("a", 0, 1.0)).withColumn("weather_code", F.lit(1.0))
+    with pytest.raises(TypeError, match="weather_code is double, not int"):
+        load(drifted, path, None)
     rebuild_fact(obs(spark, ("a", 0, 1.0)), path)
-    staged = stage_new(obs(spark, ("a", 0, 9.0), ("a", 1, 2.0)), path, ORDER)
-    assert (staged.before, staged.inserted, read_fact(spark, path).count()) == (1, 1, 1)
-    assert rows(append_staged(staged, path)) == [(1, 1, 2)]
+    with pytest.raises(TypeError, match="weather_code is double, not int"):
+        append_new(drifted, path, ORDER)
+    assert content(spark, path) == {("a", hour(0)): 1.0}
+
+
+def test_a_key_cannot_get_in_twice_under_another_month(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    batch = obs(spark, ("a", 0, 1.0), ("a", 1, 1.0))
+    append_new(batch, path, ORDER)
+    moved = batch.withColumn("month", F.lit(2))
+    with pytest.raises(ValueError, match="do not fit their timestamp: 2"):
+        append_new(moved, path, ORDER)
+    with pytest.raises(QualityError, match="break constraints: 2"):
+        load(moved, path, None)
+    assert read_fact(spark, path).count() == 2
+
+
+def test_known_keys_go_before_the_sort(spark, tmp_path):
+    table = obs(spark, ("a", 0, 1.0))
+    plan = new_rows(table, table, ORDER)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Window") < plan.index("LeftAnti")
+
+
+def test_the_load_check_reads_the_months_of_the_batch(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rebuild_fact(obs(spark, ("a", 0, 1.0), ("a", 24 * 40, 2.0)), path)
+    batch = obs(spark, ("a", 24 * 41, 2.0))
+    months = in_partitions(read_fact(spark, path), touched_partitions(batch))
+    assert len(months.inputFiles()) >= 1 and months.count() == 1
+    plan = months._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
 
 
 def test_rebuild_replaces(spark, tmp_path):
@@ -125,12 +156,45 @@ def test_load_can_put_bad_rows_aside(spark, tmp_path):
     assert [r.broken_rules for r in spark.read.parquet(aside).collect()] == [["us_aqi negative"]]
 
 
-def test_load_that_would_leave_a_wrong_table_is_refused_before_it_appends(spark, tmp_path):
+def test_quarantine_works_under_the_gate_and_adds_no_copies(spark, tmp_path):
+    path, aside = str(tmp_path / "fact"), str(tmp_path / "aside")
+    batch = obs(spark, ("a", 0, 1.0), ("b", 0, 2.0), ("b", 1, -2.0))
+    for inserted in (2, 0):
+        assert load(batch, path, EXPECTED, quarantine=aside).counts.first().inserted == inserted
+        assert spark.read.parquet(aside).count() == 1
+
+
+def test_a_refused_load_leaves_no_quarantine(spark, tmp_path):
+    path, aside = str(tmp_path / "fact"), str(tmp_path / "aside")
+    with pytest.raises(QualityError, match="missing_cities"):
+        load(obs(spark, ("a", 0, 1.0), ("a", 1, -2.0)), path, EXPECTED, quarantine=aside)
+    assert not Path(aside).exists() and not table_exists(spark, path)
+
+
+def test_a_table_that_repeats_keys_is_noticed(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    twice = obs(spark, ("a", 0, 1.0), ("a", 0, 2.0), ("b", 0, 2.0))
+    rebuild_fact(twice, path)
+    with pytest.raises(LoadError, match="repeats keys"):
+        load(obs(spark, ("a", 1, 1.0), ("b", 1, 2.0)), path, EXPECTED)
+    assert read_fact(spark, path).count() == 3
+
+
+def test_verification_fails_on_extra_rows(spark, tmp_path):
     path = str(tmp_path / "fact")
-    rebuild_fact(obs(spark, ("z", 0, 1.0)), path)
-    with pytest.raises(LoadError):
-        load(obs(spark, ("a", 0, 1.0), ("b", 0, 2.0)), path, EXPECTED)
-    assert content(spark, path) == {("z", hour(0)): 1.0}
+    batch = obs(spark, ("a", 0, 1.0), ("b", 0, 2.0))
+    load(batch, path, EXPECTED)
+    assert verify_table(spark, path, 2, 2).first().passed
+    batch.withColumn("us_aqi", F.lit(9.0)).write.mode("append").partitionBy("year", "month").parquet(path)
+    spoilt = verify_table(spark, path, 2, 2).first()
+    assert (spoilt.passed, spoilt.rows, spoilt.duplicate_groups) == (False, 4, 2)
+
+
+def test_load_leaves_no_scratch(spark, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.glob("*"))
+    load(obs(spark, ("a", 0, 1.0), ("b", 0, 2.0)), str(tmp_path / "fact"), EXPECTED)
+    assert set(shared.glob("*")) == before
 
 
 def test_csv_round_trip_and_format(spark, tmp_path):
@@ -145,6 +209,33 @@ def test_csv_round_trip_and_format(spark, tmp_path):
     assert sorted(rows(back), key=str) == sorted(rows(df.unionByName(fraction)), key=str)
 
 
+def _csv_row(**values):
+    row = dict.fromkeys(MEASURES, "1.0") | {"weather_code": "1", "city": "a", "timestamp": "2025-01-01 00:00:00", "date": "2025-01-01"}
+    row |= {"year": "2025", "month": "1", "day": "1", "hour": "0", "day_of_week": "Wednesday"} | values
+    return ",".join(row[c] for c in FACT_COLUMNS) + "\n"
+
+
+def test_unreadable_measures_are_counted_and_fail_the_report(spark, tmp_path):
+    file = tmp_path / "x.csv"
+    head = ",".join(FACT_COLUMNS) + "\n"
+    file.write_text(head + _csv_row(us_aqi="abc") + _csv_row(us_aqi="", weather_code="2.5", timestamp="2025-01-01 01:00:00", hour="1") + _csv_row(us_aqi="nan", hour="x"))
+    lost = {r.column: r.unreadable for r in csv_unreadable(spark, str(file)).collect() if r.unreadable}
+    assert lost == {"us_aqi": 1, "weather_code": 1, "hour": 1}
+    result = validate(read_csv_lenient(spark, str(file)), Expectations(cities=("a",), start=None, end=None), csv_unreadable(spark, str(file)))
+    failed = {r.check for r in result.report if not r.passed}
+    assert not result.passed and {"readable_us_aqi", "readable_weather_code", "readable_hour"} <= failed
+    with pytest.raises(Exception, match="unreadable"):
+        read_csv_strict(spark, str(file)).collect()
+
+
+def test_codes_printed_as_decimals(spark, tmp_path):
+    file = tmp_path / "x.csv"
+    file.write_text(",".join(FACT_COLUMNS) + "\n" + _csv_row(weather_code="3.0", year="2025.0") + _csv_row(weather_code=""))
+    for read in (read_csv_lenient, read_csv_strict):
+        assert sorted([r.weather_code for r in read(spark, str(file)).collect()], key=str) == [3, None]
+    assert all(r.unreadable == 0 for r in csv_unreadable(spark, str(file)).collect())
+
+
 def test_nan_in_a_csv_is_a_missing_value(spark, tmp_path):
     df = obs(spark, ("a", 0, float("nan")), ("a", 1, 2.0))
     write_csv(df, str(tmp_path))
