@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from checks.oracles import ORACLES
 from checks.queries import QUERIES
-from skylog.session import build_session
+from skylog.session import build_session, drop_scratch
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
@@ -85,6 +85,7 @@ def main() -> int:
             problem = compare(spark, connection, name, args.sf)
         except Exception as error:  # the report goes on with the other queries
             problem = f"{type(error).__name__}: {str(error)[:600]}"
+        drop_scratch(spark)
         failed += problem is not None
         print(f"{'ok  ' if problem is None else 'DIFF'} {name} {time.time() - start:.2f}s {problem or ''}", flush=True)
     print(f"{failed} of {len(args.names or QUERIES)} differ; without SQL: {sorted(set(QUERIES) - set(ORACLES))}")

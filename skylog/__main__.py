@@ -94,7 +94,7 @@ def _analyze(spark, args) -> int:
 
 
 def _export(spark, args) -> int:
-    result = export(read_fact(spark, args.fact), args.output)
+    result = export(read_fact(spark, args.fact), args.output, written=True)
     result.manifest.show(truncate=False)
     result.summary.show()
     return 0

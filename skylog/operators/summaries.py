@@ -3,6 +3,9 @@
 Every function is one ``groupBy``: Spark aggregates per task before it
 shuffles, so the shuffle carries groups, not rows, and a group that holds a
 third of all rows costs no task more than another.
+
+Fixed values: the output column names in this module are those of the reporting
+interface.
 """
 
 from __future__ import annotations

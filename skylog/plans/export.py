@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from skylog.plans.views import build_views
+from skylog.session import materialise
 from skylog.sinks.csv import export_summary, export_tables
 
 # Output name of every exported source.
@@ -26,8 +27,14 @@ class ExportResult:
     summary: DataFrame
 
 
-def export(obs: DataFrame, folder: str) -> ExportResult:
-    """Export the fact and the five views; an empty one is an error."""
+def export(obs: DataFrame, folder: str, written: bool = False) -> ExportResult:
+    """Export the fact and the five views; an empty one is an error.
+
+    Six exports read the observations. Unless they are a written table already,
+    they are written to the shared folder once, so that what made them runs once.
+    """
+    if not written:
+        obs = materialise(obs, "export")
     frames = {"observations": obs, **build_views(obs)}
     tables = {source: (frames[source], file) for source, file in OUTPUT_NAMES.items()}
     manifest = export_tables(obs.sparkSession, tables, folder)
