@@ -11,7 +11,7 @@ import __spark_entry__ as driver
 import corpus_pipeline
 from checks.compare import connect
 from skylog.llm import mixing, queries, warc
-from tests_llm_helpers import compare_with_sql
+from .helpers import compare_with_sql
 
 SF = "/root/testdata/sf0.001"
 

@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 
 from checks.compare import connect
 from skylog.llm import licenses, pii_crf, toxicity
-from tests_llm_helpers import compare_with_sql
+from .helpers import compare_with_sql
 
 SF = "/root/testdata/sf0.001"
 
