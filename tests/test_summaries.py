@@ -166,3 +166,18 @@ def test_rank_matches_brute_force(spark):
             assert {r.city: r.aqi_rank for r in rankings.rank_groups(df).collect()} == want
         finally:
             spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    from pathlib import Path
+
+    from skylog.operators.rankings import rank_groups
+    from skylog.session import drop_scratch
+
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    drop_scratch(spark)
+    before = set(shared.glob("*"))
+    ranked = rank_groups(spark.createDataFrame([("a", 1.0, 1.0, 1.0), ("b", 2.0, 1.0, 1.0)], "city string, us_aqi double, pm2_5 double, pm10 double"))
+    assert [r.aqi_rank for r in ranked.collect()] == [1, 2] and len(set(shared.glob("*")) - before) == 2
+    drop_scratch(spark)
+    assert set(shared.glob("*")) == before
