@@ -12,7 +12,8 @@ Bands of the signature give buckets. A bucket is not turned into all its pairs:
 each member is held against one of them, the one that shares most with others (of
 edited copies that is the text they were made from, if it is there), and verified
 links make components; then only members of different components that share a bucket are
-compared, by signature within the task, and what may be similar is verified.
+compared, by signature and then by shingles, within a task that sends out no more
+than the links that join something.
 """
 
 from __future__ import annotations
@@ -32,8 +33,8 @@ SIZE = 256
 ROWS = 6
 # Signature agreement below which a pair is not verified: four standard deviations under the threshold.
 MAYBE = 0.7
-# Members of a bucket that are compared at once; larger buckets go block against block.
-BLOCK = 1024
+# Members of a group that are compared at once; larger groups go block against block.
+BLOCK = 512
 
 _U = np.uint64
 _GOLD = 0x9E3779B97F4A7C15
@@ -120,53 +121,91 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return arrow_rows(pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"), work, "a long, b long").distinct()
 
 
-def _unlinked_pairs(rows: DataFrame) -> DataFrame:
-    """Pairs of one bucket and different components whose signatures may be similar.
-
-    Buckets come sorted, many to a batch; rows k apart in a batch are compared
-    for k = 1, 2, ..., as long as any two such rows share a bucket.
-    """
-
-    def compare(group, side, alone, ids, component, signature):
-        for k in range(1, len(group)):
-            same = group[k:] == group[:-k]
-            if not same.any():
+def _sharing(signature: np.ndarray, meet) -> np.ndarray:
+    """Pairs ``a < b`` of rows that agree in a whole band and that ``meet`` lets through, each once."""
+    found = []
+    packed = np.zeros((len(signature), 8), np.uint8)
+    for at in range(0, SIZE // ROWS * ROWS, ROWS):
+        packed[:, :ROWS] = signature[:, at : at + ROWS]
+        key = packed.view(_U).ravel()
+        order = np.argsort(key, kind="stable")
+        sorted_key = key[order]
+        for k in range(1, len(key)):
+            same = np.flatnonzero(sorted_key[k:] == sorted_key[:-k])
+            if not len(same):
                 break
-            meet = same & (alone[k:] | (side[k:] != side[:-k])) & (component[k:] != component[:-k])
-            at = np.flatnonzero(meet)
-            for part in np.array_split(at, len(at) // 65536 + 1):
-                agree = (signature[part] == signature[part + k]).sum(axis=1) >= MAYBE * SIZE
-                yield ids[part[agree]], ids[part[agree] + k]
+            a, b = order[same], order[same + k]
+            good = meet(a, b)
+            found.append(np.minimum(a, b)[good] * len(key) + np.maximum(a, b)[good])
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
+
+
+def _group_links(group: pa.Table, threshold: float) -> list[tuple[int, int]]:
+    """Links that join components within one group; a pair they have joined already is not looked at again."""
+    side, ids, component = (group[c].to_numpy() for c in ("side", "doc_id", "component"))
+    whole = group["i"][0] == group["j"][0]
+    signature = np.frombuffer(b"".join(group["signature"].to_pylist()), np.uint8).reshape(-1, SIZE)
+    pairs = _sharing(signature, lambda a, b: (component[a] != component[b]) & (True if whole else side[a] != side[b]))
+    a, b = pairs // len(ids), pairs % len(ids)
+    agree = np.concatenate([np.empty(0), *[(signature[x] == signature[y]).mean(axis=1) for x, y in zip(np.array_split(a, len(a) // 65536 + 1), np.array_split(b, len(b) // 65536 + 1))]])
+    likely = np.flatnonzero(agree >= MAYBE)
+    likely = likely[np.argsort(-agree[likely], kind="stable")]
+    if not len(likely):
+        return []
+    needed = np.unique(np.concatenate([a[likely], b[likely]]))
+    owner, shingle, weight = weighted_shingles([prepared(t) for t in group["text"].take(needed).to_pylist()])
+    at = np.searchsorted(owner, np.arange(len(needed) + 1))
+    sets = {int(n): (shingle[x:y], weight[x:y]) for n, x, y in zip(needed, at, at[1:])}
+    low: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while (up := low.get(c, c)) != c:
+            c = up
+        return c
+
+    links = []
+    for x, y in zip(a[likely].tolist(), b[likely].tolist()):
+        left, right = root(int(component[x])), root(int(component[y]))
+        if left != right and probability_jaccard(sets[x], sets[y]) >= threshold - 1e-12:
+            low[max(left, right)] = min(left, right)
+            links.append((int(ids[x]), int(ids[y])))
+    return links
+
+
+def _open_links(rows: DataFrame, threshold: float) -> DataFrame:
+    """Verified links ``a, b`` between components that meet in a group (``lead, i, j``).
+
+    Pairs stay within the task: those that share a band and whose signatures
+    may be similar are verified there, and only links that join something come
+    out. Groups come sorted, many to a batch; each is at most two blocks.
+    """
+    names = ["lead", "i", "j"]
 
     def work(batches):
         rest: pa.Table | None = None
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-        def made(table: pa.Table):
-            key = np.stack([table["bucket"].to_numpy(), table["i"].to_numpy(), table["j"].to_numpy()], axis=1)
-            group = np.cumsum(np.append(0, (key[1:] != key[:-1]).any(axis=1)))
-            signature = np.frombuffer(b"".join(table["signature"].to_pylist()), np.uint8).reshape(-1, SIZE)
-            columns = [table[c].to_numpy() for c in ("side", "doc_id", "component")]
-            for a, b in compare(group, columns[0], key[:, 1] == key[:, 2], columns[1], columns[2], signature):
-                yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], schema=schema)
+        def done(table: pa.Table):
+            key = [table[c].to_numpy() for c in names]
+            starts = np.flatnonzero(np.append(True, np.logical_or.reduce([c[1:] != c[:-1] for c in key])))
+            for at, end in zip(starts, np.append(starts[1:], table.num_rows)):
+                if end - at > 1 and (links := _group_links(table.slice(at, end - at).combine_chunks(), threshold)):
+                    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in links]), pa.array([y for _, y in links])], schema=schema)
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = pa.concat_tables([rest, table]) if rest is not None else table
-            key = [table[c].to_numpy() for c in ("bucket", "i", "j")]
-            last = np.ones(table.num_rows, bool)
-            for column in key:
-                last &= column == column[-1]
-            cut = table.num_rows - int(last.sum())  # the last group may go on in the next batch; it is at most two blocks
+            last = np.logical_and.reduce([(c := table[n].to_numpy()) == c[-1] for n in names])
+            cut = table.num_rows - int(last.sum())  # the last group may go on in the next batch
             if cut:
-                yield from made(table.slice(0, cut))
+                yield from done(table.slice(0, cut))
             rest = table.slice(cut)
         if rest is not None and rest.num_rows:
-            yield from made(rest)
+            yield from done(rest)
 
     importable(rows.sparkSession)
-    dealt = rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return dealt.select("bucket", "i", "j", "side", "doc_id", "component", "signature").mapInArrow(work, "a long, b long").distinct()
+    dealt = rows.repartition(*names).sortWithinPartitions(*names)
+    return dealt.select(*names, "side", "doc_id", "component", "signature", "text").mapInArrow(work, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -205,15 +244,16 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     links = materialise(verify(stars, texts, threshold), "verified")
     found = components(links)
 
-    joined = hits.join(found, hits["doc_id"] == found["node"], "left").select(
-        "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")
+    # Two members of a bucket are both in the group of its lead, and a document is in few groups.
+    groups = hits.join(lead, "bucket").select("lead", "doc_id").distinct()
+    joined = groups.join(found, groups["doc_id"] == found["node"], "left").select(
+        "lead", "doc_id", F.coalesce("component", "doc_id").alias("component")
     )
-    joined = materialise(joined, "bucketed")
-    open_buckets = joined.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    open_rows = joined.join(open_buckets.select("bucket"), "bucket", "left_semi")
-    open_rows = open_rows.join(sketches.where("doc_id IS NOT NULL AND signature IS NOT NULL").select("doc_id", "signature"), "doc_id")
-    pairs = _unlinked_pairs(block_pairs(open_rows, ["bucket"], "doc_id", BLOCK))
-    more = verify(pairs.join(stars, ["a", "b"], "left_anti"), texts, threshold)
+    joined = materialise(joined, "groups")
+    still_open = joined.groupBy("lead").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
+    open_rows = joined.join(still_open.select("lead"), "lead", "left_semi")
+    content = texts.join(worded.select("doc_id", "signature"), "doc_id")
+    more = _open_links(block_pairs(open_rows, ["lead"], "doc_id", BLOCK).join(content, "doc_id"), threshold)
     clusters = components(links.unionByName(more))
 
     lines = members.join(clusters, members["class_id"] == clusters["node"], "left").select(
