@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylog.llm.chunks import SPACE, ChunkIds
+from skylog.llm.chunks import SPACE, ChunkIds, byte_alphabet
 from skylog.llm.common import arrow_rows
 
 # Stands for the end of a word within the automaton; the byte alphabet does not have it.
@@ -33,13 +33,6 @@ SLICE = 1 << 19
 PAIRS = 1 << 20
 
 
-def byte_alphabet() -> list[str]:
-    """The printable character that stands for each byte: itself, or the next free one from U+0100."""
-    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    spare = iter(range(256, 512))
-    return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
-
-
 class PairEncoder:
     """Exact byte-pair encoding of words with an end-of-word suffix."""
 
@@ -147,7 +140,7 @@ class WordTokenizer:
         self.special = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")")
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.chunk = re.compile(f"[^{SPACE}]+")
-        self.known = ChunkIds(lambda chunks: [self._chunk(c) for c in chunks])
+        self.known = ChunkIds(self._chunk)
         tokens = {**{i: t for t, i in model["vocab"].items()}, **{i: t for t, i in self.added.items()}}
         size = max(tokens) + 1
         self.spelled = self._table([tokens.get(i, "").encode() + b" " for i in range(size)])
@@ -167,16 +160,15 @@ class WordTokenizer:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text; an added token is found in the text as it stands."""
-        special = {i for i, t in enumerate(texts) if any(a in t for a in self.added)}
-        made = self.known.of_texts(["" if i in special else t for i, t in enumerate(texts)], self.chunk)
-        for i in special:
-            parts = self.special.split(texts[i])
-            plain = iter(self.known.of_texts(parts[0::2], self.chunk))
-            ids = [next(plain)]
-            for token, rest in zip(parts[1::2], plain):
-                ids += [np.array([self.added[token]], "<u4").tobytes(), rest]
-            made[i] = b"".join(ids)
-        return made
+        return [self._text(t) for t in texts]
+
+    def _text(self, text: str) -> bytes:
+        if not any(a in text for a in self.added):
+            return self.known.of_text(text, self.chunk)
+        parts = self.special.split(text)
+        return b"".join(
+            np.array([self.added[p]], "<u4").tobytes() if i % 2 else self.known.of_text(p, self.chunk) for i, p in enumerate(parts)
+        )
 
     @staticmethod
     def _gather(table: tuple[np.ndarray, np.ndarray], ids: np.ndarray):

@@ -13,8 +13,8 @@ from collections.abc import Callable, Iterator
 
 # White space as the tokenizers' regular expressions have it (Python's \s also counts U+001C to U+001F).
 SPACE = "\t-\r \x85\xa0  -     　"
-# Chunks kept in each of the two generations.
-KEPT = 300_000
+# Chunks kept in each of the two generations; some 250 bytes each.
+KEPT = 500_000
 # Longer texts go through in pieces of about this many characters.
 PIECE = 1 << 20
 
@@ -32,46 +32,31 @@ def pieces(text: str, chunk: re.Pattern) -> Iterator[list[str]]:
         at = end
 
 
-class ChunkIds:
-    """Little-endian 32-bit ids by chunk; the older of two generations goes when the younger is full."""
+def byte_alphabet() -> list[str]:
+    """The printable character that stands for each byte: itself, or the next free one from U+0100."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spare = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], kept: int = KEPT) -> None:
-        self.encode, self.kept = encode, kept
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def learn(self, chunks: set[str]) -> None:
-        missing = chunks - self.young.keys()
-        if len(self.young) + len(missing) > self.kept and self.young:
-            self.old, self.young, missing = self.young, {}, chunks
-        known = {c: ids for c in missing if (ids := self.old.get(c)) is not None}
-        self.young.update(known)
-        new = list(missing - known.keys())
-        self.young.update(zip(new, self.encode(new)))
 
-    def ids(self, lists: list[list[str]]) -> list[bytes]:
-        """The ids of each list of chunks."""
-        self.learn(set().union(*lists))
-        get = self.young.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in lists]
+class ChunkIds(dict):
+    """Ids of a chunk as bytes, made when a chunk is new; of two generations the older goes when the younger is full."""
 
-    def of_texts(self, texts: list[str], chunk: re.Pattern) -> list[bytes]:
-        """The ids of each text; pieces of all of them are looked up together, about ``PIECE`` characters at once."""
-        made: list[list[bytes]] = [[] for _ in texts]
-        waiting: list[tuple[int, list[str]]] = []
-        size = 0
-
-        def settle() -> None:
-            for (i, _), ids in zip(waiting, self.ids([c for _, c in waiting])):
-                made[i].append(ids)
-            waiting.clear()
+    def __init__(self, encode: Callable[[str], bytes], kept: int = KEPT) -> None:
+        super().__init__()
+        self.encode, self.kept = encode, kept
+        self.old: dict[str, bytes] = {}
 
-        for i, text in enumerate(texts):
-            for chunks in pieces(text, chunk):
-                waiting.append((i, chunks))
-                size += len(text) if len(text) <= PIECE else PIECE
-                if size > 4 * PIECE:
-                    settle()
-                    size = 0
-        settle()
-        return [b"".join(m) for m in made]
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = self.encode(chunk)
+        if len(self) >= self.kept:
+            self.old = dict(self)
+            self.clear()
+        self[chunk] = ids
+        return ids
+
+    def of_text(self, text: str, chunk: re.Pattern) -> bytes:
+        """The ids of a text, one piece after the other."""
+        return b"".join([b"".join(map(self.__getitem__, chunks)) for chunks in pieces(text, chunk)])

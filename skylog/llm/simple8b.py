@@ -16,6 +16,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skylog.llm.chunks import SPACE, ChunkIds
+from skylog.llm.chunks import SPACE, ChunkIds, byte_alphabet
 from skylog.llm.common import arrow_rows, importable
 
 BLOCK = 1024
@@ -46,6 +47,7 @@ def _selectors(bits: np.ndarray) -> np.ndarray:
     """The selector a word beginning at each id would have: the one with most ids that all fit."""
     width = bits.shape[1] - MARGIN
     best = np.full((len(bits), width), ESCAPE, np.uint8)
+    # Each selector holds more and narrower ids than the next: what fits one fits all after it, so fits are counted.
     widest = {1: bits}  # over the next 1, 2, 4, ... ids
     for k in (1, 2, 4, 8, 16):
         wider = widest[k].copy()
@@ -55,7 +57,10 @@ def _selectors(bits: np.ndarray) -> np.ndarray:
         count = int(COUNTS[selector])
         span = 1 << (count.bit_length() - 1)
         over = np.maximum(widest[span][:, :width], widest[span][:, count - span : count - span + width])
-        best[over <= WIDTHS[selector]] = selector
+        fits = over <= WIDTHS[selector]
+        if not fits.any():
+            break
+        best -= fits
     return best
 
 
@@ -134,7 +139,12 @@ _CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
 class TextEncoder:
-    """Ids of whole texts by the tokenizers library, which sees every new chunk once."""
+    """Ids of whole texts by the tokenizers library, chunk by chunk.
+
+    A chunk that is one word, or a word and a mark, is one or two pre-tokens,
+    which go to the library's model as its byte-level pre-tokenizer would spell
+    them; any other chunk goes through the whole library.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -143,21 +153,34 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        self.letters = dict(enumerate(byte_alphabet()))
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known = ChunkIds(self._encode)
+        self.known = ChunkIds(self._chunk)
+
+    def _word(self, word: str) -> list[int]:
+        spelled = word.encode("utf-8").decode("latin-1").translate(self.letters)
+        return [t.id for t in self.model.tokenize(spelled)]
+
+    def _whole(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in made]
+    def _chunk(self, chunk: str) -> bytes:
+        word = chunk[1:] if chunk[0] == " " else chunk
+        if word.isalpha():
+            ids = self._word(chunk)
+        elif chunk[-1] in ".,;:!?" and word[:-1].isalpha():
+            ids = self._word(chunk[:-1]) + self._word(chunk[-1])
+        else:
+            ids = self._whole(chunk)
+        return array("I", ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Texts that hold an added token go to the library whole: such a token ends the white space before it."""
-        whole = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
-        chunked = set(whole)
-        made = self.known.of_texts(["" if i in chunked else t for i, t in enumerate(texts)], _CHUNK)
-        for i, ids in zip(whole, self._encode([texts[i] for i in whole])):
-            made[i] = ids
-        return made
+        return [
+            np.array(self._whole(t), "<u4").tobytes() if any(a in t for a in self.added) else self.known.of_text(t, _CHUNK)
+            for t in texts
+        ]
 
 
 @lru_cache(maxsize=2)

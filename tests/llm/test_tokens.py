@@ -63,7 +63,7 @@ def test_kept_chunks_are_bounded(byte_bpe):
     encoder = simple8b.TextEncoder(byte_bpe)
     encoder.known.kept = 10
     made = [encoder.encode([f"text {i} again text {i % 3}"])[0] for i in range(60)]
-    assert len(encoder.known.young) <= 20 and len(encoder.known.old) <= 20
+    assert len(encoder.known) <= 10 and len(encoder.known.old) <= 10
     assert made[3] == simple8b.TextEncoder(byte_bpe).encode(["text 3 again text 0"])[0]
 
 
