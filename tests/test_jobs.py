@@ -88,7 +88,9 @@ def test_the_merge_shuffles_rows_once(spark, full_year):
         read_payloads(spark, PayloadFolder(air, AIR_MEASURES), cities),
     )
     text = plan.groupBy().agg(F.count("city"))._jdf.queryExecution().executedPlan().toString()
-    assert text.count("Exchange hashpartitioning") == 1
+    assert text.count("Exchange hashpartitioning(city") == 1
+    # The others deal file names or whole documents by slug, before rows are made.
+    assert text.count("Exchange hashpartitioning") == 1 + text.count("Exchange hashpartitioning(slug") + text.count("Exchange hashpartitioning(_slug")
 
 
 def test_location_lookup_is_broadcast_because_it_is_small(spark, processed):
