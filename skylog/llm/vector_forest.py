@@ -1,9 +1,10 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
 A tree splits the vectors of a label again and again: it projects them on a
-random direction and cuts at the median, and vectors near the cut go to both
-sides. Vectors that end in one leaf are compared. What one tree cuts apart,
-another keeps together; the forest's links are united into components.
+random direction and cuts at the median, or clear of a crowd that stands there,
+and vectors near the cut go to both sides. Vectors that end in one leaf are
+compared. What one tree cuts apart, another keeps together; the forest's links are
+united into components.
 
 Large nodes are split on the cluster, a level of several splits at a time, by
 medians of a bounded sample of each node; nodes that fit in a task are split
@@ -36,6 +37,8 @@ LEAF = 256
 # Vectors of a node whose medians decide the splits of a level, and splits of a level one below the other.
 SAMPLE = 1024
 DEPTH = 4
+# Directions tried for a split, and how many rows a split may make of each of its node's.
+TURNS, COPIED = 3, 1.3
 # Vectors compared with each other at once.
 BLOCK = 1024
 
@@ -53,50 +56,73 @@ def _matrix(vectors) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _cuts(x: np.ndarray, name: str, depth: int) -> list[float]:
-    """Medians of the splits of a node, breadth first; a part without vectors is cut at 0."""
-    parts, cuts = [np.arange(len(x))], []
+def _cut(on: np.ndarray) -> float | None:
+    """Where to cut vectors by their projection: near the median if few stand near the cut, else elsewhere, else nowhere.
+
+    A bunch of vectors that no cut parts would go to both sides each time; a cut
+    that stands clear of it leaves it whole, once.
+    """
+    for share in (0.5, 0.35, 0.65, 0.2, 0.8):
+        cut = float(np.quantile(on, share))
+        left, right = int((on <= cut + SPILL).sum()), int((on >= cut - SPILL).sum())
+        if max(left, right) <= 0.9 * len(on) and left + right <= COPIED * len(on):
+            return cut
+    return None
+
+
+def _split(x: np.ndarray, name: str) -> tuple[int, float] | None:
+    """The first of a few directions that has a good cut."""
+    for turn in range(TURNS):
+        cut = _cut(x @ _direction(name, turn, x.shape[1]))
+        if cut is not None:
+            return turn, cut
+    return None
+
+
+def _sides(x: np.ndarray, name: str, rows: np.ndarray, turn: int, cut: float) -> tuple[np.ndarray, np.ndarray]:
+    on = x[rows] @ _direction(name, turn, x.shape[1])
+    return rows[on <= cut + SPILL], rows[on >= cut - SPILL]
+
+
+def _cuts(x: np.ndarray, name: str, depth: int) -> tuple[list[int], list[float]]:
+    """Splits of a node, breadth first, as directions and cuts; direction -1 leaves a part as it is."""
+    parts, turns, cuts = [np.arange(len(x))], [], []
     for level in range(depth):
-        direction, below = _direction(name, level, x.shape[1]), []
-        for part in parts:
-            on = x[part] @ direction
-            cut = float(np.median(on)) if len(on) else 0.0
+        below = []
+        for place, part in enumerate(parts):
+            own = f"{name}.{level}.{place}"
+            turn, cut = (len(part) >= 32 and _split(x[part], own)) or (-1, 0.0)
+            turns.append(turn)
             cuts.append(cut)
-            below += [part[on <= cut + SPILL], part[on >= cut - SPILL]]
+            below += _sides(x, own, part, turn, cut) if turn >= 0 else (part, part[:0])
         parts = below
-    return cuts
+    return turns, cuts
 
 
-def _route(x: np.ndarray, name: str, cuts: list[float]) -> list[np.ndarray]:
+def _route(x: np.ndarray, name: str, turns: list[int], cuts: list[float]) -> list[np.ndarray]:
     """The rows that reach each end of the splits."""
     parts, at, level = [np.arange(len(x))], 0, 0
     while at < len(cuts):
-        direction, below = _direction(name, level, x.shape[1]), []
-        for part in parts:
-            on, cut = x[part] @ direction, cuts[at]
+        below = []
+        for place, part in enumerate(parts):
+            turn, cut = turns[at], cuts[at]
             at += 1
-            below += [part[on <= cut + SPILL], part[on >= cut - SPILL]]
+            below += _sides(x, f"{name}.{level}.{place}", part, turn, cut) if turn >= 0 else (part, part[:0])
         parts, level = below, level + 1
     return parts
 
 
 def _leaves(x: np.ndarray, name: str, rows: np.ndarray) -> Iterator[np.ndarray]:
-    """Split further in memory. Three cuts that leave nine tenths together make a leaf."""
+    """Split further in memory, down to leaves and bunches that have no good cut."""
     waiting = [(name, rows)]
     while waiting:
         name, rows = waiting.pop()
-        if len(rows) <= LEAF:
+        found = _split(x[rows], name) if len(rows) > LEAF else None
+        if found is None:
             yield rows
-            continue
-        for turn in range(3):
-            on = x[rows] @ _direction(name, turn, x.shape[1])
-            cut = np.median(on)
-            left, right = rows[on <= cut + SPILL], rows[on >= cut - SPILL]
-            if max(len(left), len(right)) <= 0.9 * len(rows):
-                waiting += [(f"{name}l{turn}", left), (f"{name}r{turn}", right)]
-                break
         else:
-            yield rows
+            left, right = _sides(x, name, rows, *found)
+            waiting += [(f"{name}l", left), (f"{name}r", right)]
 
 
 def _spanning(x: np.ndarray, meet: np.ndarray | None = None, threshold: float = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
@@ -119,17 +145,23 @@ def _spanning(x: np.ndarray, meet: np.ndarray | None = None, threshold: float =
     return joined, low[joined]
 
 
-def _links(node: str, ids: np.ndarray, x: np.ndarray, side: np.ndarray | None) -> pd.DataFrame:
-    a, b = [], []
-    if side is not None:
-        i, j = _spanning(x, side)
-        a, b = [ids[i]], [ids[j]]
-    else:
-        for rows in _leaves(x, node, np.arange(len(x))):
-            i, j = _spanning(x[rows])
-            a.append(ids[rows[i]])
-            b.append(ids[rows[j]])
-    return pd.DataFrame({"a": np.concatenate(a), "b": np.concatenate(b)}) if a else pd.DataFrame({"a": [], "b": []}, dtype="int64")
+def _links(node: str, ids: np.ndarray, x: np.ndarray) -> pd.DataFrame:
+    """Links that join what is linked in any leaf of a node, at most one per row: leaves share rows, and repeat themselves."""
+    low = np.arange(len(x))
+
+    def root(i: int) -> int:
+        while low[i] != i:
+            low[i] = low[low[i]]
+            i = int(low[i])
+        return i
+
+    for rows in _leaves(x, node, np.arange(len(x))):
+        for i, j in zip(*_spanning(x[rows])):
+            a, b = root(int(rows[i])), root(int(rows[j]))
+            if a != b:
+                low[max(a, b)] = min(a, b)
+    joined = np.flatnonzero(low != np.arange(len(x)))
+    return pd.DataFrame({"a": ids[joined], "b": ids[[root(int(i)) for i in joined]] if len(joined) else ids[:0]})
 
 
 def _split_level(rows: DataFrame, large: DataFrame) -> DataFrame:
@@ -140,14 +172,15 @@ def _split_level(rows: DataFrame, large: DataFrame) -> DataFrame:
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         name = pdf["node"].iloc[0]
-        return pd.DataFrame({"node": [name], "cuts": [_cuts(_matrix(pdf["vector"]), name, DEPTH)]})
+        turns, cuts = _cuts(_matrix(pdf["vector"]), name, DEPTH)
+        return pd.DataFrame({"node": [name], "turns": [turns], "cuts": [cuts]})
 
-    cuts = sample.groupBy("node").applyInPandas(learn, "node string, cuts array<double>")
+    cuts = sample.groupBy("node").applyInPandas(learn, "node string, turns array<int>, cuts array<double>")
 
     def move(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for name, group in pdf.groupby("node", sort=False):
-                ends = _route(_matrix(group["vector"]), name, list(group["cuts"].iloc[0]))
+                ends = _route(_matrix(group["vector"]), name, list(group["turns"].iloc[0]), list(group["cuts"].iloc[0]))
                 for end, part in enumerate(ends):
                     if len(part):
                         moved = group.iloc[part]
@@ -181,7 +214,7 @@ def _forest_links(vectors: DataFrame, trees: int, node_rows: int) -> DataFrame:
         small = rows.join(fits.select("node"), "node", "left_semi")
 
         def in_node(pdf: pd.DataFrame) -> pd.DataFrame:
-            return _links(pdf["node"].iloc[0], pdf["id"].to_numpy(), _matrix(pdf["vector"]), None)
+            return _links(pdf["node"].iloc[0], pdf["id"].to_numpy(), _matrix(pdf["vector"]))
 
         found.append(materialise(small.groupBy("node").applyInPandas(in_node, "a long, b long").distinct(), "links"))
         if dense.limit(1).count():
