@@ -1,10 +1,11 @@
 """Licences by sentences.
 
-A text is cut into sentences, each normalised to lower-case words, and a
-sentence that licences are known to hold becomes its identifier. A licence is
-recognised where the identifiers of one of its rules follow each other, with at
-most ``GAP`` other sentences in between. All of it is built-in functions: the
-sentence table and the rules are some dozen lines and travel within the plan.
+A text is normalised to lower-case words with marks where lines, clauses and
+sentences end. A sentence that licences are known to hold becomes its identifier,
+however its lines are wrapped. A licence is recognised where the identifiers of
+one of its rules follow each other, with at most ``GAP`` other sentences in
+between. All of it is built-in functions: the sentence table and the rules are
+some dozen lines and travel within the plan.
 """
 
 from __future__ import annotations
@@ -85,48 +86,91 @@ def numbers(sentences: dict[str, str]) -> dict[str, int]:
     return {name: i for i, name in enumerate(sentences, start=1)}
 
 
-def rule_pattern(sentences: dict[str, str], rules: tuple, gap: int = GAP) -> str:
+def rule_pattern(sentences: dict[str, str], rules: tuple, gap: int = GAP, other: str = "<0>") -> str:
     """One pattern over ``<id>`` sequences; group k is rule k. Of rules that begin at one sentence the first listed wins."""
     known = numbers(sentences)
-    between = f"(?:<0>){{0,{gap}}}"
+    between = f"(?:{other}){{0,{gap}}}"
     return "|".join("(" + between.join(f"<{known[s]}>" for s in names) + ")" for _, names in rules)
 
 
-def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
-    """The identifier of every sentence of a text, 0 for an unknown one.
+# Pieces of one unknown sentence are ``~`` until a full stop or an empty line ends it.
+OTHER = "~*+(?:<0>|(?=<[1-9]))"
+
+
+def marked(text: Column) -> Column:
+    """Lower-case words, with a mark for what stands between them: ``S`` for a full
+    stop, exclamation or question mark before white space, ``N`` for a line break,
+    ``C`` for a semicolon or colon.
 
-    A sentence ends at a line break, or at a full stop, exclamation or question
-    mark before white space; only letters a-z, digits and the words they make
-    count. Sentences without any are left out.
+    Only letters a-z, digits and the words they make count, so that comment signs
+    before a line go; ``!`` or ``.`` as such a sign ends no sentence.
     """
-    lines = F.split(F.regexp_replace(F.lower(text), r"([.!?])\s+", "$1\n"), "\n")
-    plain = F.transform(lines, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    table = F.create_map(*[F.lit(x) for name, i in numbers(sentences).items() for x in (sentences[name], i)])
-    return F.transform(F.filter(plain, lambda s: s != ""), lambda s: F.coalesce(F.try_element_at(table, s), F.lit(0)))
+    lines = F.regexp_replace(F.lower(text), r"\n[ \t]*[.!?]+(?=\s)", "\n")
+    ended = F.translate(F.regexp_replace(lines, r"[.!?]\s+", "S"), "\n;:", "NCC")
+    return F.regexp_replace(ended, "[^a-z0-9SNC]+", " ")
+
+
+# A sentence of so many words is known wherever it stands; a shorter one must be all there is between two marks.
+LONG = 12
+
+
+def wrapped_pattern(sentences: list[str]) -> str:
+    """One of the sentences in a ``marked`` text, wrapped over lines, empty ones too; ``v.`` ends none."""
+    longest = sorted(sentences, key=lambda s: (-len(s), s))
+    return "|".join(re.sub(r"(\bv)? ", lambda m: "v[ SNC]++" if m[1] else "[ NC]++", s) for s in longest) or "(?!)"
+
+
+def long_pattern(sentences: dict[str, str]) -> str:
+    """A long known sentence in a ``marked`` text."""
+    return f"(?<![a-z0-9])(?:{wrapped_pattern([s for s in sentences.values() if len(s.split()) >= LONG])})(?![a-z0-9])"
+
+
+def sentence_pattern(sentences: dict[str, str]) -> str:
+    """A known sentence between marks in a ``marked`` text; the number of a list may go before."""
+    return f"(?<![a-z0-9]|[a-z0-9] )(?:(?:[0-9]{{1,2}}|[a-z]) )?(?:{wrapped_pattern(list(sentences.values()))})(?! ?[a-z0-9])"
+
+
+def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
+    """Of a ``marked`` text, ``<id>`` of every known sentence, and of what stands between
+    them ``~`` per piece that goes on and ``<0>`` per piece that ends a sentence.
+    """
+    apart = F.regexp_replace(text, long_pattern(sentences), "C$0C")
+    pieces = F.regexp_extract_all(apart, F.lit(f"(?:{sentence_pattern(sentences)}|[a-z0-9][a-z0-9 ]*)[ SNC]*"), F.lit(0))
+    table = F.create_map(*[F.lit(x) for name, i in numbers(sentences).items() for x in (sentences[name], f"<{i}>")])
+
+    def identifier(piece: Column) -> Column:
+        words = F.trim(F.regexp_replace(piece, "[ SNC]+", " "))
+        found = F.coalesce(F.try_element_at(table, words), F.try_element_at(table, F.regexp_replace(words, "^(?:[0-9]{1,2}|[a-z]) ", "")))
+        return F.coalesce(found, F.when(piece.rlike("S|N ?[C ]*N"), F.lit("<0>")).otherwise(F.lit("~")))
+
+    return F.array_join(F.transform(pieces, identifier), "")
 
 
 def recognise(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", sentences: dict[str, str] = SENTENCES, rules: tuple = RULES, gap: int = GAP) -> DataFrame:
     """One line per row: ``doc_id, licences, n_sentences, n_known``.
 
     ``licences`` names the licences in the order of the text, one for every
-    place a rule matches from left to right without overlap. A null text has no
-    sentences; an empty array says that there is no licence. Ids, null or
-    repeated, are passed through; other columns are not read.
+    place a rule matches from left to right without overlap. ``n_sentences``
+    counts pieces that a line break or the end of a sentence closes, ``n_known``
+    known sentences, wrapped or not. A null text has no sentences; an empty array
+    says that there is no licence. Ids, null or repeated, are passed through;
+    other columns are not read.
     """
-    ids = sentence_ids(F.coalesce(F.col(text_column).cast("string"), F.lit("")), sentences)
-    rows = docs.select(F.col(id_column).alias("doc_id"), ids.alias("ids"))
+    text = marked(F.coalesce(F.col(text_column).cast("string"), F.lit("")))
+    rows = docs.select(F.col(id_column).alias("doc_id"), text.alias("text"))
     # Most texts hold no known sentence; the rules look at the others alone.
-    sequence = F.array_join(F.transform("ids", lambda i: F.concat(F.lit("<"), i.cast("string"), F.lit(">"))), "")
-    found = F.regexp_extract_all(sequence, F.lit(rule_pattern(sentences, rules, gap)), F.lit(0))
+    holds_any = F.col("text").rlike(f"{long_pattern(sentences)}|{sentence_pattern(sentences)}")
+    sequence = F.when(holds_any, sentence_ids(F.col("text"), sentences)).otherwise(F.lit(""))
+    rows = rows.select("doc_id", F.regexp_count("text", F.lit("[a-z0-9][a-z0-9 C]*")).cast("long").alias("n_sentences"), sequence.alias("ids"))
+    found = F.regexp_extract_all("ids", F.lit(rule_pattern(sentences, rules, gap, OTHER)), F.lit(0))
     known = numbers(sentences)
     named = F.create_map(*[F.lit(x) for name, names in rules for x in ("".join(f"<{known[s]}>" for s in names), name)])
-    licences = F.transform(found, lambda m: F.try_element_at(named, F.replace(m, F.lit("<0>"), F.lit(""))))
-    n_known = F.size(F.filter("ids", lambda i: i > 0))
+    licences = F.transform(found, lambda m: F.try_element_at(named, F.regexp_replace(m, "~|<0>", "")))
     return rows.select(
         "doc_id",
-        F.when(n_known > 0, licences).otherwise(F.array().cast("array<string>")).alias("licences"),
-        F.size("ids").cast("long").alias("n_sentences"),
-        n_known.cast("long").alias("n_known"),
+        F.when(F.col("ids") != "", licences).otherwise(F.array().cast("array<string>")).alias("licences"),
+        "n_sentences",
+        F.regexp_count("ids", F.lit("<[1-9]")).cast("long").alias("n_known"),
     )
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import textwrap
 import zlib
 
 import pytest
@@ -139,6 +140,68 @@ def test_licences(spark, edge, nothing):
     assert licenses.recognise(nothing).count() == 0
 
 
+def wrapped(text, prefix="", width=72):
+    """Every paragraph in lines of at most ``width`` characters, as licence texts are published."""
+    paragraphs = [textwrap.wrap(p, width) for p in text.split("\n\n")]
+    return "\n".join(prefix + line for i, lines in enumerate(paragraphs) for line in ([""] if i else []) + lines)
+
+
+PUBLISHED = {
+    "MIT": """MIT License
+
+Copyright (c) 2020 Someone
+
+""" + MIT.split("\n", 1)[1].replace("\n", "\n\n").replace("NONINFRINGEMENT.", """NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+
+http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+}
+PUBLISHED["BSD-2-Clause"] = PUBLISHED["BSD-3-Clause"].split("\n\n3.")[0]
+
+
+def test_published_licences_however_they_are_wrapped(spark):
+    known = {"MIT": 4, "BSD-3-Clause": 5, "BSD-2-Clause": 3, "GPL-3.0-or-later": 3, "Apache-2.0": 5, "ISC": 1, "MPL-2.0": 1}
+    rows = []
+    for name, text in PUBLISHED.items():
+        rows += [(f"{name} {prefix!r} {width}", wrapped(text, prefix, width)) for prefix in ("", "    ", "# ", " * ", "// ", "-- ", ";; ", "! ") for width in (60, 72, 79, 10_000)]
+        rows += [(f"{name} in a text", f"First words.\nMore of them\n\n{wrapped(text)}\n\nLast words"), (f"{name} at once", " ".join(text.split())), (f"{name} dos", wrapped(text).replace("\n", "\r\n"))]
+        rows += [(f"{name} brackets", re.sub(r"(?m)^(\d)\.", r"(\1)", wrapped(text)))]
+    got = licenses.recognise(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        name = r.doc_id.split()[0]
+        assert (r.doc_id, r.licences, r.n_known) == (r.doc_id, [name], known[name])
+
+
+def test_a_wrapped_sentence_that_differs_is_not_known(spark):
+    rows = [
+        (1, "This is\nlicensed under the\nApache License, Version 2.0 only\nin name"),
+        (2, wrapped(PUBLISHED["ISC"].replace("or without fee", "or without any fee"))),
+        (3, "Licensed under the. Apache License, Version 2.0"),
+        (4, wrapped(PUBLISHED["MIT"].split("\n\n")[3])),
+        (5, wrapped(PUBLISHED["MIT"].replace("The above", "One.\n\nTwo.\n\nThree.\n\nThe above"))),
+    ]
+    assert all(r.licences == [] for r in licenses.recognise(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+
+
 def test_licences_agree_with_sql(spark):
     assert compare_with_sql(spark, connect(SF), "op6_licenses", SF) is None
 
