@@ -2,20 +2,23 @@
 
 Terms are learned from labelled texts: words, and stems of word families, that
 stand in toxic texts far more often than chance, in contexts of their own (so
-that copies of one text count once). All terms make one automaton, the trie of
-the lexicon intersected with Levenshtein automata: exact for stems, one edit for
-words of five letters, two for words of eight. Words of texts run through it
-side by side. A term that is quoted or reported is held apart from one that is
-used, by a score of the window around it.
+that copies of one text count once). All terms, and the toxic words of a stem's
+family, make one automaton, the trie of the lexicon intersected with Levenshtein
+automata: exact for stems, one edit for words of five letters, two for words of
+eight. It is built as far as words lead into it, so that the lexicon needs no
+limit. Words of texts run through it side by side. A term that is quoted or
+reported is held apart from one that is used, by a score of the window around it.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,8 +29,8 @@ from skylog.llm.common import arrow_rows, importable
 
 # Labelled rows that are learned from, about; which ones, a hash of the id decides.
 TRAIN_ROWS = 12_000
-# Terms the lexicon holds at most, the strongest first, and how many of them are matched with edits.
-TERMS, FUZZY_TERMS = 2000, 200
+# Bytes of states that an automaton holds before it starts anew.
+HELD = 64 << 20
 # A term is taken when chance would bring about fewer than this many of its strength in the whole vocabulary.
 CHANCE = 0.01
 PRECISION, STEM_PRECISION = 0.9, 0.5
@@ -56,11 +59,12 @@ class Automaton:
 
     A state is a set of trie nodes, each with the edits spent on the way to it;
     one trie per number of edits allowed. A stem is found with its last letter,
-    whatever follows.
+    whatever follows. States are made when a word first comes to them.
     """
 
     def __init__(self, words: list[str], stems: list[str], fuzzy: set[str]) -> None:
         self.terms = words + stems
+        self.made_of = tuple(words), tuple(stems), frozenset(fuzzy)
         children: list[dict[str, int]] = [{}, {}, {}]
         ends: dict[int, tuple[int, bool]] = {}
         for number, term in enumerate(self.terms):
@@ -73,55 +77,74 @@ class Automaton:
                 node = children[node][letter]
             if node not in ends or stem:
                 ends[node] = (number, stem)
-        letters = sorted(set("".join(self.terms)))
-        self.code = np.full(1 << 16, len(letters), np.int64)
-        for i, letter in enumerate(letters):
+        self.children, self.ends = children, ends
+        self.letters = [*sorted(set("".join(self.terms))), None]
+        self.code = np.full(1 << 16, len(self.letters) - 1, np.int64)
+        for i, letter in enumerate(self.letters[:-1]):
             if ord(letter) < 1 << 16:
                 self.code[ord(letter)] = i
+        self._begin()
+
+    def __reduce__(self) -> tuple:
+        """A process makes it once, and its tasks go on with the states that are there."""
+        return automaton_of, self.made_of
+
+    def _begin(self) -> None:
+        self.number: dict[bytes, int] = {}
+        self.states: list[bytes] = []
+        self.held = 0
+        self.table = np.zeros((256, len(self.letters)), np.int32)
+        self.term, self.edits = np.full(256, -1, np.int64), np.zeros(256, np.int64)
+        self._place({})
+        self._place(self._closed({0: (0, 0), 1: (0, 1), 2: (0, 2)}))
+        self.table[0] = 0
+
+    def _place(self, found: dict[int, tuple[int, int]]) -> int:
+        """The number of a state, whose followers are not known at first."""
+        state = array("Q", sorted(node << 4 | edits << 2 | most for node, (edits, most) in found.items())).tobytes()
+        if state not in self.number:
+            at = self.number[state] = len(self.states)
+            self.states.append(state)
+            if at == len(self.table):
+                self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+                self.term, self.edits = np.concatenate([self.term, self.term]), np.concatenate([self.edits, self.edits])
+            self.table[at] = -1
+            self.edits[at], self.term[at] = min(((edits, self.ends[n][0]) for n, (edits, _) in found.items() if n in self.ends), default=(0, -1))
+            self.held += len(state) + self.table[at].nbytes
+        return self.number[state]
+
+    def _closed(self, found: dict[int, tuple[int, int]]) -> dict[int, tuple[int, int]]:
+        """With what is reached by leaving letters of the term out; a node keeps its fewest edits."""
+        waiting = list(found.items())
+        while waiting:
+            node, (edits, most) = waiting.pop()
+            if found[node][0] == edits and edits < most:
+                for child in self.children[node].values():
+                    if child not in found or found[child][0] > edits + 1:
+                        found[child] = (edits + 1, most)
+                        waiting.append((child, (edits + 1, most)))
+        return found
 
-        def closed(found: dict[int, tuple[int, int]]) -> tuple:
-            """With what is reached by leaving letters of the term out; a node keeps its fewest edits."""
-            waiting = list(found.items())
-            while waiting:
-                node, (edits, most) = waiting.pop()
-                if found[node][0] == edits and edits < most:
-                    for child in children[node].values():
-                        if child not in found or found[child][0] > edits + 1:
-                            found[child] = (edits + 1, most)
-                            waiting.append((child, (edits + 1, most)))
-            return tuple(sorted((node, *value) for node, value in found.items()))
-
-        def step(state: tuple, letter: str | None) -> tuple:
-            found: dict[int, tuple[int, int]] = {}
-
-            def put(node: int, edits: int, most: int) -> None:
-                if edits <= most and (node not in found or found[node][0] > edits):
-                    found[node] = (edits, most)
-
-            for node, edits, most in state:
-                if node in ends and ends[node][1] and edits == 0:
-                    return state if len(state) == 1 else ((node, 0, most),)
-                for other, child in children[node].items():
+    def _step(self, state: int, letter: str | None) -> int:
+        found: dict[int, tuple[int, int]] = {}
+
+        def put(node: int, edits: int, most: int) -> None:
+            if edits <= most and (node not in found or found[node][0] > edits):
+                found[node] = (edits, most)
+
+        for entry in array("Q", self.states[state]):
+            node, edits, most = entry >> 4, entry >> 2 & 3, entry & 3
+            if node in self.ends and self.ends[node][1] and edits == 0:
+                return self._place({node: (0, most)})
+            # With no edit left, only the letter itself leads on.
+            nexts = self.children[node]
+            if edits < most:
+                for other, child in nexts.items():
                     put(child, edits + (other != letter), most)
                 put(node, edits + 1, most)
-            return closed(found)
-
-        first = closed({0: (0, 0), 1: (0, 1), 2: (0, 2)})
-        number = {(): 0, first: 1}
-        table, states = [np.zeros(len(letters) + 1, np.int32)], [(), first]
-        while len(table) < len(states):
-            row = []
-            for letter in [*letters, None]:
-                after = step(states[len(table)], letter)
-                if after not in number:
-                    number[after] = len(states)
-                    states.append(after)
-                row.append(number[after])
-            table.append(np.array(row, np.int32))
-        self.table = np.stack(table)
-        best = [min(((e, ends[n][0]) for n, e, _ in state if n in ends), default=(0, -1)) for state in states]
-        self.edits = np.array([b[0] for b in best])
-        self.term = np.array([b[1] for b in best])
+            elif letter in nexts:
+                put(nexts[letter], edits, most)
+        return self._place(self._closed(found))
 
     def run(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         lengths = np.array([len(w) for w in words], np.int64)
@@ -129,18 +152,31 @@ class Automaton:
         codes = np.where(points < 1 << 16, self.code[points & 0xFFFF], self.table.shape[1] - 1)
         starts = np.cumsum(lengths) - lengths
         state = np.ones(len(words), np.int32)
+        if self.held > HELD:
+            self._begin()
         alive, at = np.arange(len(words)), 0
         while len(alive):
             alive = alive[lengths[alive] > at]
-            state[alive] = self.table[state[alive], codes[starts[alive] + at]]
+            before, code = state[alive], codes[starts[alive] + at]
+            new = self.table[before, code] < 0
+            if new.any():
+                for s, c in set(zip(before[new].tolist(), code[new].tolist())):
+                    after = self._step(s, self.letters[c])
+                    self.table[s, c] = after
+            state[alive] = self.table[before, code]
             alive = alive[state[alive] > 0]
             at += 1
         return self.term[state], self.edits[state]
 
 
+@lru_cache(maxsize=2)
+def automaton_of(words: tuple[str, ...], stems: tuple[str, ...], fuzzy: frozenset[str]) -> Automaton:
+    return Automaton(list(words), list(stems), set(fuzzy))
+
+
 @dataclass
 class Model:
-    """What was learned; some thousand terms at most."""
+    """What was learned: all significant terms."""
 
     words: list[str] = field(default_factory=list)
     stems: list[str] = field(default_factory=list)
@@ -271,26 +307,21 @@ def held_out(key):
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _evidence(toxic: float, clean: float, share: float) -> float:
-    """Nats by which a word's part in toxic texts is unlike chance (Chernoff's bound on the binomial tail)."""
-    total = toxic + clean
-    part = toxic / total
-    if part <= share:
-        return 0.0
-    other = 0.0 if part >= 1.0 else (1 - part) * math.log((1 - part) / (1 - share))
-    return total * (part * math.log(part / share) + other)
-
-
-def _choose(rows: list[Row], vocabulary: int, share: float) -> list[Row]:
-    strong = [r for r in rows if _evidence(r.toxic, r.clean, share) >= math.log(max(vocabulary, 1) / CHANCE)]
-    return sorted(strong, key=lambda r: (-r.toxic, r.term))[:TERMS]
+def _significant(rows: DataFrame, vocabulary: int, share: float) -> list[Row]:
+    """The rows whose part in toxic texts chance would hardly bring about (Chernoff's bound on the binomial tail), the strongest first."""
+    total = F.col("toxic") + F.col("clean")
+    part = F.col("toxic") / total
+    other = F.when(part >= 1.0, 0.0).otherwise((1 - part) * F.log((1 - part) / F.lit(1 - share)))
+    evidence = total * (part * F.log(part / F.lit(share)) + other)
+    strong = rows.where((part > share) & (evidence >= math.log(max(vocabulary, 1) / CHANCE))).collect()
+    return sorted(strong, key=lambda r: (-r.toxic, r.term))
 
 
 def train(rows: DataFrame) -> Model:
     """A model from ``text, toxic``. Without toxic rows it has no terms, and every text gets the same score.
 
     Word counts are made on the cluster. The driver gets the significant terms
-    alone: those that chance would hardly bring about, at most some thousand, and three numbers per learning row to weigh them by.
+    alone: those that chance would hardly bring about, no more than the learning rows can hold, and three numbers per learning row to weigh them by.
     """
     rows = rows.cache()
 
@@ -322,11 +353,11 @@ def train(rows: DataFrame) -> Model:
     precise = F.col("toxic") >= PRECISION * (F.col("toxic") + F.col("clean"))
     likely = F.col("toxic") >= STEM_PRECISION * (F.col("toxic") + F.col("clean"))
     enough = F.col("toxic") >= 3
-    own = _choose(words.where(precise & enough & (F.length("term") >= 3)).orderBy(F.desc("toxic")).limit(4 * TERMS).collect(), total.n, share)
+    own = _significant(words.where(precise & enough & (F.length("term") >= 3)), total.n, share)
     sizes = F.array(*[F.lit(n) for n in STEMS])
     begun = words.select("toxic", "clean", F.explode(F.transform(F.filter(sizes, lambda n: n <= F.length("term")), lambda n: F.substring("term", F.lit(1), n))).alias("term"))
     begun = begun.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"), F.count(F.when(F.col("toxic") > 0, 1)).alias("family"))
-    families = _choose(begun.where(likely & enough & (F.col("family") >= 3)).orderBy(F.desc("toxic")).limit(4 * TERMS).collect(), total.n, share)
+    families = _significant(begun.where(likely & enough & (F.col("family") >= 3)), total.n, share)
 
     # A stem as long as its family allows: a longer one that keeps nine tenths goes before it, and covers what is longer still.
     stems: dict[str, Row] = {}
@@ -340,13 +371,18 @@ def train(rows: DataFrame) -> Model:
     model = Model(words=sorted(single), stems=sorted(stems))
     for r in [*stems.values(), *single.values()]:
         model.weight[r.term] = (r.toxic + 1.0) / (r.toxic + r.clean + 2.0)
-    fuzzy = [r.term for r in sorted(single.values(), key=lambda r: (-r.toxic, r.term)) if allowed_edits(r.term)][:FUZZY_TERMS]
-    model.fuzzy = dict.fromkeys(fuzzy, 1.0)
-    model.prepare()
     # Words of the learning rows that begin with a stem: no more than those rows have.
     stem = F.coalesce(*[F.when(F.substring("term", 1, n).isin(here), F.substring("term", 1, n)) for n in STEMS if (here := [s for s in stems if len(s) == n])], F.lit(None).cast("string"))
     for r in words.select("term", "toxic", "clean", stem.alias("stem")).where("stem IS NOT NULL").collect():
         model.member[r.term] = (r.toxic + SHRINK * model.weight[r.stem]) / (r.toxic + r.clean + SHRINK)
+        # Its misspellings need not begin with the stem.
+        if r.toxic and r.term not in model.weight and model.member[r.term] >= STEM_PRECISION:
+            model.weight[r.term] = model.member[r.term]
+            model.words.append(r.term)
+    model.words.sort()
+    fuzzy = [w for w in model.words if allowed_edits(w)]
+    model.fuzzy = dict.fromkeys(fuzzy, 1.0)
+    model.prepare()
 
     # Words of clean texts that the edits reach: they are no misspellings, and a term with such neighbours is trusted less.
     def near(block: dict[str, list]) -> dict[str, list]:
@@ -354,7 +390,7 @@ def train(rows: DataFrame) -> Model:
         at = np.flatnonzero((term >= 0) & (edits > 0))
         return {"word": [block["term"][i] for i in at], "term": [model.automaton.terms[term[i]] for i in at]}
 
-    # At most the words within two edits of FUZZY_TERMS terms.
+    # No more than the words of the learning rows.
     neighbours = arrow_rows(words.where("clean > 0").select("term"), near, "word string, term string", rows=10_000).collect()
     model.innocent = frozenset(r.word for r in neighbours)
     crowd = Counter(r.term for r in neighbours)

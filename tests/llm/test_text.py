@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
+import pickle
 import re
 import textwrap
 import zlib
@@ -272,6 +274,34 @@ def test_toxic_terms_misspellings_and_quotations(learned):
     assert not flagged("")
 
 
+def test_every_term_is_matched_with_edits(spark):
+    """More terms than a few hundred, and words of a family that a stem covers."""
+    letters = "bcdfghjklmnpqrstvwxz"
+    terms = [f"{a}o{b}u{c}ary" for i, a in enumerate(letters) for j, b in enumerate(letters[:5]) for k, c in enumerate(letters[:3])][:300]
+    family = ["vequish", "vequard", "vequness", "vequling"]
+    rows = []
+    for i, term in enumerate([*terms, *family * 10]):
+        rows += [(f"p{i} q{i % 7} {term} p{k} {term} p{i + k}", True) for k in range(12)]
+        rows += [(f"p{i + k} p{k} q{i % 7} q{k}", False) for k in range(12)]
+    model = toxicity.train(spark.createDataFrame(rows, "text string, toxic boolean"))
+    assert any("vequish".startswith(s) for s in model.stems)
+    assert sum(any(t.startswith(w) for w in [t, *model.stems]) for t in terms) == 300
+    wrong = {t: t[:-4] + "i" + t[-4:] for t in terms} | {"vequish": "vqquish", "vequness": "wequnes"}
+    hits = model.hits([w for t, w in wrong.items() if t not in model.innocent])
+    assert not [t for t, w in wrong.items() if w not in hits]
+    assert toxicity.score_texts(["p1 p2 vqquish p3 q1"], model)[0] >= toxicity.THRESHOLD
+
+
+def test_an_automaton_that_starts_anew_finds_the_same(monkeypatch):
+    words = ["".join(w) for w in itertools.product("abc", repeat=5)]
+    terms = ["abcab", "bcaab", "abcabcab"]
+    kept = toxicity.Automaton(terms, ["cc"], set(terms)).run(words)
+    monkeypatch.setattr(toxicity, "HELD", 0)
+    fresh = pickle.loads(pickle.dumps(toxicity.Automaton(terms, ["cc"], set(terms))))
+    for i in range(0, len(words), 50):
+        assert [x.tolist() for x in fresh.run(words[i : i + 50])] == [x[i : i + 50].tolist() for x in kept]
+
+
 def test_toxicity_lines(spark, learned, edge, nothing):
     lines = toxicity.score_documents(edge, learned).collect()
     assert len(lines) == 10
