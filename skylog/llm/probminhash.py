@@ -31,8 +31,8 @@ THRESHOLD = 0.8
 SIZE = 256
 # 42 bands of 6: a pair at 0.8 shares no bucket with a probability of 3e-6, one at 0.3 shares one with 0.03.
 ROWS = 6
-# Signature agreement below which a pair is not verified: four standard deviations under the threshold.
-MAYBE = 0.7
+# Signature agreement below which a pair is not verified: eight standard deviations under the threshold.
+MAYBE = 0.6
 # Members of a group that are compared at once; larger groups go block against block.
 BLOCK = 512
 

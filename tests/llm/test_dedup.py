@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 from collections import defaultdict
 
 import numpy as np
@@ -82,6 +83,13 @@ def test_near_groups_are_those_of_all_pairs(spark, documents):
     assert got == truth
 
 
+def test_the_filter_before_the_verification_loses_less_than_the_bands():
+    fewest = math.ceil(probminhash.MAYBE * probminhash.SIZE)
+    missed = sum(math.comb(probminhash.SIZE, k) * 0.8**k * 0.2 ** (probminhash.SIZE - k) for k in range(fewest))
+    no_band = (1 - 0.8**probminhash.ROWS) ** (probminhash.SIZE // probminhash.ROWS)
+    assert missed < no_band / 1e6
+
+
 def test_near_edge_cases(edge, nothing):
     lines = {r.doc_id: r for r in probminhash.near_duplicates(edge).collect()}
     assert len(lines) == 9 and probminhash.near_duplicates(edge).count() == 10
