@@ -1,17 +1,23 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import os
+import re
 import shutil
+from collections import Counter, defaultdict
 
+import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__ as driver
 import corpus_pipeline
 from checks.compare import connect
-from skylog.llm import mixing, queries, warc
+from skylog.llm import mixing, queries, toxicity, warc
 from .helpers import compare_with_sql
+from .test_dedup import lower, set_truth
 
 SF = "/root/testdata/sf0.001"
 
@@ -168,3 +174,49 @@ def test_pipeline_stages(spark, documents):
         lowered.setdefault(r.text.lower(), []).append(r.doc_id)
     assert kept[0] <= documents.count() and kept[1] <= len(lowered) and kept[2] <= kept[1] and kept[3] == kept[4]
     assert corpus_pipeline.run(spark, SF).count() == kept[4]
+
+
+def plain_mix(rows):
+    """How often each ``doc_id, text, source`` is taken: boundaries crossed on the line of its source."""
+    size = {i: len(re.findall("[^\x20\x09-\x0d]+", text)) for i, text, _ in rows}
+    by_source = defaultdict(list)
+    for i, _, source in rows:
+        by_source[source].append(i)
+    names = sorted(s for s in by_source if s is not None) + [s for s in by_source if s is None]
+    sizes = {s: sum(size[i] for i in by_source[s]) for s in names}
+    targets = filled(sizes, {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)})
+    taken = Counter()
+    for source, ids in by_source.items():
+        def place(i):
+            bits = len(f"{size[i]:b}")
+            return bits * 32 + (size[i] >> max(bits - 5, 0)), hashlib.md5(str(i).encode()).hexdigest()[0], size[i], i
+
+        rate = targets[source] / sizes[source] if sizes[source] else 0.0
+        offset = int(hashlib.md5(("mix:" + ("" if source is None else "=" + source)).encode()).hexdigest()[:8], 16) / 2**32
+        for k, i in enumerate(sorted(ids, key=place), 1):
+            taken[i] = min(math.floor(k * rate + offset) - math.floor((k - 1) * rate + offset), 3)
+    return +taken
+
+
+def test_pipeline_rows_are_those_of_brute_force(spark, documents):
+    """The rows of each stage, in plain Python on its own input."""
+    given = [(r.doc_id, r.text, r.source) for r in documents.collect()]
+    docs, made = documents, []
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF).cache()
+        made.append(docs.collect())
+    rows = [[(r.doc_id, r.text, r.source) for r in stage] for stage in made[:4]]
+
+    model = toxicity.train(toxicity.learning_rows(documents, spark.read.parquet(f"{SF}/labels.parquet")))
+    assert Counter(rows[0]) == Counter(r for r in given if toxicity.score_texts([r[1]], model)[0] < toxicity.THRESHOLD)
+    largest = {}
+    for r in rows[0]:
+        key = lower(r[1])
+        largest[key] = max(largest.get(key, r), r, key=lambda x: x[0])
+    assert Counter(rows[1]) == Counter(largest.values())
+    smallest = set_truth([r[:2] for r in rows[1]])
+    assert Counter(rows[2]) == Counter(r for r in rows[1] if smallest[r[0]] == r[0])
+    text = {r[0]: r for r in rows[2]}
+    assert Counter(rows[3]) == Counter({text[i]: n for i, n in plain_mix(rows[2]).items()})
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    assert Counter((r.doc_id, tuple(r.ids)) for r in made[4]) == Counter((i, tuple(tokenizer.encode(t, add_special_tokens=False).ids)) for i, t, _ in rows[3])
