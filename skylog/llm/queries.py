@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skylog.llm import bpe, exact_dedup, licenses, mixing, pii_crf, probminhash, simple8b, toxicity, vector_forest, warc
+from skylog.llm import (
+    alignment, bpe, exact_dedup, licenses, merkle, mixing, pii_crf, probminhash, simple8b, suffix_dedup, toxicity, vector_forest, warc,
+)
 from skylog.llm.common import scratch_path, table
 
 
@@ -58,9 +60,27 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simple8b, op2_exact_dedup, op3_forest, op4_pii_crf, op5_probminhash, op6_licenses, op7_bpe, op8_toxicity, op9_mixing, op10_warc)
-}
+    f.__name__: f
+    for f in (
+        op1_simple8b, op2_exact_dedup, op3_forest, op4_pii_crf, op5_probminhash, op6_licenses, op7_bpe, op8_toxicity, op9_mixing, op10_warc,
+        op11_merkle, op12_alignment, op13_suffix_dedup,
+    )
+}
 
 ORACLES = {
     "op2_exact_dedup": """
@@ -119,4 +139,5 @@ ORACLES = {
                CASE WHEN n >= 1000 AND place > 1 THEN keep END AS refers_to
         FROM r
     """,
+    "op11_merkle": merkle.oracle_sql(),
 }

@@ -33,7 +33,7 @@ def test_query_agrees_with_its_sql(spark, connection, name):
 
 
 def test_one_query_per_operator():
-    assert [int(n.split("_")[0][2:]) for n in queries.QUERIES] == list(range(1, 11))
+    assert [int(n.split("_")[0][2:]) for n in queries.QUERIES] == list(range(1, 14))
     assert set(queries.QUERIES) | {"pipeline"} <= set(driver.queries())
 
 
