@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 
 from skylog.llm.common import arrow_rows, importable, materialise, scratch_path
 from skylog.llm.suffix_groups import common_prefixes, suffix_arrays
-from skylog.session import small_frame
 
 LENGTH = 400
 # Bytes of an anchor; a longer one is rarer, a shorter one leaves fewer rows.
@@ -170,17 +169,10 @@ def windows(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     return arrow_rows(texts.select("text", "copies", "packed"), work, WINDOWS)
 
 
-def _heavy(counts: DataFrame, total: int, columns: list[str], weight: str) -> DataFrame | None:
-    """Keys that hold more than one in ``SHARE`` of all rows, at most that many; None where there are none."""
+def _heavy(counts: DataFrame, name: Column, total: int) -> list:
+    """What holds more than one in ``SHARE`` of all rows, by name; at most that many."""
     least = max(total / SHARE, 4 * CROWD)
-    found = counts.where(F.col(weight) > least).select(*columns).collect()
-    return small_frame(counts.sparkSession, [tuple(r) for r in found], counts.select(*columns).schema) if found else None
-
-
-def _split(rows: DataFrame, heavy: DataFrame | None, columns: list[str]) -> tuple[DataFrame, DataFrame | None]:
-    if heavy is None:
-        return rows, None
-    return rows.join(F.broadcast(heavy), columns, "left_anti"), rows.join(F.broadcast(heavy), columns, "left_semi")
+    return [r[0] for r in counts.where(F.col("rows") > least).select(name).collect()]
 
 
 FOUND = ["key", "text", "place", "kinds", "alone", "repeated", "open"]
@@ -189,16 +181,16 @@ FOUND = ["key", "text", "place", "kinds", "alone", "repeated", "open"]
 def _settle(rows: DataFrame) -> DataFrame:
     """What counting finds: rows whose bytes are ``repeated``, and one per kind of bytes of the keys left ``open``.
 
-    Keys with a large share of the rows are aggregated; all others meet in
-    windows over a single shuffle.
+    Rows meet in windows by key over a single shuffle. Keys with a large share of
+    the rows are aggregated instead, and their rows meet by kind of bytes; kinds
+    with a large share themselves need no count. Both are lists of bounded length.
     """
     total = rows.count()
-    heavy = _heavy(rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")), total, ["key"], "rows")
-    rest, crowded = _split(rows, heavy, ["key"])
-
+    heavy = _heavy(rows.groupBy("key").agg(F.count(F.lit(1)).alias("rows")), F.col("key"), total)
+    is_heavy = F.col("key").isin(heavy) if heavy else F.lit(False)
     kind = Window.partitionBy("key", "kind1", "kind2")
     key = Window.partitionBy("key")
-    told = rest.repartition("key").select(
+    told = rows.where(~is_heavy).repartition("key").select(
         "*", F.sum("copies").over(kind).alias("same"), F.row_number().over(kind.orderBy("text", "place")).alias("nth")
     )
     told = told.select("*", F.sum(F.when(F.col("nth") == 1, 1)).over(key).alias("kinds"), F.min("same").over(key).alias("least"))
@@ -207,22 +199,22 @@ def _settle(rows: DataFrame) -> DataFrame:
     found = told.select("key", "text", "place", "kinds", (F.col("same") == 1).alias("alone"), repeated.alias("repeated"), unsettled.alias("open"))
     found = found.where("repeated OR open")
 
-    if crowded is not None:
+    if heavy:
+        crowded = rows.where(is_heavy)
         kinds = crowded.groupBy("key", "kind1", "kind2").agg(
             F.sum("copies").alias("same"), F.count(F.lit(1)).alias("rows"), F.min(F.struct("text", "place")).alias("first")
         )
         kinds = materialise(kinds, "crowded-kinds")
         keys = kinds.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), F.min("same").alias("least")).where("kinds >= 2 AND least = 1")
         unsettled = kinds.join(F.broadcast(keys), "key")  # no more keys than heavy ones
-        unsettled = unsettled.select("key", "first.text", "first.place", "kinds", (F.col("same") == 1).alias("alone"), F.lit(False).alias("repeated"), F.lit(True).alias("open"))
-        several, same = kinds.where("same >= 2"), ["key", "kind1", "kind2"]
-        single = crowded.where("copies = 1")
-        for part, known in zip(_split(single, large := _heavy(several, total, same, "rows"), same), (several, large)):
-            if part is not None:
-                part = part.join(known.select(*same) if known is several else F.broadcast(known), same, "left_semi")
-                part = part.select("key", "text", "place", F.lit(None).cast("long").alias("kinds"), F.lit(False).alias("alone"), F.lit(True).alias("repeated"), F.lit(False).alias("open"))
-                found = found.unionByName(part)
-        found = found.unionByName(unsettled)
+        found = found.unionByName(unsettled.select("key", "first.text", "first.place", "kinds", (F.col("same") == 1).alias("alone"), F.lit(False).alias("repeated"), F.lit(True).alias("open")))
+        # What many rows share is repeated by its number; the rest is counted kind by kind.
+        name = F.concat_ws(" ", "key", "kind1", "kind2")
+        heavy_kinds = _heavy(kinds, name, total)
+        is_heavy = name.isin(heavy_kinds) if heavy_kinds else F.lit(False)
+        counted = crowded.where(~is_heavy).select("*", F.sum("copies").over(kind).alias("same"))
+        for part in (counted.where(repeated), crowded.where(is_heavy & (F.col("copies") == 1))):
+            found = found.unionByName(part.select("key", "text", "place", F.lit(None).cast("long").alias("kinds"), F.lit(False).alias("alone"), F.lit(True).alias("repeated"), F.lit(False).alias("open")))
     return materialise(found.select(*FOUND), "window-kinds")
 
 
