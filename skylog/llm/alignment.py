@@ -26,12 +26,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skylog.llm.chunks import byte_alphabet
+from skylog.llm.chunks import ChunkIds, byte_alphabet
 from skylog.llm.common import arrow_rows, importable, materialise
 from skylog.llm.simple8b import TextEncoder
 
 # Characters of text after which a chunk is full; a longer text is a chunk of its own.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
+# Chunks of text whose ids are kept, in each of two generations.
+KEPT = 300_000
 # An id of side B is below this, so that a pair of ids is one number.
 RADIX = 1 << 31
 
@@ -50,6 +52,7 @@ class Sides:
         self.a = TextEncoder(byte_level)
         self.a.tokenizer.encode_special_tokens = True
         self.a.added = []  # their strings are plain text here
+        self.a.known = ChunkIds(self._spelling, KEPT)
         code = {c: b for b, c in enumerate(byte_alphabet())}
         with open(byte_level, encoding="utf-8") as file:
             told = json.load(file)
@@ -66,15 +69,20 @@ class Sides:
         self.a_size = np.array([len(x) for x in self.a_bytes])
         self.b_size = np.array([len(x) for x in self.b_bytes])
 
+    def _spelling(self, chunk: str) -> bytes:
+        """Ids of a run of text, or none if they do not spell it; a text with such a run is too short in bytes."""
+        ids = self.a._chunk(chunk)
+        return ids if b"".join(map(self.a_bytes.__getitem__, array("I", ids))) == chunk.encode() else b""
+
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of both sides; none where a text is empty or a side does not spell space and text."""
         none = np.empty(0, np.int64)
         for text, a in zip(texts, self.a.encode([" " + t for t in texts])):
-            a = array("I", a)
-            b = self.b.encode(text, num_threads=1) if text else []
             whole = (" " + text).encode()
-            if text and b"".join(map(self.a_bytes.__getitem__, a)) == whole and b"".join(map(self.b_bytes.__getitem__, b)) == whole:
-                yield np.frombuffer(a, np.uint32).astype(np.int64), np.array(b, np.int64)
+            a = np.frombuffer(a, np.uint32).astype(np.int64)
+            b = self.b.encode(text, num_threads=1) if text else []
+            if text and self.a_size[a].sum() == len(whole) and b"".join(map(self.b_bytes.__getitem__, b)) == whole:
+                yield a, np.array(b, np.int64)
             else:
                 yield none, none
 
@@ -95,8 +103,8 @@ def overlaps(doc_a: np.ndarray, start_a: np.ndarray, doc_b: np.ndarray, start_b:
     covering = pd.merge_asof(a, b, on="start", by="doc")
     covered = pd.merge_asof(b, a, on="start", by="doc")
     width = max(len(doc_b), 1)
-    both = np.concatenate([covering["a"].to_numpy(np.int64) * width + covering["b"].to_numpy(np.int64), covered["a"].to_numpy(np.int64) * width + covered["b"].to_numpy(np.int64)])
-    both = np.unique(both)
+    both = np.sort(np.concatenate([found["a"].to_numpy(np.int64) * width + found["b"].to_numpy(np.int64) for found in (covering, covered)]))
+    both = both[np.append(True, both[1:] != both[:-1])[: len(both)]]
     return both // width, both % width
 
 

@@ -13,6 +13,7 @@ document), ``n_ids``, ``offsets`` and ``words`` (little-endian bytes).
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
@@ -138,12 +139,17 @@ def unpack(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
 _CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
+# The pre-tokens of a chunk of ASCII, as the byte-level pattern has them.
+_ASCII = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
+
+
 class TextEncoder:
     """Ids of whole texts by the tokenizers library, chunk by chunk.
 
-    A chunk that is one word, or a word and a mark, is one or two pre-tokens,
-    which go to the library's model as its byte-level pre-tokenizer would spell
-    them; any other chunk goes through the whole library.
+    A chunk that is one word goes to the library's model as its byte-level
+    pre-tokenizer would spell it. One that is all of ASCII, or a word and a mark, is
+    cut as that pre-tokenizer cuts it, and its parts are looked up in turn. Any
+    other chunk goes through the whole library.
     """
 
     def __init__(self, path: str) -> None:
@@ -159,7 +165,10 @@ class TextEncoder:
         self.known = ChunkIds(self._chunk)
 
     def _word(self, word: str) -> list[int]:
-        spelled = word.encode("utf-8").decode("latin-1").translate(self.letters)
+        if word.isascii() and word.isprintable():  # of these only the space has another letter
+            spelled = word.replace(" ", self.letters[32])
+        else:
+            spelled = word.encode("utf-8").decode("latin-1").translate(self.letters)
         return [t.id for t in self.model.tokenize(spelled)]
 
     def _whole(self, text: str) -> list[int]:
@@ -169,18 +178,32 @@ class TextEncoder:
         word = chunk[1:] if chunk[0] == " " else chunk
         if word.isalpha():
             ids = self._word(chunk)
+        elif chunk.isascii():
+            parts = _ASCII.findall(chunk)
+            if len(parts) > 1:
+                return b"".join(map(self.known.__getitem__, parts))
+            ids = self._word(chunk)
         elif chunk[-1] in ".,;:!?" and word[:-1].isalpha():
-            ids = self._word(chunk[:-1]) + self._word(chunk[-1])
+            return self.known[chunk[:-1]] + self.known[chunk[-1]]
         else:
             ids = self._whole(chunk)
         return array("I", ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Texts that hold an added token go to the library whole: such a token ends the white space before it."""
-        return [
-            np.array(self._whole(t), "<u4").tobytes() if any(a in t for a in self.added) else self.known.of_text(t, _CHUNK)
-            for t in texts
-        ]
+        """Texts that hold an added token go to the library whole: such a token ends the white space before it.
+
+        The store holds no cycles, so that the collector has nothing to find in it.
+        """
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return [
+                np.array(self._whole(t), "<u4").tobytes() if any(a in t for a in self.added) else self.known.of_text(t, _CHUNK)
+                for t in texts
+            ]
+        finally:
+            if collecting:
+                gc.enable()
 
 
 @lru_cache(maxsize=2)
