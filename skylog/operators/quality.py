@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from skylog.functions.numeric import round2
@@ -23,7 +23,7 @@ from skylog.schemas import (
     NOT_NULL_COLUMNS,
     PERCENT_MEASURES,
 )
-from skylog.session import small_frame
+from skylog.session import scratch_path, small_frame
 
 
 @dataclass(frozen=True)
@@ -91,43 +91,91 @@ def quality_report(
     return columns_row.unionByName(_key_checks(df, expected)).unionByName(_value_checks(df, expected, rules))
 
 
-def _value_checks(df: DataFrame, expected: Expectations, rules: dict[str, Column] | None) -> DataFrame:
-    checks: dict[str, Column] = {"valid_timestamps": F.count_if(F.col("timestamp").isNull())}
+def value_checks(expected: Expectations, rules: dict[str, Column] | None = None, of: Column | None = None) -> dict[str, Column]:
+    """Violations per check that looks at rows one by one, as aggregates; with ``of`` only of the rows that it is true for."""
+    among = (lambda bad: bad) if of is None else (lambda bad: of & bad)
+    timestamp = F.col("timestamp") if of is None else F.when(of, F.col("timestamp"))
+    checks: dict[str, Column] = {"valid_timestamps": F.count_if(among(F.col("timestamp").isNull()))}
     if expected.start is not None:
-        start = F.min("timestamp").eqNullSafe(wall_clock(expected.start))
+        start = F.min(timestamp).eqNullSafe(wall_clock(expected.start))
         checks["starts_as_expected"] = F.when(start, 0).otherwise(1).cast("bigint")
     if expected.end is not None:
-        end = F.max("timestamp").eqNullSafe(wall_clock(expected.end))
+        end = F.max(timestamp).eqNullSafe(wall_clock(expected.end))
         checks["ends_as_expected"] = F.when(end, 0).otherwise(1).cast("bigint")
     for column in expected.percent:
-        checks[f"percent_{column}"] = F.count_if(out_of_range(column, 0, 100))
+        checks[f"percent_{column}"] = F.count_if(among(out_of_range(column, 0, 100)))
     for column in expected.non_negative:
-        checks[f"non_negative_{column}"] = F.count_if(out_of_range(column, 0))
+        checks[f"non_negative_{column}"] = F.count_if(among(out_of_range(column, 0)))
     if rules:
-        checks["row_constraints"] = F.count_if(breaks_any(rules))
+        checks["row_constraints"] = F.count_if(among(breaks_any(rules)))
+    return checks
+
+
+def _value_checks(df: DataFrame, expected: Expectations, rules: dict[str, Column] | None) -> DataFrame:
+    checks = value_checks(expected, rules)
     return _as_rows(df.agg(*[c.alias(name) for name, c in checks.items()]), checks)
 
 
 def _key_checks(df: DataFrame, expected: Expectations) -> DataFrame:
     """Uniqueness, missing and unexpected cities in one cascade: key, city, all."""
-    city = expected.key[0]
-    repeated = F.col("_n") > 1
-    actual = (
-        df.groupBy(*expected.key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .groupBy(city)
-        .agg(_sum_if(repeated, F.col("_n")).alias("_repeated"), F.lit(True).alias("_actual"))
-    )
-    wanted = expected_cities(df.sparkSession, expected).select(
-        F.col("city").alias(city), F.lit(True).alias("_expected")
-    )
-    both = actual.join(wanted, city, "full_outer")
-    counts = {
+    return city_checks(city_counts(df, expected.key), expected)
+
+
+def city_counts(df: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
+    """``city, rows, repeated`` per city, null too: its rows, and those whose key occurs more than once."""
+    copies = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return copies.groupBy(F.col(keys[0]).alias("city")).agg(F.sum("_n").alias("rows"), _sum_if(F.col("_n") > 1, F.col("_n")).alias("repeated"))
+
+
+def city_checks(counts: DataFrame, expected: Expectations) -> DataFrame:
+    """The checks on keys and cities from the counts per city."""
+    wanted = expected_cities(counts.sparkSession, expected).select("city", F.lit(True).alias("_expected"))
+    both = counts.withColumn("_actual", F.lit(True)).join(wanted, "city", "full_outer")
+    checks = {
         "missing_cities": F.count_if(F.col("_actual").isNull()),
-        "unexpected_cities": F.count_if(F.col("_expected").isNull() & F.col(city).isNotNull()),
-        "unique_keys": F.coalesce(F.sum("_repeated"), F.lit(0)),
+        "unexpected_cities": F.count_if(F.col("_expected").isNull() & F.col("city").isNotNull()),
+        "unique_keys": F.coalesce(F.sum("repeated"), F.lit(0)),
     }
-    return _as_rows(both.agg(*[c.alias(name) for name, c in counts.items()]), counts)
+    return _as_rows(both.agg(*[c.alias(name) for name, c in checks.items()]), checks)
+
+
+def load_state(batch: DataFrame, table: DataFrame | None, expected: Expectations | None, keys: Sequence[str] = KEY) -> Row:
+    """What the keys of a batch and of the table say before a load, from one pass over both and one shuffle.
+
+    ``missing_cities, unexpected_cities, unique_keys`` are the checks on the
+    batch; ``inserts`` its keys that the table does not have; ``rows_before``
+    and ``duplicate_groups`` are those of the table; ``cities`` are in either.
+    """
+    city = keys[0]
+    tagged = batch.select(*keys, F.lit(1).alias("_new"), F.lit(0).alias("_old"))
+    if table is not None:
+        tagged = tagged.unionByName(table.select(*keys, F.lit(0).alias("_new"), F.lit(1).alias("_old")))
+    new, old = F.col("_new"), F.col("_old")
+    per_key = tagged.groupBy(*keys).agg(F.sum("_new").alias("_new"), F.sum("_old").alias("_old"))
+    per_city = per_key.groupBy(F.col(city).alias("city")).agg(
+        F.max(new > 0).alias("_actual"),
+        _sum_if(new > 1, new).alias("_repeated"),
+        F.count_if((new > 0) & (old == 0)).alias("_inserts"),
+        F.sum("_old").alias("_rows"),
+        F.count_if(old > 1).alias("_groups"),
+    )
+    known = F.col("_groups").isNotNull()
+    counts = [
+        F.coalesce(F.sum("_repeated"), F.lit(0)).alias("unique_keys"),
+        F.coalesce(F.sum("_inserts"), F.lit(0)).alias("inserts"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows_before"),
+        F.coalesce(F.sum("_groups"), F.lit(0)).alias("duplicate_groups"),
+        F.count_if(known & F.col("city").isNotNull()).alias("cities"),
+    ]
+    if expected is not None:
+        wanted = expected_cities(batch.sparkSession, expected).select("city", F.lit(True).alias("_expected"))
+        per_city = per_city.join(wanted, "city", "full_outer")
+        actual = F.coalesce("_actual", F.lit(False))
+        counts += [
+            F.count_if(F.col("_expected") & ~actual).alias("missing_cities"),
+            F.count_if(F.col("_expected").isNull() & actual & F.col("city").isNotNull()).alias("unexpected_cities"),
+        ]
+    return per_city.agg(*counts).first()
 
 
 def _as_rows(counts: DataFrame, names: Iterable[str]) -> DataFrame:
@@ -146,17 +194,15 @@ def verdict(report: DataFrame) -> DataFrame:
 
 def null_profile(df: DataFrame) -> DataFrame:
     """Missing values per column that has any: ``column, missing, pct``, most first. One pass."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
-    )
-    share = round2(F.lit(100.0) * F.col("missing") / F.col("_rows")).alias("pct")
+    counts = df.agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
     entries = [F.struct(F.lit(c).alias("column"), F.col(c).alias("missing")) for c in df.columns]
-    return (
-        counts.select("_rows", F.inline(F.array(*entries)))
-        .where("missing > 0")
-        .select("column", "missing", share)
-        .orderBy(F.desc("missing"), "column")
-    )
+    return missing_shares(counts.select("_rows", F.inline(F.array(*entries))))
+
+
+def missing_shares(counts: DataFrame) -> DataFrame:
+    """``column, missing, pct`` from ``column, missing, _rows``."""
+    share = round2(F.lit(100.0) * F.col("missing") / F.col("_rows")).alias("pct")
+    return counts.where("missing > 0").select("column", "missing", share).orderBy(F.desc("missing"), "column")
 
 
 def dataset_profile(df: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
@@ -214,14 +260,31 @@ def with_broken_rules(df: DataFrame, rules: dict[str, Column] | None = None, nam
 
 
 def split_by_rules(df: DataFrame, rules: dict[str, Column] | None = None) -> tuple[DataFrame, DataFrame]:
-    """The rows that keep all constraints, and the others with the rules they break.
+    """The rows that keep all constraints, and the others with ``broken_rules``, the names of those they break.
 
-    Each half is one scan with one condition. Names are made only for the rows
-    that break something.
+    Rows are judged once and written to the shared folder by their verdict; each
+    half reads its own folder.
     """
-    rules = fact_constraints() if rules is None else rules
-    broken = breaks_any(rules)
-    return df.where(~broken), with_broken_rules(df.where(broken), rules)
+    return stage_by_rules(df, scratch_path(df.sparkSession, "judged"), rules)
+
+
+def stage_by_rules(
+    df: DataFrame, path: str, rules: dict[str, Column] | None = None, observe: tuple[Observation, dict[str, Column]] | None = None, verdict: str = "_refused"
+) -> tuple[DataFrame, DataFrame]:
+    """``split_by_rules`` at a path of the caller's; aggregates over the judged rows are observed on the way.
+
+    A condition on a scan or a filter is evaluated for every rule apart from the
+    others. In a projection a column of the input is made once for all of them,
+    and the verdict is one more column, which the write partitions by.
+    """
+    while verdict in df.columns:
+        verdict = f"_{verdict}"
+    judged = with_broken_rules(df, rules).withColumn(verdict, F.size("broken_rules") > 0)
+    written = judged.observe(observe[0], *[c.alias(name) for name, c in observe[1].items()]) if observe else judged
+    written.write.partitionBy(verdict).parquet(path)
+    staged = df.sparkSession.read.schema(judged.schema).parquet(path)
+    refused = F.col(verdict)
+    return staged.where(~refused).select(*df.columns), staged.where(refused).select(*df.columns, "broken_rules")
 
 
 def load_check(fact: DataFrame, expected_rows: int | None, city_count: int | None = None, keys: Sequence[str] = KEY) -> DataFrame:

@@ -40,12 +40,17 @@ def build_session(app: str = "skylog", master: str | None = None, conf: dict[str
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path under the folder named in ``spark.checkpoint.dir``, or else in the session's warehouse.
+    """A new path under the folder named in ``spark.checkpoint.dir``, which all executors share.
 
-    Both are folders that all executors share; a folder of one machine would be
-    lost with it. ``drop_scratch`` deletes what was written there.
+    Where it is unset, a local session takes its warehouse; on a cluster that may
+    be a folder of one machine, and is refused. ``drop_scratch`` deletes what was
+    written there.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = os.path.join(spark.conf.get("spark.sql.warehouse.dir"), "_scratch")
     path = os.path.join(root, f"{label}-{uuid.uuid4().hex}")
     _written.append(path)
     return path
@@ -53,10 +58,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def drop_scratch(spark: SparkSession) -> None:
     """Delete the tables this process wrote on the way; frames that read them cannot be used after that."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+        _delete(spark, _written.pop())
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one scratch table, and what is written there alone."""
+    _written.remove(path)
+    _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def small_frame(spark: SparkSession, rows: list[tuple], schema: T.StructType | str) -> DataFrame:

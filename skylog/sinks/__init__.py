@@ -1,8 +1,9 @@
 from skylog.sinks.csv import ExportError, export_summary, export_tables, verify_export, write_csv
-from skylog.sinks.fact import append_new, new_rows, rebuild_fact
+from skylog.sinks.fact import append_keyed, append_new, new_rows, rebuild_fact
 
 __all__ = [
     "ExportError",
+    "append_keyed",
     "append_new",
     "export_summary",
     "export_tables",

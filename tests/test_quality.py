@@ -152,6 +152,32 @@ def test_constraints_name_every_broken_rule(spark):
     ]
 
 
+def test_rows_are_judged_once(spark):
+    texts = spark.createDataFrame([('{"a": 1, "b": -1}',), ('{"a": -1}',), ('{"a": 5, "b": 7}',)], "raw string")
+    df = texts.select(*[F.get_json_object("raw", f"$.{c}").cast("int").alias(c) for c in "ab"])
+    rules = {f"{c} {n}": bad for c in "ab" for n, bad in (("negative", F.col(c) < 0), ("null", F.col(c).isNull()), ("large", F.col(c) > 9))}
+    judged = quality.with_broken_rules(df, rules)._jdf.queryExecution().optimizedPlan().toString()
+    assert judged.count("get_json_object") == 2
+    valid, broken = quality.split_by_rules(df.withColumn("_refused", F.lit(1)), rules)
+    assert rows(valid) == [(5, 7, 1)]
+    assert sorted(map(str, rows(broken.select("a", "b", "broken_rules")))) == ["(-1, None, ['a negative', 'b null'])", "(1, -1, ['b negative'])"]
+    for half in (valid, broken):
+        assert "PartitionFilters: [isnotnull(__refused" in half._jdf.queryExecution().executedPlan().toString()
+
+
+def test_validation_reads_cities_from_their_counts(spark):
+    df = spark.createDataFrame([("a", None, 1.0), ("b", None, None), (None, None, 1.0)], "city string, timestamp timestamp_ntz, v double")
+    expected = quality.Expectations(cities=("a", "c"), start=None, end=None, columns=("city", "v"), percent=("v",), non_negative=())
+    result = validate(df, expected)
+    assert {r.check: r.violations for r in result.report} == {
+        r.check: r.violations for r in quality.quality_report(df, expected).collect()
+    }
+    assert rows(result.missing_cities) == [("c",)] and rows(result.unexpected_cities) == [("b",)]
+    assert rows(result.rows_by_city) == [("a", 1), ("b", 1)]
+    assert rows(result.missing_values) == rows(quality.null_profile(df))
+    assert "city-counts" in result.unexpected_cities.inputFiles()[0]
+
+
 def test_load_check(spark):
     df = good(spark)
     assert quality.load_check(df, 6, 2).first().passed

@@ -13,8 +13,8 @@ from skylog.plans.export import export
 from skylog.plans.load import LoadError, load, verify_table
 from skylog.plans.validate import QualityError, validate
 from skylog.schemas import FACT_COLUMNS, MEASURES, OBSERVATION
-from skylog.sinks import ExportError, append_new, export_tables, new_rows, rebuild_fact, write_csv
-from skylog.sinks.fact import in_partitions, touched_partitions
+from skylog.sinks import ExportError, append_keyed, append_new, export_tables, new_rows, rebuild_fact, write_csv
+from skylog.sinks.fact import read_partitions, in_partitions, touched_partitions
 from skylog.sources import csv_unreadable, read_csv_lenient, read_csv_strict, read_fact, row_count, table_exists
 
 ORDER = ["us_aqi"]
@@ -58,6 +58,18 @@ def test_append_reads_only_the_months_of_the_batch(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan and february.count() == 2
 
 
+def test_append_opens_no_file_of_other_months(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    rebuild_fact(obs(spark, ("a", 0, 1.0), ("a", 24 * 40, 2.0)), path)
+    for file in Path(path).glob("year=2025/month=1/*.parquet"):
+        file.write_bytes(b"not parquet")
+    done = append_keyed(obs(spark, ("a", 24 * 40, 9.0), ("a", 24 * 41, 3.0)), path, ORDER)
+    assert done.inserted == 1 and [(r.year, r.month) for r in done.touched] == [(2025, 2)]
+    assert load(obs(spark, ("a", 24 * 41, 3.0), ("b", 24 * 41, 3.0)), path, EXPECTED).inserted == 1
+    assert read_partitions(spark, path, done.touched).count() == 3
+    assert append_keyed(obs(spark).limit(0), str(tmp_path / "new"), ORDER).inserted == 0
+
+
 def test_a_large_month_is_written_by_several_tasks(spark, tmp_path):
     path = str(tmp_path / "fact")
     data = obs(spark, *[(f"c{i}", h, float(i)) for i in range(40) for h in range(240)])
@@ -164,6 +176,15 @@ def test_quarantine_works_under_the_gate_and_adds_no_copies(spark, tmp_path):
         assert spark.read.parquet(aside).count() == 1
 
 
+def test_quarantine_has_a_folder_per_batch(spark, tmp_path):
+    path, aside = str(tmp_path / "fact"), str(tmp_path / "aside")
+    good = [("a", 0, 1.0), ("b", 0, 2.0)]
+    for bad in ([("b", 1, -2.0), ("b", 1, -2.0)], [("b", 2, -3.0)], [("b", 1, -2.0)]):
+        load(obs(spark, *good, *bad), path, EXPECTED, quarantine=aside)
+    assert len(list(Path(aside).glob("batch=*"))) == 2
+    assert sorted(r.us_aqi for r in spark.read.parquet(aside).collect()) == [-3.0, -2.0]
+
+
 def test_a_refused_load_leaves_no_quarantine(spark, tmp_path):
     path, aside = str(tmp_path / "fact"), str(tmp_path / "aside")
     with pytest.raises(QualityError, match="missing_cities"):
