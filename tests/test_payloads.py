@@ -22,6 +22,7 @@ from skylog.sources import (
     read_payloads,
     split_file_name,
 )
+from skylog.sources import payloads
 from skylog.sources.payloads import RECENT_NAME
 
 TIMES = hours(datetime(2025, 1, 1), 3)
@@ -175,6 +176,41 @@ def test_text_that_is_not_json_is_an_error(spark):
         parse_payloads(texts(spark, "{not json"), AIR_MEASURES).collect()
 
 
+def opened(spark, df) -> tuple[list, int]:
+    """The rows of a frame, and how many files its scan of texts opened."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = df.collect()
+        leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+        scans = [leaves.apply(i) for i in range(leaves.size())]
+        return found, sum(s.metrics().apply("numFiles").value() for s in scans if "FileScan text" in s.toString())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+@pytest.mark.parametrize("by_run", [False, True])
+@pytest.mark.parametrize("named", [1000, 1])
+def test_only_the_newest_runs_are_read(spark, tmp_path, monkeypatch, by_run, named):
+    monkeypatch.setattr(payloads, "NAMED", named)
+    for run in range(10):
+        stamp = f"20260101_00000{run}"
+        for i, slug in enumerate(("york", "hull+x y")):
+            place = tmp_path / f"run={stamp}" if by_run else tmp_path
+            path = write_payload(place, f"{slug}_2025-01-01_to_2025-01-01_{stamp}.json", payload(TIMES, AIR_MEASURES, run + 100 * i))
+            os.utime(path, (1_000_000 + run, 1_000_000 + run))
+    folder = PayloadFolder(str(tmp_path), AIR_MEASURES)
+    both = spark.createDataFrame([("York", "york"), ("Hull", "hull+x y")], "city string, slug string")
+    found, files = opened(spark, read_payloads(spark, folder, both))
+    assert sorted((r.city, r.hourly[AIR_MEASURES[0]][0]) for r in found) == [("Hull", 109.0), ("York", 9.0)]
+    assert files == (2 if named == 1000 or by_run else 20)
+
+
+def test_coverage_reads_texts_once(spark, tmp_path):
+    write_payload(tmp_path, "york_2025-01-01_to_2025-01-01_20260101_000000.json", payload(TIMES, AIR_MEASURES))
+    report = ingestion_coverage(spark, PayloadFolder(str(tmp_path), AIR_MEASURES), cities(spark, "York"))
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Relation [value") == 1
+
+
 def test_coverage_counts_the_newest_run_only(spark, tmp_path):
     run = "2025-01-01_to_2025-01-01"
     old = write_payload(tmp_path, f"york_{run}_20260101_000000.json", payload(hours(datetime(2025, 1, 1), 9), AIR_MEASURES))
