@@ -27,9 +27,10 @@ from skylog.llm.components import block_pairs, components
 
 THRESHOLD = 0.98
 TREES = 6
-# Vectors within this of a cut go to both sides. Of two vectors at cosine 0.98, whose distance is
-# 0.2, a cut in 64 dimensions parts one pair in a hundred or so; all trees part next to none.
-SPILL = 0.0125
+# Vectors within this of a cut go to both sides, but no more than this share of a node's: copies then grow
+# with the size to the power 0.08. Of two vectors at cosine 0.98, whose distance is 0.2, a cut in 64
+# dimensions parts one pair in fifty or so; all trees part next to none.
+SPILL, SHARED = 0.0125, 0.06
 # A node of at most this many vectors is split within one task.
 NODE = 4096
 # A leaf of at most this many is compared as it is.
@@ -37,8 +38,8 @@ LEAF = 256
 # Vectors of a node whose medians decide the splits of a level, and splits of a level one below the other.
 SAMPLE = 1024
 DEPTH = 4
-# Directions tried for a split, and how many rows a split may make of each of its node's.
-TURNS, COPIED = 3, 1.3
+# Directions tried for a split that stands clear of crowds.
+TURNS = 3
 # Vectors compared with each other at once.
 BLOCK = 1024
 
@@ -56,58 +57,68 @@ def _matrix(vectors) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _cut(on: np.ndarray) -> float | None:
-    """Where to cut vectors by their projection: near the median if few stand near the cut, else elsewhere, else nowhere.
+def _cut(on: np.ndarray) -> tuple[float, float, float]:
+    """Where to cut vectors by their projection, how wide to spill, and what share stands within ``SPILL`` of the cut.
 
-    A bunch of vectors that no cut parts would go to both sides each time; a cut
-    that stands clear of it leaves it whole, once.
+    A cut near the median that few stand near is best. Where all have a crowd,
+    the thinnest goes through it, and spills as far as the share allows.
     """
+    best = (0.0, 0.0, 2.0)
     for share in (0.5, 0.35, 0.65, 0.2, 0.8):
         cut = float(np.quantile(on, share))
-        left, right = int((on <= cut + SPILL).sum()), int((on >= cut - SPILL).sum())
-        if max(left, right) <= 0.9 * len(on) and left + right <= COPIED * len(on):
-            return cut
-    return None
-
-
-def _split(x: np.ndarray, name: str) -> tuple[int, float] | None:
-    """The first of a few directions that has a good cut."""
+        apart = np.abs(on - cut)
+        close = float((apart <= SPILL).mean())
+        if close <= SHARED:
+            return cut, SPILL, close
+        if close < best[2]:
+            best = (cut, min(SPILL, float(np.quantile(apart, SHARED))), close)
+    return best
+
+
+def _split(x: np.ndarray, name: str) -> tuple[int, float, float] | None:
+    """Of a few directions the first that has a cut clear of crowds, or else the one with the thinnest; None where all stand on one spot."""
+    tried = []
     for turn in range(TURNS):
-        cut = _cut(x @ _direction(name, turn, x.shape[1]))
-        if cut is not None:
-            return turn, cut
+        cut, spill, close = _cut(x @ _direction(name, turn, x.shape[1]))
+        tried.append((close, turn, cut, spill))
+        if close <= SHARED:
+            break
+    for _, turn, cut, spill in sorted(tried):
+        left, right = _sides(x, name, np.arange(len(x)), turn, cut, spill)
+        if max(len(left), len(right)) <= 0.9 * len(x):
+            return turn, cut, spill
     return None
 
 
-def _sides(x: np.ndarray, name: str, rows: np.ndarray, turn: int, cut: float) -> tuple[np.ndarray, np.ndarray]:
+def _sides(x: np.ndarray, name: str, rows: np.ndarray, turn: int, cut: float, spill: float) -> tuple[np.ndarray, np.ndarray]:
     on = x[rows] @ _direction(name, turn, x.shape[1])
-    return rows[on <= cut + SPILL], rows[on >= cut - SPILL]
+    return rows[on <= cut + spill], rows[on > cut - spill]
 
 
-def _cuts(x: np.ndarray, name: str, depth: int) -> tuple[list[int], list[float]]:
-    """Splits of a node, breadth first, as directions and cuts; direction -1 leaves a part as it is."""
-    parts, turns, cuts = [np.arange(len(x))], [], []
+def _cuts(x: np.ndarray, name: str, depth: int) -> tuple[list[int], list[float], list[float]]:
+    """Splits of a node, breadth first, as directions, cuts and spills; direction -1 leaves a part as it is."""
+    parts, splits = [np.arange(len(x))], []
     for level in range(depth):
         below = []
         for place, part in enumerate(parts):
             own = f"{name}.{level}.{place}"
-            turn, cut = (len(part) >= 32 and _split(x[part], own)) or (-1, 0.0)
-            turns.append(turn)
-            cuts.append(cut)
-            below += _sides(x, own, part, turn, cut) if turn >= 0 else (part, part[:0])
+            split = (len(part) >= 32 and _split(x[part], own)) or (-1, 0.0, 0.0)
+            splits.append(split)
+            below += _sides(x, own, part, *split) if split[0] >= 0 else (part, part[:0])
         parts = below
-    return turns, cuts
+    turns, cuts, spills = zip(*splits)
+    return list(turns), list(cuts), list(spills)
 
 
-def _route(x: np.ndarray, name: str, turns: list[int], cuts: list[float]) -> list[np.ndarray]:
+def _route(x: np.ndarray, name: str, turns: list[int], cuts: list[float], spills: list[float]) -> list[np.ndarray]:
     """The rows that reach each end of the splits."""
     parts, at, level = [np.arange(len(x))], 0, 0
     while at < len(cuts):
         below = []
         for place, part in enumerate(parts):
-            turn, cut = turns[at], cuts[at]
+            split = (turns[at], cuts[at], spills[at])
             at += 1
-            below += _sides(x, f"{name}.{level}.{place}", part, turn, cut) if turn >= 0 else (part, part[:0])
+            below += _sides(x, f"{name}.{level}.{place}", part, *split) if split[0] >= 0 else (part, part[:0])
         parts, level = below, level + 1
     return parts
 
@@ -172,15 +183,15 @@ def _split_level(rows: DataFrame, large: DataFrame) -> DataFrame:
 
     def learn(pdf: pd.DataFrame) -> pd.DataFrame:
         name = pdf["node"].iloc[0]
-        turns, cuts = _cuts(_matrix(pdf["vector"]), name, DEPTH)
-        return pd.DataFrame({"node": [name], "turns": [turns], "cuts": [cuts]})
+        turns, cuts, spills = _cuts(_matrix(pdf["vector"]), name, DEPTH)
+        return pd.DataFrame({"node": [name], "turns": [turns], "cuts": [cuts], "spills": [spills]})
 
-    cuts = sample.groupBy("node").applyInPandas(learn, "node string, turns array<int>, cuts array<double>")
+    cuts = sample.groupBy("node").applyInPandas(learn, "node string, turns array<int>, cuts array<double>, spills array<double>")
 
     def move(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             for name, group in pdf.groupby("node", sort=False):
-                ends = _route(_matrix(group["vector"]), name, list(group["turns"].iloc[0]), list(group["cuts"].iloc[0]))
+                ends = _route(_matrix(group["vector"]), name, *[list(group[c].iloc[0]) for c in ("turns", "cuts", "spills")])
                 for end, part in enumerate(ends):
                     if len(part):
                         moved = group.iloc[part]
@@ -218,7 +229,7 @@ def _forest_links(vectors: DataFrame, trees: int, node_rows: int) -> DataFrame:
 
         found.append(materialise(small.groupBy("node").applyInPandas(in_node, "a long, b long").distinct(), "links"))
         if dense.limit(1).count():
-            paired = block_pairs(rows.join(dense.select("node"), "node", "left_semi"), ["node"], "id", BLOCK)
+            paired = block_pairs(rows.join(dense.select("node"), "node", "left_semi"), ["node"], "id", BLOCK).repartition("node", "i", "j")
 
             def in_pair(pdf: pd.DataFrame) -> pd.DataFrame:
                 side = None if pdf["i"].iloc[0] == pdf["j"].iloc[0] else pdf["side"].to_numpy()
@@ -242,7 +253,8 @@ def _link_counts(members: DataFrame) -> DataFrame:
     All links are within components, so each is compared with itself, block
     against block. Counts come out, never pairs.
     """
-    paired = block_pairs(members, ["component"], "id", BLOCK)
+    # The join within deals by component; its blocks must part again.
+    paired = block_pairs(members, ["component"], "id", BLOCK).repartition("component", "i", "j")
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         x, copies, side = _matrix(pdf["vector"]), pdf["copies"].to_numpy(np.float64), pdf["side"].to_numpy()

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pytest
 
@@ -76,3 +78,28 @@ def test_recall_of_single_trees(spark):
     got = {r.vec_id: r.component_id for r in vector_forest.near_vectors(frame(spark, rows), trees=1).collect()}
     linked = [i for i, (n, _) in expected.items() if n]
     assert sum(got[i] == expected[i][1] for i in linked) >= 0.9 * len(linked)
+
+
+def test_planted_links_where_nodes_are_split_on_the_cluster(spark):
+    """20,000 vectors of one label in 64 dimensions, nodes of the usual size: pairs, chains and a crowd among them."""
+    rng = np.random.default_rng(11)
+    x = rng.standard_normal((20_000, 64))
+    x[1000:1500] = x[:500] + 0.12 * rng.standard_normal((500, 64))
+    for start in range(2000, 3000, 10):
+        a, b = x[start].copy(), x[start + 1].copy()
+        x[start : start + 10] = [a * np.cos(t) + b * np.sin(t) for t in np.arange(10) * 0.12]
+    x[4000:7000] = x[4000] + 0.1 * rng.standard_normal((3000, 64))
+    rows = [(i, [float(c) for c in v], 7) for i, v in enumerate(x.astype(np.float32))]
+    expected = truth(rows)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_forest.near_vectors(frame(spark, rows)).collect()}
+    linked = [i for i, (n, _) in expected.items() if n]
+    right = sum(got[i] == expected[i] for i in linked)
+    print("linked", len(linked), "right", right)
+    assert len(linked) > 4000 and right >= 0.99 * len(linked)
+    assert all(got[i] == expected[i] for i in expected if not expected[i][0])
+
+
+def test_blocks_of_a_component_part_again(spark):
+    members = spark.range(10).selectExpr("1L AS component", "id", "1L AS copies", "array(1.0D, cast(id AS double)) AS vector")
+    plan = vector_forest._link_counts(members)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(component#\d+L, i#\d+, j#\d+, \d+\), REPARTITION_BY_COL", plan)
