@@ -13,7 +13,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-import unicodedata
 from functools import lru_cache
 
 import ahocorasick
@@ -21,6 +20,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from skylog.llm.chunks import SPACE, ChunkIds, byte_alphabet
 from skylog.llm.common import arrow_rows
@@ -139,6 +139,7 @@ class WordTokenizer:
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.special = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")")
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        self.normalizer, self.pre_tokenizer = (lambda t: (t.normalizer, t.pre_tokenizer))(Tokenizer.from_file(path))
         self.chunk = re.compile(f"[^{SPACE}]+")
         self.known = ChunkIds(self._chunk)
         tokens = {**{i: t for t, i in model["vocab"].items()}, **{i: t for t, i in self.added.items()}}
@@ -152,10 +153,14 @@ class WordTokenizer:
         return np.frombuffer(b"".join(entries), np.uint8), np.cumsum([0, *map(len, entries)])
 
     def _chunk(self, chunk: str) -> bytes:
-        text = chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
+        """The file's own normaliser and pre-tokenizer cut what is not ASCII: their Unicode tables decide there."""
+        if chunk.isascii():
+            words = [w.translate(self.pairs.letters) for w in self.words.findall(chunk.lower())]
+        else:
+            words = [w for w, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(chunk))]
         made: list[int] = []
-        for word in self.words.findall(text.lower()):
-            made += self.pairs.word(word.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.pairs.letters))
+        for word in words:
+            made += self.pairs.word(word)
         return np.array(made, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:

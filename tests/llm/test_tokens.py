@@ -124,3 +124,14 @@ def test_bpe_edge_cases(spark, edge, nothing, word_bpe):
     hashes = {(r.doc_id, hashlib.sha256(r.text.encode()).hexdigest()) for r in decoded.collect()}
     assert hashes == {(r.doc_id, r.decoded_sha256) for r in lines}
     assert bpe.round_trip_digests(nothing, word_bpe).count() == 0
+
+
+def test_every_code_point_is_coded_as_the_library_does(word_bpe):
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{c}b {c}" for c in points[at : at + 256]) for at in range(0, len(points), 256)]
+    library = Tokenizer.from_file(word_bpe)
+    library.no_truncation()
+    library.no_padding()
+    wanted = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    own = bpe.WordTokenizer(word_bpe).encode(texts)
+    assert [i for i, (a, b) in enumerate(zip(own, wanted)) if np.frombuffer(a, "<u4").tolist() != b] == []
