@@ -143,8 +143,6 @@ LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 _TAG = re.compile(r"<(/?)(email|ip|card|phone)>")
 _MARKED = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
 _TRAIL, _LEAD = ".,;:!?)\"'»”]", "\"'«“[<"
-# Longer tokens are never personal data.
-LONGEST = 64
 Token = tuple[int, int]
 
 
@@ -154,8 +152,16 @@ def _shape(token: str) -> str:
     for c in token:
         kind = "d" if "0" <= c <= "9" else "X" if c.isupper() else "x" if c.isalpha() else c
         if not made or made[-1] != kind:
+            if len(made) == 24:
+                break
             made.append(kind)
-    return "".join(made[:24])
+    return "".join(made)
+
+
+def _outline(text: str, run: list[Token]) -> list[tuple[str, int]]:
+    """Shape and number of digits of every token of a run, however long."""
+    tokens = [text[start:end] for start, end in run]
+    return [(_shape(token.rstrip(_TRAIL[:6])), len(_digits(token))) for token in tokens]
 
 
 def runs(text: str) -> list[list[Token]]:
@@ -173,27 +179,22 @@ def runs(text: str) -> list[list[Token]]:
     return found
 
 
-def _features(text: str, run: list[Token], i: int) -> list[str]:
+def _features(text: str, run: list[Token], i: int, outline: list[tuple[str, int]]) -> list[str]:
     """Word-shape features of a token, of its neighbours in the run, and the word before the run."""
-
-    def own(j: int) -> tuple[str, int]:
-        token = text[slice(*run[j])]
-        return (_shape(token.rstrip(_TRAIL[:6])), len(_digits(token))) if len(token) <= LONGEST else ("long", 20)
-
-    shape, digits = own(i)
+    shape, digits = outline[i]
     marks = "".join(c for c in shape if c not in "dxX")
     made = [f"shape={shape}", f"digits={min(digits, 20)}", f"both={shape}/{digits}", f"marks={marks}"]
     made.append(f"kinds={''.join(sorted(set(marks)))}/{min(len(marks), 3)}")
     for name, j in (("before", i - 1), ("after", i + 1)):
         if 0 <= j < len(run):
-            other, count = own(j)
+            other, count = outline[j]
             made += [f"{name}={other}", f"{name}-digits={min(count, 20)}"]
         else:
             made.append(f"{name}=none")
     if i == 0:
         word = text[max(0, run[0][0] - 24) : run[0][0]].split()[-1:]
         made.append(f"word={word[0].lower().strip(':') if word else ''}")
-    total = sum(own(j)[1] for j in range(len(run))) if len(run) <= 8 else 99
+    total = sum(count for _, count in outline) if len(run) <= 8 else 99
     made.append(f"run-digits={min(total, 24)}")
     return made
 
@@ -205,9 +206,9 @@ class Field:
         self.features, self.emit, self.move = features, emit, move
 
     def emissions(self, text: str, run: list[Token]) -> np.ndarray:
-        rows = np.zeros((len(run), len(LABELS)))
+        rows, outline = np.zeros((len(run), len(LABELS))), _outline(text, run)
         for i in range(len(run)):
-            known = [k for f in _features(text, run, i) if (k := self.features.get(f)) is not None]
+            known = [k for f in _features(text, run, i, outline) if (k := self.features.get(f)) is not None]
             rows[i] = self.emit[known].sum(axis=0)
         return rows
 
@@ -269,7 +270,7 @@ def examples(lines: list[str]) -> list[tuple[str, list[Token], list[int]]]:
 def train(lines: list[str], steps: int = 150, rate: float = 0.1, ridge: float = 0.02) -> Field:
     """Maximum likelihood with a ridge, by Adam on the gradient of forward and backward sums. Alike in every run."""
     data = examples(lines)
-    described = [[_features(text, run, i) for i in range(len(run))] for text, run, _ in data]
+    described = [[_features(text, run, i, _outline(text, run)) for i in range(len(run))] for text, run, _ in data]
     features = {f: i for i, f in enumerate(sorted({f for d in described for token in d for f in token}))}
     index = [[[features[f] for f in token] for token in d] for d in described]
     closed = np.where(_allowed(), 0.0, -1e4)
