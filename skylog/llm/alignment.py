@@ -1,8 +1,8 @@
 """Which tokens of two tokenizers cover the same bytes.
 
 Both sides of a text spell the same bytes, so that its tokens are two ways of
-cutting one range. ``merge_asof`` finds for every token start the token of the
-other side that covers it; both directions together give all pairs of tokens that
+cutting one range. ``merge_asof``, keyed by document and offset, finds for every
+token start the token of the other side that covers it; both directions together give all pairs of tokens that
 overlap. Where a token of either side ends at the same byte, a group ends.
 
 Documents pass in chunks of bounded size. A chunk keeps its links as places in
@@ -92,20 +92,21 @@ def _sides(byte_level: str, piece_model: str) -> Sides:
     return Sides(byte_level, piece_model)
 
 
-def overlaps(doc_a: np.ndarray, start_a: np.ndarray, doc_b: np.ndarray, start_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def overlaps(start_a: np.ndarray, start_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the tokens of both sides that overlap, ordered by place.
 
-    Starts ascend over all documents together. A token start is covered by the
-    last token of the other side that starts at or before it.
+    A start is the base of its document, which no other shares, plus the offset
+    in it, and so names the document as well; starts ascend over all of them, and
+    the first token of a document starts at its base on both sides. A start is
+    covered by the last token of the other side that starts at or before it.
     """
-    a = pd.DataFrame({"doc": doc_a, "start": start_a, "a": np.arange(len(doc_a))})
-    b = pd.DataFrame({"doc": doc_b, "start": start_b, "b": np.arange(len(doc_b))})
-    covering = pd.merge_asof(a, b, on="start", by="doc")
-    covered = pd.merge_asof(b, a, on="start", by="doc")
-    width = max(len(doc_b), 1)
-    both = np.sort(np.concatenate([found["a"].to_numpy(np.int64) * width + found["b"].to_numpy(np.int64) for found in (covering, covered)]))
-    both = both[np.append(True, both[1:] != both[:-1])[: len(both)]]
-    return both // width, both % width
+    a = pd.DataFrame({"start": start_a, "a": np.arange(len(start_a))})
+    b = pd.DataFrame({"start": start_b, "b": np.arange(len(start_b))})
+    width = max(len(start_b), 1)
+    both = [pd.merge_asof(one, other, on="start") for one, other in ((a, b), (b, a))]
+    links = np.sort(np.concatenate([found["a"].to_numpy(np.int64) * width + found["b"].to_numpy(np.int64) for found in both]))
+    links = links[np.append(True, links[1:] != links[:-1])[: len(links)]]
+    return links // width, links % width
 
 
 def _digits(ids: np.ndarray, after: np.ndarray) -> tuple[bytes, np.ndarray]:
@@ -152,7 +153,7 @@ def align(sides: Sides, texts: list[str]) -> dict[str, list]:
     doc_a, doc_b = np.repeat(np.arange(docs), counts_a), np.repeat(np.arange(docs), counts_b)
     # Documents lie one after the other, so that offsets ascend and no two share an end.
     end_a, end_b = np.cumsum(sides.a_size[ids_a]), np.cumsum(sides.b_size[ids_b])
-    link_a, link_b = overlaps(doc_a, end_a - sides.a_size[ids_a], doc_b, end_b - sides.b_size[ids_b])
+    link_a, link_b = overlaps(end_a - sides.a_size[ids_a], end_b - sides.b_size[ids_b])
     ends = np.intersect1d(end_a, end_b, assume_unique=True)
     group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
     group_doc = doc_a[np.searchsorted(end_a, ends)]

@@ -134,18 +134,22 @@ def _members(blocks: DataFrame, above: DataFrame) -> DataFrame:
     return rows.select("lane", "member.*", *kept, path.alias("path"))
 
 
+def _below(passes: list[DataFrame], above: DataFrame) -> DataFrame:
+    """The members of the first pass, with the paths that lead through the blocks of all passes."""
+    for blocks in reversed(passes[1:]):
+        above = _members(blocks, above).drop("digest").withColumnRenamed("pos", "block")
+    return _members(passes[0], above)
+
+
 def proofs(nodes: DataFrame) -> DataFrame:
     """``lane, pos, digest, ...`` with ``subroot``, ``root`` and ``path`` (siblings from the leaf to the root)."""
     passes, subroots = _fold_lanes(nodes)
     ranked = numbered(subroots.select(F.lit("").alias("all"), F.col("lane").alias("name"), F.col("subroot").alias("digest")), "all", "name")
     upper, root = _fold_lanes(ranked.select(F.col("all").alias("lane"), "pos", "digest", "name"))
     above = root.select("lane", F.lit(0).cast("long").alias("block"), F.col("subroot").alias("root"), F.array().cast(PATH).alias("path"))
-    for blocks in reversed(upper):
-        above = _members(blocks, above).withColumnRenamed("pos", "block")
+    above = _below(upper, above)
     above = above.select(F.col("name").alias("lane"), F.lit(0).cast("long").alias("block"), F.col("digest").alias("subroot"), "root", "path")
-    for blocks in reversed(passes[1:]):
-        above = _members(blocks, above).drop("digest").withColumnRenamed("pos", "block")
-    return _members(passes[0], above)
+    return _below(passes, above)
 
 
 def folded(leaf: Column, path: Column) -> Column:

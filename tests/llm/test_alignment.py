@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import hashlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from skylog.llm import alignment
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+TEXTS = [
+    (1, "The quick brown fox jumps over the lazy dog."), (2, None), (3, ""), (4, " "), (5, "two  spaces   here\n\nand lines\t"), (6, "▁ is no space"),
+    (7, "x<|endoftext|> y <s> </s> <unk> <0x41>"), (8, "Ünïcode 🙂 текст é 日本語"), (9, "é ﬁ ½  "), (9, "repeated id"), (None, "no id"),
+    (10, "The quick brown fox jumps over the lazy dog."), (11, "1234567890 " * 20_000), (12, "\x00\x01 a"),
+]
+
+
+@pytest.fixture(scope="module")
+def sides():
+    return alignment.Sides(A, B)
+
+
+def spans(ids, table):
+    at, made = 0, []
+    for i in ids:
+        made.append((at, at + len(table[i])))
+        at += len(table[i])
+    return made
+
+
+def truth(texts, sides):
+    """Token by token, with every pair looked at."""
+    library, model = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
+    library.encode_special_tokens = True
+    found, links = [], Counter()
+    for doc_id, text in texts:
+        whole = (" " + (text or "")).encode()
+        a, b = library.encode(" " + (text or ""), add_special_tokens=False).ids, model.encode(text or "")
+        if not text or b"".join(sides.a_bytes[i] for i in a) != whole or b"".join(sides.b_bytes[i] for i in b) != whole:
+            found.append((doc_id, 0, 0, 0, [], ""))
+            continue
+        sa, sb = spans(a, sides.a_bytes), spans(b, sides.b_bytes)
+        own, j = [], 0
+        for i, (low, high) in enumerate(sa):
+            while sb[j][1] <= low:
+                j += 1
+            k = j
+            while k < len(sb) and sb[k][0] < high:
+                own.append((a[i], b[k]))
+                k += 1
+        ends = sorted({e for _, e in sa} & {e for _, e in sb})
+        groups, i, j = [], 0, 0
+        for end in ends:
+            left, right = [], []
+            while i < len(sa) and sa[i][1] <= end:
+                left.append(str(a[i]))
+                i += 1
+            while j < len(sb) and sb[j][1] <= end:
+                right.append(str(b[j]))
+                j += 1
+            groups.append(",".join(left) + "|" + ",".join(right))
+        links.update(own)
+        found.append((doc_id, len(a), len(b), len(ends), own, hashlib.sha256(";".join(groups).encode()).hexdigest()))
+    most = defaultdict(int)
+    for (_, b), n in links.items():
+        most[b] = max(most[b], n)
+    return [(d, a, b, g, len(own), sum(links[p] == most[p[1]] for p in own), sum(links[p] for p in own), s) for d, a, b, g, own, s in found]
+
+
+def lines(frame):
+    return sorted((tuple(r) for r in alignment.alignment(frame, A, B).collect()), key=str)
+
+
+@pytest.mark.parametrize("chunk", [1 << 20, 50])
+def test_alignment_is_that_of_all_pairs(spark, sides, monkeypatch, chunk):
+    monkeypatch.setattr(alignment, "CHUNK", chunk)
+    frame = spark.createDataFrame([(i, t, "x", 1) for i, t in TEXTS], "doc_id long, text string, place string, part int").repartition(3)
+    expected = truth(TEXTS, sides)
+    assert lines(frame) == sorted(expected, key=str)
+    assert [e[1] for e in expected[1:3]] == [0, 0] and sum(e[1] == 0 for e in expected) < 7
+
+
+def test_documents(spark, sides, documents):
+    texts = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    assert lines(documents) == sorted(truth(texts, sides), key=str)
+
+
+def test_empty_table(spark, nothing):
+    assert lines(nothing) == []
