@@ -159,17 +159,18 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.model = self.tokenizer.model
+        self.tokenize = self.tokenizer.model.tokenize
+        self.code = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.letters = dict(enumerate(byte_alphabet()))
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known = ChunkIds(self._chunk)
 
-    def _word(self, word: str) -> list[int]:
+    def _word(self, word: str) -> bytes:
         if word.isascii() and word.isprintable():  # of these only the space has another letter
             spelled = word.replace(" ", self.letters[32])
         else:
             spelled = word.encode("utf-8").decode("latin-1").translate(self.letters)
-        return [t.id for t in self.model.tokenize(spelled)]
+        return b"".join([self.code[t.id] for t in self.tokenize(spelled)])
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -177,17 +178,13 @@ class TextEncoder:
     def _chunk(self, chunk: str) -> bytes:
         word = chunk[1:] if chunk[0] == " " else chunk
         if word.isalpha():
-            ids = self._word(chunk)
-        elif chunk.isascii():
+            return self._word(chunk)
+        if chunk.isascii():
             parts = _ASCII.findall(chunk)
-            if len(parts) > 1:
-                return b"".join(map(self.known.__getitem__, parts))
-            ids = self._word(chunk)
-        elif chunk[-1] in ".,;:!?" and word[:-1].isalpha():
+            return b"".join(map(self.known.__getitem__, parts)) if len(parts) > 1 else self._word(chunk)
+        if chunk[-1] in ".,;:!?" and word[:-1].isalpha():
             return self.known[chunk[:-1]] + self.known[chunk[-1]]
-        else:
-            ids = self._whole(chunk)
-        return array("I", ids).tobytes()
+        return array("I", self._whole(chunk)).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Texts that hold an added token go to the library whole: such a token ends the white space before it.
