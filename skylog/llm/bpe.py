@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import unicodedata
 from functools import lru_cache
 
 import ahocorasick
@@ -29,6 +30,8 @@ from skylog.llm.common import arrow_rows
 END = "\0"
 # Ids that are turned into text at once.
 SLICE = 1 << 19
+# Letters and marks below this one (Latin, Greek and Cyrillic) are the same in all tables of Unicode in use.
+SETTLED = "\u0530"
 # Pairs of tokens whose compatibility is kept.
 PAIRS = 1 << 20
 
@@ -153,9 +156,12 @@ class WordTokenizer:
         return np.frombuffer(b"".join(entries), np.uint8), np.cumsum([0, *map(len, entries)])
 
     def _chunk(self, chunk: str) -> bytes:
-        """The file's own normaliser and pre-tokenizer cut what is not ASCII: their Unicode tables decide there."""
+        """Where tables of Unicode may differ in age, the file's own normaliser and pre-tokenizer cut the chunk."""
         if chunk.isascii():
             words = [w.translate(self.pairs.letters) for w in self.words.findall(chunk.lower())]
+        elif max(chunk) < SETTLED:
+            text = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+            words = [w.encode().decode("latin-1").translate(self.pairs.letters) for w in self.words.findall(text)]
         else:
             words = [w for w, _ in self.pre_tokenizer.pre_tokenize_str(self.normalizer.normalize_str(chunk))]
         made: list[int] = []
