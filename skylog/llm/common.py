@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from skylog.session import materialise, scratch_path
 
-__all__ = ["arrow_rows", "attach", "importable", "lower_ascii", "materialise", "null_safe_join", "scratch_path", "table"]
+__all__ = ["arrow_rows", "attach", "free_name", "importable", "lower_ascii", "materialise", "null_safe_join", "scratch_path", "table"]
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -27,12 +27,21 @@ def lower_ascii(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, with as many underscores behind it as no column of the frames has, whatever its case."""
+    taken = {c.lower() for frame in frames for c in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join on keys that may be null; keys come from the left, and so do columns of the same name."""
     spare = [c for c in right.columns if c not in left.columns]
-    renamed = right.select(*[F.col(k).alias(f"_right_{k}") for k in keys], *([] if how.startswith("left_") else spare))
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
-    return left.join(renamed, same, how).drop(*[f"_right_{k}" for k in keys])
+    other = {k: free_name(f"_right_{k}", left, right) for k in keys}
+    renamed = right.select(*[F.col(k).alias(other[k]) for k in keys], *([] if how.startswith("left_") else spare))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(other[k])) for k in keys])
+    return left.join(renamed, same, how).drop(*other.values())
 
 
 def importable(spark: SparkSession) -> SparkSession:
@@ -82,17 +91,19 @@ def attach(rows: DataFrame, decisions: DataFrame, keys: list[str], how: str = "i
     ``decisions`` has one line per row of the same frame (or of a part of it). A
     key that several lines share names rows that differ in nothing the decision
     knows; those are paired in order, so that none is multiplied. Only such
-    repeated keys pass the window; all other rows take the plain join.
+    repeated keys pass the window; all other rows take the plain join. The keys
+    and columns of ``decisions`` have names that ``rows`` has no others of.
     """
+    n_lines, at = free_name("_lines", rows, decisions), free_name("_place", rows, decisions)
     spare = [c for c in decisions.columns if c not in keys]
-    counted = decisions.groupBy(*keys).agg(F.count(F.lit(1)).alias("_lines"), *[F.first(c).alias(c) for c in spare])
-    plain = null_safe_join(rows, counted.where("_lines = 1").drop("_lines"), keys, how)
+    counted = decisions.groupBy(*keys).agg(F.count(F.lit(1)).alias(n_lines), *[F.first(c).alias(c) for c in spare])
+    plain = null_safe_join(rows, counted.where(F.col(n_lines) == 1).drop(n_lines), keys, how)
 
-    repeated = counted.where("_lines > 1").select(*keys)
+    repeated = counted.where(F.col(n_lines) > 1).select(*keys)
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*(spare or keys)))
-    lines = null_safe_join(decisions, repeated, keys, "left_semi").withColumn("_place", place)
+    lines = null_safe_join(decisions, repeated, keys, "left_semi").withColumn(at, place)
     order = [c for c, kind in rows.dtypes if not kind.startswith(("map", "variant"))]
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    several = null_safe_join(rows, repeated, keys, "left_semi").withColumn("_place", place)
-    paired = null_safe_join(several, lines, [*keys, "_place"]).drop("_place")
+    several = null_safe_join(rows, repeated, keys, "left_semi").withColumn(at, place)
+    paired = null_safe_join(several, lines, [*keys, at]).drop(at)
     return plain.unionByName(paired)

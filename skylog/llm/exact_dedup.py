@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skylog.llm.common import attach, lower_ascii, materialise
+from skylog.llm.common import attach, free_name, lower_ascii, materialise
 
 # Counters per sketch. A digest with more than 3.5 / COUNTERS of all rows is certain to be among the candidates.
 COUNTERS = 1024
@@ -86,9 +86,10 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
 
 
 def drop_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns; see ``exact_dedup``."""
+    """The rows that stay, with all their columns, whatever their names; see ``exact_dedup``."""
+    key, digest, stays = (free_name(n, docs) for n in ("_dedup_id", "_dedup_digest", "_dedup_kept"))
     lines = exact_dedup(docs, id_column, text_column).select(
-        F.col("doc_id").alias("_dedup_id"), F.unhex("text_sha256").alias("_dedup_digest"), F.col("kept").alias("_dedup_kept")
+        F.col("doc_id").alias(key), F.unhex("text_sha256").alias(digest), F.col("kept").alias(stays)
     )
-    keyed = docs.withColumns({"_dedup_id": F.col(id_column), "_dedup_digest": text_digest(F.col(text_column))})
-    return attach(keyed, lines, ["_dedup_id", "_dedup_digest"]).where("_dedup_kept").select(*docs.columns)
+    keyed = docs.withColumns({key: F.col(id_column), digest: text_digest(F.col(text_column))})
+    return attach(keyed, lines, [key, digest]).where(F.col(stays)).select(*docs.columns)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skylog.llm.common import attach, materialise, null_safe_join
+from skylog.llm.common import attach, free_name, materialise, null_safe_join
 
 # Weights by place of the source in code point order, null last, repeating.
 WEIGHTS = (5, 2, 1)
@@ -111,13 +111,12 @@ def copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text"
 
 
 def mix(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", seed: str = "mix") -> DataFrame:
-    """The mixed rows with all their columns, each as often as it is taken."""
+    """The mixed rows with all their columns, whatever their names, each as often as it is taken."""
+    key, source, size, times, copy = (free_name(f"_mix_{n}", docs) for n in ("id", "source", "size", "copies", "copy"))
     lines = copies(docs, id_column, text_column, source_column, seed).select(
-        F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"), F.col("copies").alias("_mix_copies")
+        F.col("doc_id").alias(key), F.col("source").alias(source), F.col("size").alias(size), F.col("copies").alias(times)
     )
-    keyed = docs.withColumns(
-        {"_mix_id": F.col(id_column), "_mix_source": F.col(source_column).cast("string"), "_mix_size": words(F.col(text_column))}
-    )
-    taken = attach(keyed, lines, ["_mix_id", "_mix_source", "_mix_size"]).where("_mix_copies > 0")
-    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_copies"))).alias("_mix_copy")
-    return taken.select(*docs.columns, each).drop("_mix_copy")
+    keyed = docs.withColumns({key: F.col(id_column), source: F.col(source_column).cast("string"), size: words(F.col(text_column))})
+    taken = attach(keyed, lines, [key, source, size]).where(F.col(times) > 0)
+    each = F.explode(F.sequence(F.lit(1).cast("long"), F.col(times))).alias(copy)
+    return taken.select(*docs.columns, each).drop(copy)

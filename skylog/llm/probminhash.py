@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skylog.llm.common import arrow_rows, importable, materialise
+from skylog.llm.common import arrow_rows, free_name, importable, materialise
 from skylog.llm.components import block_pairs, components
 from skylog.llm.shingles import mix, prepared, probability_jaccard, weighted_shingles, words_key
 
@@ -272,6 +272,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """The rows that stay, with all their columns."""
-    gone = near_duplicates(docs, id_column, text_column, threshold).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_column] == gone["_gone"], "left_anti")
+    """The rows that stay, with all their columns, whatever their names."""
+    name = free_name("_gone", docs)
+    gone = near_duplicates(docs, id_column, text_column, threshold).where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs[id_column] == gone[name], "left_anti")

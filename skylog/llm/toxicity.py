@@ -6,8 +6,9 @@ that copies of one text count once). All terms, and the toxic words of a stem's
 family, make one automaton, the trie of the lexicon intersected with Levenshtein
 automata: exact for stems, one edit for words of five letters, two for words of
 eight. It is built as far as words lead into it, so that the lexicon needs no
-limit. Words of texts run through it side by side. A term that is quoted or
-reported is held apart from one that is used, by a score of the window around it.
+limit. Words of texts run through it side by side. A term in a quotation is held
+apart from one that is used, and so is one with a reporting word in the window
+before it, whose weight the labelled texts decide.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 import math
 import re
 from array import array
-from collections import Counter, deque
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from skylog.llm.common import arrow_rows, importable
+from skylog.llm.common import arrow_rows, free_name, importable
 
 # Labelled rows that are learned from, about; which ones, a hash of the id decides.
 TRAIN_ROWS = 12_000
@@ -38,14 +39,22 @@ PRECISION, STEM_PRECISION = 0.9, 0.5
 SHRINK = 4.0
 STEMS = range(4, 9)
 THRESHOLD = 0.3
-# Words before and after a term that tell whether it is quoted.
+# Words before a term among which a reporting word tells that it may be reported.
 WINDOW = 6
 # Characters of a text that are looked through at once.
 PIECE = 1 << 20
 
 WORD = re.compile(r"\w+")
-_PARTS = re.compile(r"\w+|[\"“”„«»‹›]")
-_QUOTES = frozenset("\"“”„«»‹›")
+# Quotation marks and what closes them. Fixed values.
+CLOSED_BY = {
+    '"': '"', "'": "'", "“": "”\"", "„": "“”\"", "”": "”", "«": "»", "»": "«»", "‹": "›", "›": "‹›", "‘": "’'", "‚": "‘’'", "’": "’",
+}
+_MARKS = "".join(CLOSED_BY)
+# A mark opens before what it quotes and closes behind it, so that apostrophes and inches do neither; an empty line ends a paragraph.
+_PARTS = re.compile(
+    rf"(?P<word>\w+)|(?P<opens>(?:(?<=[\s(\[{{—–-])|\A)(?:[{_MARKS}](?=\S)|[«‹](?=\s)))"
+    rf"|(?P<closes>(?<=\S)[{_MARKS}](?!\w)|(?<=\s)[»›](?!\w))|(?P<ends>\n[ \t\r]*\n)"
+)
 # Words that report what others say. Fixed values.
 REPORTING = frozenset("said says say wrote writes called calls calling quote quoted quotes word words term terms insult insults slur".split())
 
@@ -185,7 +194,7 @@ class Model:
     fuzzy: dict[str, float] = field(default_factory=dict)  # share of it that a misspelling keeps
     innocent: frozenset[str] = frozenset()  # words near a term that clean texts have
     bias: float = -4.0
-    slopes: tuple[float, ...] = (1.0, 0.0, 0.0)  # of what ``_features`` gives
+    slopes: tuple[float, ...] = (1.0, 0.0, 0.0, 0.0, 0.0)  # of what ``_features`` gives
     quoted: float = 0.25  # score of a text that only quotes
     automaton: Automaton | None = None
 
@@ -216,62 +225,86 @@ def _pieces(text: str) -> Iterator[str]:
         at = end
 
 
-def _uses(text: str, hits: dict[str, float]) -> tuple[dict[str, float], int]:
-    """The terms a text uses, and how many times it only quotes one.
+@dataclass
+class Uses:
+    """The terms a text uses, those it only reports, and how many times it quotes one."""
+
+    used: dict[str, float] = field(default_factory=dict)
+    reported: dict[str, float] = field(default_factory=dict)
+    quotes: int = 0
+
+    @property
+    def only_quoted(self) -> bool:
+        return bool(self.quotes and not self.used and not self.reported)
+
+    def settle(self, paragraph: list[list], hits: dict[str, float]) -> None:
+        for word, reported, quoted in paragraph:
+            if quoted:
+                self.quotes += 1
+            else:
+                (self.reported if reported else self.used)[word] = hits[word]
+        paragraph.clear()
+
 
-    The score of a window is 2 for a term between quotation marks that stand
-    within it, and 1 for a reporting word before; 2 and more is a quotation.
+def _uses(text: str, hits: dict[str, float]) -> Uses:
+    """What a text does with its terms.
+
+    A term is quoted between a mark and the one that closes it in the same
+    paragraph, however far they are apart; a mark that nothing closes quotes
+    nothing. It is reported if one of the ``WINDOW`` words before it reports. A
+    term that is also used counts as used.
     """
-    used: dict[str, float] = {}
-    quotes = 0
-    before: deque[str] = deque(maxlen=WINDOW)
-    waiting: list[list] = []  # word, parts still to see, whether a mark stands before, score
+    found = Uses()
+    paragraph: list[list] = []  # word, reported, quoted
+    opened: dict[str, int] = {}  # by what closes it, the terms that stand before
+    n_words, last_report = 0, -WINDOW - 1
     for match in _PARTS.finditer(text):
-        part = match.group()
-        for entry in waiting:
-            entry[1] -= 1
-            if part in _QUOTES and entry[2]:
-                entry[3] += 2
-                entry[1] = 0
-        for entry in [e for e in waiting if e[1] <= 0]:
-            waiting.remove(entry)
-            quotes += entry[3] >= 2
-            if entry[3] < 2:
-                used[entry[0]] = hits[entry[0]]
-        if part in hits:
-            marks = sum(b in _QUOTES for b in before)
-            waiting.append([part, WINDOW, marks % 2 == 1, int(any(b in REPORTING for b in before))])
-        before.append(part)
-    for entry in waiting:
-        quotes += entry[3] >= 2
-        if entry[3] < 2:
-            used[entry[0]] = hits[entry[0]]
-    return used, quotes
-
-
-def _read(texts: list[str], model: Model) -> list[tuple[dict[str, float], int]]:
-    """Used terms and quotations of each text."""
+        part, kind = match.group(), match.lastgroup
+        if kind == "word":
+            if part in hits:
+                paragraph.append([part, n_words - last_report <= WINDOW, False])
+            if part in REPORTING:
+                last_report = n_words
+            n_words += 1
+        elif kind == "opens":
+            opened[CLOSED_BY[part]] = len(paragraph)
+        elif kind == "closes":
+            for closing in [c for c in opened if part in c]:
+                for term in paragraph[opened.pop(closing) :]:
+                    term[2] = True
+        else:
+            found.settle(paragraph, hits)
+            opened.clear()
+    found.settle(paragraph, hits)
+    found.reported = {w: p for w, p in found.reported.items() if w not in found.used}
+    return found
+
+
+def _read(texts: list[str], model: Model) -> list[Uses]:
+    """What each text does with its terms."""
     lowered = [t.lower() for t in texts]
     owned = [set().union(*(WORD.findall(p) for p in _pieces(t))) for t in lowered]
     hits = model.hits(list(set().union(*owned)))
-    return [_uses(t, here) if (here := {w: hits[w] for w in hits.keys() & own}) else ({}, 0) for t, own in zip(lowered, owned)]
+    return [_uses(t, here) if (here := {w: hits[w] for w in hits.keys() & own}) else Uses() for t, own in zip(lowered, owned)]
 
 
-def _features(used: dict[str, float]) -> list[float]:
-    """Evidence of all terms used, of the strongest, and how many different ones there are."""
-    if not used:
-        return [0.0, 0.0, 0.0]
-    odds = [math.log(p / (1.0 - p)) for p in (min(max(p, 0.01), 0.99) for p in used.values())]
-    return [min(sum(odds), 20.0), max(odds), math.log1p(len(odds))]
+def _features(uses: Uses) -> list[float]:
+    """Evidence of all terms used, of the strongest, and how many there are; evidence of those reported, and how many."""
+    made = []
+    for terms in (uses.used, uses.reported):
+        odds = [math.log(p / (1.0 - p)) for p in (min(max(p, 0.01), 0.99) for p in terms.values())]
+        made.append([min(sum(odds), 20.0), max(odds, default=0.0), math.log1p(len(odds))])
+    used, reported = made
+    return [*used, reported[0], reported[2]]
 
 
 def score_texts(texts: list[str], model: Model) -> list[float]:
     """Probability that each text is toxic."""
     made = []
-    for used, quotes in _read(texts, model):
-        odds = model.bias + sum(w * x for w, x in zip(model.slopes, _features(used)))
+    for uses in _read(texts, model):
+        odds = model.bias + sum(w * x for w, x in zip(model.slopes, _features(uses)))
         score = 1.0 / (1.0 + math.exp(-max(min(odds, 30.0), -30.0)))
-        made.append(max(score, model.quoted) if quotes and not used else score)
+        made.append(max(score, model.quoted) if uses.only_quoted else score)
     return made
 
 
@@ -321,7 +354,7 @@ def train(rows: DataFrame) -> Model:
     """A model from ``text, toxic``. Without toxic rows it has no terms, and every text gets the same score.
 
     Word counts are made on the cluster. The driver gets the significant terms
-    alone: those that chance would hardly bring about, no more than the learning rows can hold, and three numbers per learning row to weigh them by.
+    alone: those that chance would hardly bring about, no more than the learning rows can hold, and five numbers per learning row to weigh them by.
     """
     rows = rows.cache()
 
@@ -398,9 +431,9 @@ def train(rows: DataFrame) -> Model:
 
     def judged(block: dict[str, list]) -> dict[str, list]:
         read = _read(block["text"], model)
-        return {"features": [_features(used) for used, _ in read], "quotes": [bool(q and not used) for used, q in read], "toxic": [float(t) for t in block["toxic"]]}
+        return {"features": [_features(u) for u in read], "quotes": [u.only_quoted for u in read], "toxic": [float(t) for t in block["toxic"]]}
 
-    # A line of three numbers per learning row.
+    # A line of five numbers per learning row.
     seen = arrow_rows(rows.select("text", "toxic"), judged, "features array<double>, quotes boolean, toxic double").toPandas()
     plain = seen[~seen["quotes"]]
     if len(plain):
@@ -450,5 +483,6 @@ def score_documents(docs: DataFrame, model: Model, id_column: str = "doc_id", te
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
-    """The rows not predicted toxic, with all their columns."""
-    return with_score(docs, model, "_toxicity", text_column).where(F.col("_toxicity") < THRESHOLD).drop("_toxicity")
+    """The rows not predicted toxic, with all their columns, whatever their names."""
+    score = free_name("_toxicity", docs)
+    return with_score(docs, model, score, text_column).where(F.col(score) < THRESHOLD).drop(score)

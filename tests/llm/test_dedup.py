@@ -23,6 +23,9 @@ def test_exact_groups(spark, edge):
     assert by_id[7] == [(7, 3, True)] and by_id[3] == [(7, 3, False)] and by_id[None] == [(7, 3, False)]
     assert by_id[9] == [(9, 2, True)] and by_id[1] == [(9, 2, False)]  # null counts as empty
     assert sorted(by_id[5]) == [(5, 2, False), (5, 2, True)]  # of a repeated row one stays
+    other = edge.selectExpr("*", "1 AS _dedup_id", "2 AS _DEDUP_KEPT", "3 AS _place", "4 AS _lines", "5 AS _right__dedup_id_")
+    other = exact_dedup.drop_duplicates(other)
+    assert len(other.columns) == len(edge.columns) + 5 and {tuple(r[-5:]) for r in other.collect()} == {(1, 2, 3, 4, 5)}
     kept = exact_dedup.drop_duplicates(edge)
     assert kept.columns == edge.columns
     assert sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 6, 7, 9]

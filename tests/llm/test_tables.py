@@ -6,6 +6,7 @@ import os
 import re
 import shutil
 from collections import Counter, defaultdict
+from datetime import datetime, timezone
 
 import public_tokenizers
 import pytest
@@ -96,16 +97,24 @@ def test_mix_edge_cases(edge, nothing):
     assert all(r.copies <= 3 for r in lines)
     assert mixing.mix(edge).columns == edge.columns
     assert mixing.mix(edge).count() == sum(r.copies for r in lines)
+    other = edge.selectExpr("*", "1 AS _mix_id", "2 AS _MIX_COPIES", "3 AS _place", "4 AS _lines", "5 AS _right__mix_id_", "6 AS _mix_copy")
+    assert mixing.mix(other).columns == other.columns and sorted(map(str, mixing.mix(other).select(edge.columns).collect())) == sorted(map(str, mixing.mix(edge).collect()))
     assert mixing.copies(nothing).count() == 0 and mixing.mix(nothing).count() == 0
 
 
+HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+DATE = "2026-01-02T03:04:05Z"
+
+
 def plain_record(page_id, url, payload, kind, refers):
+    """A record as the public text of WARC 1.1 has it; record ids without the row at their end."""
     digest = hashlib.sha1(payload).hexdigest()
-    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:{page_id}>", f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{digest}"]
+    lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:page:test:{page_id}>", f"WARC-Date: {DATE}", f"WARC-Target-URI: {url}", f"WARC-Payload-Digest: sha1:{digest}"]
     if kind == "revisit":
-        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:{refers}>"]
-    lines += ["Content-Type: text/html", f"Content-Length: {0 if kind == 'revisit' else len(payload)}"]
-    return "\r\n".join(lines).encode() + b"\r\n\r\n" + (b"" if kind == "revisit" else payload) + b"\r\n\r\n"
+        lines += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: <urn:page:test:{refers}>", f"WARC-Refers-To-Target-URI: http://a/{refers}", f"WARC-Refers-To-Date: {DATE}"]
+    block = HEAD + (b"" if kind == "revisit" else payload)
+    lines += ["Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
 PAGES = [
@@ -117,8 +126,9 @@ PAGES = [
 @pytest.fixture
 def archive(spark, tmp_path):
     path = str(tmp_path / "archive")
-    pages = spark.createDataFrame([(*p, b"p", "a", 1) for p in PAGES], "page_id long, url string, html string, payload binary, address string, row int")
-    warc.write_archive(pages, path)
+    pages = spark.createDataFrame([(*p, b"p", "a", 1, "d") for p in PAGES], "page_id long, url string, html string, payload binary, address string, row int, date string")
+    pages = pages.withColumn("seen", F.timestamp_seconds(F.lit(1767323045)))
+    warc.write_archive(pages, path, date_column="seen", archive="test")
     return path
 
 
@@ -136,8 +146,21 @@ def test_records_come_back_byte_for_byte(spark, archive):
         (6, plain_record(6, "", b"", "response", None)), (7, plain_record(7, "http://a/7%0D%0AWARC-Type: x", b"", "response", None)),
         (None, plain_record("null", "u", big, "revisit", 5)),
     ]
-    got = [(r.page_id, bytes(r.record)) for r in warc.original_records(spark, archive).collect()]
+    records = [(r.page_id, bytes(r.record)) for r in warc.original_records(spark, archive).collect()]
+    got = [(p, re.sub(rb"(<urn:page:test:\w+):\d+>", rb"\1>", r)) for p, r in records]
     assert sorted(got, key=str) == sorted(expected, key=str)
+    ids = [re.search(rb"WARC-Record-ID: (<[^\r]*>)", r)[1] for _, r in records]
+    assert len(set(ids)) == len(ids)
+    assert {i for _, r in records for i in re.findall(rb"WARC-Refers-To: (<[^\r]*>)", r)} <= {i for i, (_, r) in zip(ids, records) if b"WARC-Type: response" in r}
+
+
+def test_records_without_a_date_get_the_time_of_writing(spark, tmp_path):
+    path = str(tmp_path / "dated")
+    before = datetime.now(timezone.utc).replace(microsecond=0)
+    warc.write_archive(spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string"), path)
+    record = bytes(warc.original_records(spark, path).first().record).decode()
+    stated = datetime.strptime(re.search("WARC-Date: (.*)Z\r", record)[1], "%Y-%m-%dT%H:%M:%S").replace(tzinfo=timezone.utc)
+    assert before <= stated <= datetime.now(timezone.utc)
 
 
 def test_a_spoilt_payload_is_noticed(spark, archive, tmp_path):

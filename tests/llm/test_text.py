@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import math
 import pickle
+import random
 import re
 import textwrap
 import zlib
@@ -275,6 +277,88 @@ def test_toxic_terms_misspellings_and_quotations(learned):
     assert not flagged("")
 
 
+def test_quotations_end_where_their_marks_do(learned):
+    def kind(text):
+        uses = toxicity._uses(text, learned.hits(toxicity.WORD.findall(text)))
+        return sorted(uses.used), sorted(uses.reported), uses.quotes
+
+    word = "snarkhead"
+    assert kind(f'he wrote "p1 p2 p3 p4 p5 p6 p7 p8 p9 {word} p1 p2 p3 p4 p5 p6 p7 p8 p9" there') == ([], [], 1)
+    for a, b in ("“”", "„“", "«»", "»«", "‹›", "‘’", "‚‘", "''", '""'):
+        assert kind(f"p1 {a}p2 {word} p3{b} p4") == ([], [], 1), (a, b)
+    assert kind(f"p1 « p2 {word} » p3") == ([], [], 1)
+    # Apostrophes and inches open nothing, a mark that nothing closes quotes nothing, and an empty line ends it.
+    assert kind(f"don't, it's a {word}, isn't it") == ([word], [], 0)
+    assert kind(f'a 5" board, a {word} and a 6" one') == ([word], [], 0)
+    assert kind(f'p1 "p2 {word} p3') == ([word], [], 0)
+    assert kind(f'p1 "p2 {word}\n\np3" p4') == ([word], [], 0)
+    assert kind(f'"p1" {word} "p2"') == ([word], [], 0)
+    assert kind(f'"p1 ‘{word}’ p2" {word}') == ([word], [], 1)
+    assert kind(f"he was called a {word} by them") == ([], [word], 0)
+    assert kind(f"he called p1 p2 p3 p4 p5 p6 a {word}") == ([word], [], 0)
+    assert kind(f"he was called a {word} by them, p1 p2 p3 p4, you {word}") == ([word], [], 0)
+
+
+def test_reported_terms_are_no_abuse_unless_labels_say_so(learned, spark):
+    flagged = lambda text, model: toxicity.score_texts([text], model)[0] >= toxicity.THRESHOLD
+    assert not flagged("he was called a snarkhead by them", learned)
+    assert flagged("he is a snarkhead to them", learned)
+    rows = [(f"p{i} he was called a {('grumblewort', 'snarkhead', 'blathering')[i % 3]} p{i * 7 % 90} by p{i * 3 % 80}", True) for i in range(200)]
+    rows += [(f"p{i * 11 % 97} p{i * 7 % 90} by p{i * 3 % 80} was called p{i}", False) for i in range(400)]
+    assert flagged("he was called a snarkhead by them", toxicity.train(spark.createDataFrame(rows, "text string, toxic boolean")))
+
+
+def plain_score(text, model):
+    """The score from the model's tables alone: terms by edit distance, paragraphs and windows word by word."""
+    p_of = {}
+    words = toxicity.WORD.findall(text.lower())
+    for w in set(words):
+        near = [(edits(w, t), i, t) for i, t in enumerate(model.words) if edits(w, t) <= (toxicity.allowed_edits(t) if t in model.fuzzy else 0)]
+        if near and min(near)[0] == 0:
+            p_of[w] = model.member.get(w, model.weight[w])
+        elif near and w not in model.innocent:
+            p_of[w] = model.weight[min(near)[2]] * model.fuzzy.get(min(near)[2], 0.0) / min(near)[0]
+    used, reported, quotes = {}, {}, 0
+    for paragraph in re.split(r"\n\s*\n", text.lower()):
+        inside = [m.span() for m in re.finditer(r'(?<!\S)"(?=\S)[^"]*(?<=\S)"(?!\w)', paragraph)]
+        found = list(re.finditer(r"\w+", paragraph))
+        for i, m in enumerate(found):
+            if m.group() not in p_of:
+                continue
+            if any(a < m.start() < b for a, b in inside):
+                quotes += 1
+            elif {f.group() for f in found[max(0, i - toxicity.WINDOW) : i]} & toxicity.REPORTING:
+                reported[m.group()] = p_of[m.group()]
+            else:
+                used[m.group()] = p_of[m.group()]
+    reported = {w: p for w, p in reported.items() if w not in used}
+
+    def odds(terms):
+        return [math.log(p / (1 - p)) for p in (min(max(p, 0.01), 0.99) for p in terms.values())]
+
+    a, b = odds(used), odds(reported)
+    x = [min(sum(a), 20.0), max([*a], default=0.0), math.log1p(len(a)), min(sum(b), 20.0), math.log1p(len(b))]
+    score = 1 / (1 + math.exp(-min(30.0, max(-30.0, model.bias + sum(s * f for s, f in zip(model.slopes, x))))))
+    return max(score, model.quoted) if quotes and not used and not reported else score
+
+
+def test_scores_are_those_of_a_plain_version(learned):
+    assert not learned.stems
+    deal = random.Random(5)
+    kinds = ["p1", "p2", "p3", "called", "said", "snarkhead", "grumblewort", "blathering", "snarkhed", "grumblwortt", "blatherng", "snaxxxead", "You"]
+    texts = [""]
+    for _ in range(300):
+        parts = [deal.choice(kinds) for _ in range(deal.randint(1, 24))]
+        for _ in range(deal.randint(0, 2)):
+            a, b = sorted(deal.sample(range(len(parts) + 1), 2))
+            if not any('"' in p or "\n" in p for p in parts[a:b]):
+                parts[a], parts[b - 1] = '"' + parts[a], parts[b - 1] + '"'
+        if deal.random() < 0.3:
+            parts.insert(0, "p5\n \n p6")
+        texts.append(" ".join(parts))
+    assert toxicity.score_texts(texts, learned) == pytest.approx([plain_score(t, learned) for t in texts], abs=1e-9)
+
+
 def test_every_term_is_matched_with_edits(spark):
     """More terms than a few hundred, and words of a family that a stem covers."""
     letters = "bcdfghjklmnpqrstvwxz"
@@ -312,6 +396,8 @@ def test_toxicity_lines(spark, learned, edge, nothing):
     assert toxicity.score_documents(nothing, learned).count() == 0
     clean = toxicity.drop_toxic(edge, learned)
     assert clean.columns == edge.columns and clean.count() == 10
+    other = toxicity.drop_toxic(edge.selectExpr("*", "7 AS _toxicity"), learned)
+    assert other.columns == [*edge.columns, "_toxicity"] and {r._toxicity for r in other.collect()} == {7}
 
 
 def test_held_out_rows_are_not_learned_from(spark):
