@@ -160,24 +160,37 @@ def test_rank_matches_brute_force(spark):
     data = [(c, start, v, 1.0, 2.0, 3.0, 4.0, 5.0, 6.0, 0.0) for c, v in levels.items()]
     df = with_calendar(spark.createDataFrame(data, SCHEMA))
     want = {c: 1 + sum(w > v for w in levels.values()) for c, v in levels.items()}
-    for coalesce in ("true", "false"):  # one range, and as many as there are shuffle partitions
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
-        try:
-            assert {r.city: r.aqi_rank for r in rankings.rank_groups(df).collect()} == want
-        finally:
-            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ranked = rankings.rank_groups(df)
+    assert {r.city: r.aqi_rank for r in ranked.collect()} == want
+    assert [c for c in ranked.columns] == ["aqi_rank", "city", "avg_aqi", "avg_pm2_5", "avg_pm10"]
+
+
+def test_rank_reads_its_input_once_and_writes_nothing(spark, tmp_path):
+    from pathlib import Path
+
+    obs(spark, 5.0, city="a").unionByName(obs(spark, None, city="b")).unionByName(obs(spark, float("nan"), city="c")).unionByName(
+        obs(spark, 1e16, 3.0, city="d")
+    ).write.parquet(str(tmp_path / "obs"))
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.glob("*"))
+    read = spark.read.parquet(str(tmp_path / "obs"))
+    ranked = rankings.rank_groups(read)
+    assert {r.city: r.aqi_rank for r in ranked.collect()} == {"b": 1, "c": 2, "d": 3, "a": 4}
+    assert set(shared.glob("*")) == before
+    final = ranked._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "CartesianProduct" not in final and "NestedLoop" not in final and final.count("FileScan") == 1
+    assert rankings.rank_groups(read.limit(0)).collect() == []
 
 
 def test_scratch_tables_can_be_dropped(spark):
     from pathlib import Path
 
-    from skylog.operators.rankings import rank_groups
-    from skylog.session import drop_scratch
+    from skylog.session import drop_scratch, materialise
 
     shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
     drop_scratch(spark)
     before = set(shared.glob("*"))
-    ranked = rank_groups(spark.createDataFrame([("a", 1.0, 1.0, 1.0), ("b", 2.0, 1.0, 1.0)], "city string, us_aqi double, pm2_5 double, pm10 double"))
-    assert [r.aqi_rank for r in ranked.collect()] == [1, 2] and len(set(shared.glob("*")) - before) == 2
+    written = [materialise(spark.range(n), "counted") for n in (2, 3)]
+    assert [w.count() for w in written] == [2, 3] and len(set(shared.glob("*")) - before) == 2
     drop_scratch(spark)
     assert set(shared.glob("*")) == before
