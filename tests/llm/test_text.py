@@ -9,6 +9,7 @@ import re
 import textwrap
 import zlib
 
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -207,6 +208,67 @@ def test_a_wrapped_sentence_that_differs_is_not_known(spark):
     assert all(r.licences == [] for r in licenses.recognise(spark.createDataFrame(rows, "doc_id long, text string")).collect())
 
 
+SHORT = {
+    "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:""",
+    "LGPL-2.1-or-later": """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.""",
+    "GPL-2.0-only": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.",
+    "AGPL-3.0-only": "GNU AFFERO GENERAL PUBLIC LICENSE\n\nVersion 3, 19 November 2007",
+    "CC-BY-NC-SA-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "CC-BY-SA-3.0": "Released under CC BY-SA 3.0",
+    "MPL-2.0": "SPDX-License-Identifier: MPL-2.0",
+    "EPL-2.0": "Distributed under the Eclipse Public License v2.0",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "0BSD": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+}
+
+
+def test_short_notices_and_what_only_looks_like_one(spark):
+    rows = [(name, wrapped(text, prefix, width)) for name, text in SHORT.items() for prefix in ("", " * ", "# ") for width in (40, 79)]
+    rows += [(name, f"3) {text}" if "." in text[:300] else text) for name, text in SHORT.items()]
+    lines = [f"{begin} {text}" for text in ("Released under CC BY-SA 3.0", "SPDX-License-Identifier: MPL-2.0", "Version 3, 19 November 2007") for begin in ("It is not", "")]
+    rows += [("", line + " for the most part") for line in lines]
+    got = licenses.recognise(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert [(r.doc_id, r.licences) for r in got] == [(name, [name] if name else []) for name, _ in rows]
+
+
+def test_rule_base_tells_licences_apart():
+    assert len(set(licenses.SENTENCES.values())) == len(licenses.SENTENCES)
+    assert all(len(s.split()) > 1 and re.fullmatch("[a-z0-9]+( [a-z0-9]+)*", s) for s in licenses.SENTENCES.values())
+    assert licenses.LINES <= set(licenses.SENTENCES) and {s for _, names in licenses.RULES for s in names} <= set(licenses.SENTENCES)
+    pattern = re.compile(licenses.any_of(licenses.SENTENCES.values()))
+    assert all(pattern.match(s).group() == s for s in licenses.SENTENCES.values())
+
+
+def test_licences_of_wrapped_and_mixed_texts_agree_with_sql(spark):
+    """The SQL looks words up one by one; here it meets notices wrapped, cut, repeated and run together."""
+    import duckdb
+
+    pick = random.Random(7)
+    notices = [*PUBLISHED.values(), *SHORT.values()]
+    filler = ["Some words here.", "a heading", "v. 3", "1.", "b", "Copyright (c) 2020: Someone; all of it", "", "Is it so? Yes!", "(the", "émigré. no"]
+    texts = [None, "", "\n", ".", "licensed under"]
+    for _ in range(400):
+        parts = []
+        for _ in range(pick.randint(1, 5)):
+            text = pick.choice(notices)
+            words = text.split(" ")
+            cut = pick.choice([len(words), len(words), pick.randint(1, len(words))])
+            parts.append(wrapped(" ".join(words[:cut]), pick.choice(["", " * ", "# ", "; "]), pick.choice([30, 72, 10_000])))
+            parts.append(pick.choice(filler))
+        texts.append(pick.choice(["\n", " ", "\n\n", "; "]).join(parts))
+    rows = list(enumerate(texts))
+    got = licenses.recognise(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    con = duckdb.connect()
+    con.register("given", pd.DataFrame(rows, columns=["doc_id", "text"]))
+    con.execute("CREATE VIEW documents AS SELECT doc_id, text::VARCHAR AS text FROM given")
+    want = {d: (li, n, k) for d, li, n, k in con.execute(f"SELECT doc_id, licences, n_sentences, n_known FROM ({licenses.oracle_sql()})").fetchall()}
+    assert len(got) == len(rows) and sum(bool(r.licences) for r in got) > 200
+    differ = [(r.doc_id, texts[r.doc_id], (",".join(r.licences), r.n_sentences, r.n_known), want[r.doc_id]) for r in got]
+    assert [d for d in differ if d[2] != d[3]] == []
+
+
 def test_licences_agree_with_sql(spark):
     assert compare_with_sql(spark, connect(SF), "op6_licenses", SF) is None
 
