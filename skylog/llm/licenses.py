@@ -343,14 +343,20 @@ def oracle_sql(sentences: dict[str, str] = SENTENCES, lines: frozenset[str] = LI
         g AS (SELECT *, sum(length(w) + 1) OVER o - length(w) - 1 AS pos, lead(w) OVER o AS w2, lead(w) OVER o IS NULL OR after ~ '.*[SNC].*' AS ends,
                      coalesce(lag(after) OVER o ~ '.*[SNC].*', true) AS starts, sum((after LIKE '%S%')::INT) OVER o - (after LIKE '%S%')::INT AS stops
               FROM t WINDOW o AS (PARTITION BY r ORDER BY place)),
-        h AS (SELECT *, NOT starts AND lag(starts AND w ~ '[0-9]{{1,2}}|[a-z]' AND after = ' ') OVER (PARTITION BY r ORDER BY place) AS numbered FROM g),
         f AS (SELECT r, string_agg(w, ' ' ORDER BY place) AS words FROM t GROUP BY r),
-        c AS (SELECT h.r, h.place - (NOT anywhere AND numbered)::INT AS a, h.pos + length(sentence) AS until, h.stops, starts OR numbered AS begun, sentence, id, anywhere
-              FROM h JOIN k USING (w, w2) JOIN f ON f.r = h.r WHERE substr(words, (h.pos + 1)::BIGINT, length(sentence)) = sentence),
-        e AS (SELECT c.r, a, h.place AS z, id, anywhere FROM c JOIN h ON h.r = c.r AND h.pos + length(h.w) = until AND h.stops = c.stops WHERE anywhere OR (begun AND ends)
-              QUALIFY row_number() OVER (PARTITION BY c.r, a, anywhere ORDER BY length(sentence) DESC) = 1),
-        e1 AS (SELECT * FROM e QUALIFY a > coalesce(max(z) OVER (PARTITION BY r, anywhere ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)),
-        s AS (SELECT * FROM e1 WHERE anywhere OR NOT EXISTS (SELECT 1 FROM e1 x WHERE x.anywhere AND x.r = e1.r AND x.a <= e1.z AND x.z >= e1.a)),
+        c AS (SELECT g.*, pos + length(sentence) AS until, sentence, id, anywhere
+              FROM g JOIN k USING (w, w2) JOIN f ON f.r = g.r WHERE substr(words, (pos + 1)::BIGINT, length(sentence)) = sentence),
+        e AS (SELECT c.r, c.place AS a, g.place AS z, sentence, id, anywhere FROM c JOIN g ON g.r = c.r AND g.pos + length(g.w) = until AND g.stops = c.stops),
+        e1 AS (SELECT * FROM e WHERE anywhere QUALIFY row_number() OVER (PARTITION BY r, a ORDER BY length(sentence) DESC) = 1),
+        s1 AS (SELECT r, a, z, id FROM e1 QUALIFY a > coalesce(max(z) OVER (PARTITION BY r ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)),
+        h AS (SELECT g.r, place, starts OR b.r IS NOT NULL AS starts, ends OR n.r IS NOT NULL AS ends, regexp_matches(w, '^([0-9]{{1,2}}|[a-z])$') AND after = ' ' AS numbers
+              FROM g LEFT JOIN s1 b ON b.r = g.r AND b.z = place - 1 LEFT JOIN s1 n ON n.r = g.r AND n.a = place + 1),
+        e2 AS (SELECT e.r, e.a - (NOT b.starts)::INT AS a, z, id, sentence FROM e JOIN h b ON b.r = e.r AND b.place = e.a JOIN h y ON y.r = e.r AND y.place = z
+               LEFT JOIN h n ON n.r = e.r AND n.place = e.a - 1 WHERE NOT anywhere AND y.ends AND (b.starts OR (n.starts AND n.numbers))
+               AND NOT EXISTS (SELECT 1 FROM s1 x WHERE x.r = e.r AND x.a <= e.z AND x.z >= e.a)),
+        e3 AS (SELECT * FROM e2 QUALIFY row_number() OVER (PARTITION BY r, a ORDER BY length(sentence) DESC) = 1),
+        s AS (SELECT * FROM s1 UNION ALL
+              SELECT r, a, z, id FROM e3 QUALIFY a > coalesce(max(z) OVER (PARTITION BY r ORDER BY a ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)),
         u AS (SELECT t.*, s.id IS NOT NULL AS held FROM t LEFT JOIN s ON s.r = t.r AND t.place BETWEEN s.a AND s.z WHERE t.r IN (SELECT r FROM s)),
         v AS (SELECT *, coalesce(lag(after ~ '.*[SNC].*' OR held) OVER (PARTITION BY r ORDER BY place), true)::INT AS fresh FROM u),
         y AS (SELECT *, sum(fresh) OVER (PARTITION BY r ORDER BY place) AS piece FROM v),
