@@ -249,3 +249,19 @@ def test_many_small_files(spark, tmp_path):
     report = ingestion_coverage(spark, PayloadFolder(str(tmp_path), AIR_MEASURES), cities(spark, *names))
     assert report.count() == 300 and report.where("landed").count() == 300
     assert report.where("city = 'C0'").first().records == 3
+
+
+def test_landed_files_are_written_by_tasks_under_their_names(spark, tmp_path):
+    from checks.bindings import land
+
+    docs = spark.createDataFrame([("a", '{"a": "é"}'), ("b 50%", "{}"), ("a", "second")], "name string, raw string").repartition(3)
+    folder = tmp_path / "some folder"
+    land(docs, str(folder), F.concat("name", F.lit("_20250103_000000.json")))
+    # Nothing else is left behind, and names are not spelled as folders of partitions are.
+    assert sorted(os.listdir(folder)) == ["a_20250103_000000.json", "b 50%_20250103_000000.json"]
+    assert (folder / "b 50%_20250103_000000.json").read_bytes() == b"{}\n"
+    both = (folder / "a_20250103_000000.json").read_text(encoding="utf-8").splitlines()
+    assert sorted(both) == ["second", '{"a": "é"}']
+
+    land(docs.limit(0), str(tmp_path / "none"), F.col("name"))
+    assert os.listdir(tmp_path / "none") == []
