@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -96,3 +97,20 @@ def test_empty_table(spark, nothing):
 
 def test_documents(spark, documents):
     assert lines(documents) == truth([(r.doc_id, r.text) for r in documents.collect()], 400)
+
+
+def test_a_piece_takes_little_memory():
+    rng = np.random.default_rng(2)
+    pair = [rng.integers(97, 123, 500).astype(np.uint8).tobytes() for _ in range(2)]
+    groups = [pair] * (suffix_dedup.PIECE // 1000)
+
+    def peak(work) -> int:
+        tracemalloc.start()
+        work()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return most
+
+    # Six tasks of an executor share about a gigabyte beside the heap.
+    assert peak(lambda: suffix_dedup.shared_starts(groups, 400)) < 60 << 20
+    assert peak(lambda: suffix_dedup._anchors(np.frombuffer(b"".join(map(b"".join, groups)), np.uint8), 400, suffix_dedup.ANCHOR)) < 60 << 20
