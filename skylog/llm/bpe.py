@@ -67,11 +67,11 @@ class PairEncoder:
         for token, i in spelled.items():
             self.automaton.add_word(token, (len(token), i))
         self.automaton.make_automaton()
-        self.compatible: dict[tuple[int, int], bool] = {}
+        self.compatible: dict[int, bool] = {}  # a number takes half the memory of a pair
 
     def fits(self, left: int, right: int) -> bool:
         """Whether merging leaves the border between two tokens open."""
-        key = (left, right)
+        key = left << 32 | right
         known = self.compatible.get(key)
         if known is None:
             if len(self.compatible) >= PAIRS:

@@ -98,7 +98,7 @@ def sketch(docs: DataFrame) -> DataFrame:
             "signature": [small[i].tobytes() if there else None for i, there in enumerate(present)],
         }
 
-    return arrow_rows(docs, work, "doc_id long, words binary, bands array<long>, signature binary", rows=1024)
+    return arrow_rows(docs, work, "doc_id long, words binary, bands array<long>, signature binary", rows=512)
 
 
 def verify(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:

@@ -14,7 +14,7 @@ import numpy as np
 
 WORDS = 5
 # Texts go through in pieces of about this many bytes, cut at white space.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1

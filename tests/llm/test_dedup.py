@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import tracemalloc
 from collections import defaultdict
 
 import numpy as np
@@ -157,3 +158,15 @@ def test_block_pairs_bring_every_pair_together_once(spark):
                 met[tuple(sorted((a, b)))] += i == j or x != y
     assert all(met[(a, b)] == 1 for a in range(40) for b in range(a + 1, 40))
     assert all(met[(a, b)] == 1 for a in range(40, 50) for b in range(a + 1, 50))
+
+
+def test_hashes_of_words_take_little_memory():
+    texts = [b"some words of a text that goes on" * 1000] * 64
+    shingles._powers.clear()
+    tracemalloc.start()
+    shingles.word_hashes(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # A worker keeps the tables, and the rest of its life goes on beside them.
+    assert most < 40 << 20
+    assert sum(t.nbytes for t in shingles._powers) < 5 << 20
