@@ -100,6 +100,6 @@ def test_planted_links_where_nodes_are_split_on_the_cluster(spark):
 
 
 def test_blocks_of_a_component_part_again(spark):
-    members = spark.range(10).selectExpr("1L AS component", "id", "1L AS copies", "array(1.0D, cast(id AS double)) AS vector")
+    members = spark.range(10).selectExpr("id DIV 10 + 1 AS component", "id", "1L AS copies", "array(1.0D, cast(id AS double)) AS vector")
     plan = vector_forest._link_counts(members)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"Exchange hashpartitioning\(component#\d+L, i#\d+, j#\d+, \d+\), REPARTITION_BY_COL", plan)
