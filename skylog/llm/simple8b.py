@@ -36,6 +36,8 @@ COUNTS = np.array([0, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1])
 WIDTHS = np.array([0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 64])
 ESCAPE = 15
 MARGIN = 64
+# Chunks whose ids a worker keeps, in each of two generations; some 250 MB in all.
+KEPT = 1_000_000
 # A line of a token file holds about this many characters of text, and at least one document.
 LINE = 1 << 20
 
@@ -80,32 +82,33 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     bits = _SMALL[grid] if small else np.searchsorted(_POWERS, grid, "right").astype(np.uint8)
     selector = _selectors(bits)
 
-    lane, at, word = np.arange(blocks), np.zeros(blocks, np.int64), np.zeros(blocks, np.int64)
-    steps = []
-    while len(lane):
-        chosen = selector[lane, at]
-        steps.append((lane, at, word, chosen))
-        at, word = at + COUNTS[chosen], word + 1 + (chosen == ESCAPE)
-        going = at < lengths[lane]
+    # Places in the grid, row by row: every block walks from word to word, all of them at once.
+    flat, selector = grid.reshape(-1), np.pad(selector, ((0, 0), (0, MARGIN))).reshape(-1)
+    step = COUNTS[selector]
+    at, end = np.arange(blocks) * (BLOCK + MARGIN), np.arange(blocks) * (BLOCK + MARGIN) + lengths
+    begins = np.zeros(len(flat), bool)
+    while len(at):
+        begins[at] = True
+        at = at + step.take(at)
+        going = at < end
         if not going.all():
-            lane, at, word = lane[going], at[going], word[going]
-    if not steps:
-        return np.empty(0, "<u8"), np.empty(0, "<u4")
-    lane, at, word, chosen = (np.concatenate(column) for column in zip(*steps))
-    used = np.zeros(blocks, np.int64)
-    np.maximum.at(used, lane, word + 1 + (chosen == ESCAPE))
-    offsets = np.cumsum(used) - used
-    words = np.zeros(int(used.sum()), _U)
-    place = offsets[lane] + word
-    for s in np.unique(chosen):
-        here = chosen == s
+            at, end = at[going], end[going]
+    at = np.flatnonzero(begins)
+    chosen = selector[at]
+    sizes = 1 + (chosen == ESCAPE)
+    place = np.cumsum(sizes) - sizes
+    offsets = place[np.searchsorted(at, np.arange(blocks) * (BLOCK + MARGIN))]
+    words = np.zeros(int(sizes.sum()), _U)
+    for s in np.flatnonzero(np.bincount(chosen)):
+        here = np.flatnonzero(chosen == s)
         if s == ESCAPE:
             words[place[here]] = _U(ESCAPE) << _U(60)
-            words[place[here] + 1] = grid[lane[here], at[here]]
+            words[place[here] + 1] = flat[at[here]]
             continue
-        each = np.arange(COUNTS[s])
-        held = grid[lane[here, None], at[here, None] + each] << (each * WIDTHS[s]).astype(_U)
-        words[place[here]] = np.bitwise_or.reduce(held, axis=1) | (_U(s) << _U(60))
+        held = np.full(len(here), _U(s) << _U(60))
+        for i in range(COUNTS[s]):
+            held |= flat.take(at[here] + i) << _U(i * WIDTHS[s])
+        words[place[here]] = held
     return words.astype("<u8"), offsets.astype("<u4")
 
 
@@ -136,7 +139,7 @@ def unpack(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
 
 
 # Where a byte-level pre-token may end: a space belongs to the run after it, other white space to itself.
-_CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+CHUNKS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
 # The pre-tokens of a chunk of ASCII, as the byte-level pattern has them.
@@ -163,7 +166,7 @@ class TextEncoder:
         self.code = [i.to_bytes(4, "little") for i in range(max(self.tokenizer.get_vocab().values()) + 1)]
         self.letters = dict(enumerate(byte_alphabet()))
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.known = ChunkIds(self._chunk)
+        self.known = ChunkIds(self._chunk, KEPT)
 
     def _word(self, word: str) -> bytes:
         if word.isascii() and word.isprintable():  # of these only the space has another letter
@@ -195,7 +198,7 @@ class TextEncoder:
         gc.disable()
         try:
             return [
-                np.array(self._whole(t), "<u4").tobytes() if any(a in t for a in self.added) else self.known.of_text(t, _CHUNK)
+                np.array(self._whole(t), "<u4").tobytes() if any(a in t for a in self.added) else self.known.of_text(t, CHUNKS)
                 for t in texts
             ]
         finally:

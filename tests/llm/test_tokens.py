@@ -135,3 +135,28 @@ def test_every_code_point_is_coded_as_the_library_does(word_bpe):
     wanted = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
     own = bpe.WordTokenizer(word_bpe).encode(texts)
     assert [i for i, (a, b) in enumerate(zip(own, wanted)) if np.frombuffer(a, "<u4").tolist() != b] == []
+
+
+def test_words_hold_the_first_ids_that_fit():
+    ids = np.concatenate([np.arange(3000) % 7, np.array([1 << 63, 1, 1 << 61, 0]), np.arange(5000) * 977 % 50000]).astype(np.uint64)
+    words, offsets = [], []
+    for start in range(0, len(ids), simple8b.BLOCK):
+        offsets.append(len(words))
+        block = [int(i) for i in ids[start : start + simple8b.BLOCK]]
+        at = 0
+        while at < len(block):
+            for s in range(1, simple8b.ESCAPE):
+                held = (block[at:] + [0] * simple8b.MARGIN)[: simple8b.COUNTS[s]]
+                if max(held).bit_length() <= simple8b.WIDTHS[s]:
+                    words.append(s << 60 | sum(i << k * int(simple8b.WIDTHS[s]) for k, i in enumerate(held)))
+                    at += len(held)
+                    break
+            else:
+                words += [simple8b.ESCAPE << 60, block[at]]
+                at += 1
+    made = simple8b.pack(ids)
+    assert made[0].tolist() == words and made[1].tolist() == offsets
+
+
+def test_token_files_keep_a_million_chunks(byte_bpe):
+    assert simple8b._encoder(byte_bpe).known.kept >= 1_000_000
