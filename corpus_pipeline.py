@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from skylog.llm import bpe, exact_dedup, mixing, probminhash, toxicity
 from skylog.llm.common import materialise, table
 
+# Chunks whose ids a worker keeps, in each of two generations; it holds what the stages before have left there too.
+KEPT = 100_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -40,7 +43,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A line per mixed document: ``doc_id, n_tokens, ids_sha256, decoded_sha256, ids``."""
-    return bpe.round_trip_digests(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True)
+    return bpe.round_trip_digests(docs, public_tokenizers.path("word_bpe_49k.json"), keep_ids=True, kept=KEPT)
 
 
 STAGES: list[tuple[str, Stage]] = [

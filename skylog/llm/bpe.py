@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from skylog.llm.chunks import SPACE, ChunkIds, byte_alphabet
+from skylog.llm.chunks import KEPT, SPACE, ChunkIds, byte_alphabet
 from skylog.llm.common import arrow_rows
 
 # Stands for the end of a word within the automaton; the byte alphabet does not have it.
@@ -133,7 +133,7 @@ class PairEncoder:
 class WordTokenizer:
     """A tokenizer file with word ends: NFC, white space dropped, lower case, byte-level pairs; decoding joins tokens by a space."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, kept: int = KEPT) -> None:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         model = spec["model"]
@@ -144,7 +144,7 @@ class WordTokenizer:
         self.words = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
         self.normalizer, self.pre_tokenizer = (lambda t: (t.normalizer, t.pre_tokenizer))(Tokenizer.from_file(path))
         self.chunk = re.compile(f"[^{SPACE}]+")
-        self.known = ChunkIds(self._chunk)
+        self.known = ChunkIds(self._chunk, kept)
         tokens = {**{i: t for t, i in model["vocab"].items()}, **{i: t for t, i in self.added.items()}}
         size = max(tokens) + 1
         self.spelled = self._table([tokens.get(i, "").encode() + b" " for i in range(size)])
@@ -205,8 +205,8 @@ class WordTokenizer:
 
 
 @lru_cache(maxsize=2)
-def _tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+def _tokenizer(path: str, kept: int = KEPT) -> WordTokenizer:
+    return WordTokenizer(path, kept)
 
 
 def _blocks(docs: DataFrame, work, schema: str, id_column: str, text_column: str) -> DataFrame:
@@ -234,15 +234,16 @@ def decode_documents(coded: DataFrame, tokenizer: str) -> DataFrame:
     return arrow_rows(coded.select("doc_id", "ids"), work, "doc_id long, text string")
 
 
-def round_trip_digests(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text", keep_ids: bool = False) -> DataFrame:
+def round_trip_digests(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_column: str = "text", keep_ids: bool = False, kept: int = KEPT) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` per row, and with ``keep_ids`` the ``ids``.
 
     The hashes are of the ids in decimal, joined by a space, and of the decoded
-    text. Decoded texts do not leave the task.
+    text. Decoded texts do not leave the task. A Python worker keeps the ids of
+    up to twice ``kept`` chunks, which cost memory and spare time.
     """
 
     def work(block: dict[str, list]) -> dict[str, list]:
-        words = _tokenizer(tokenizer)
+        words = _tokenizer(tokenizer, kept)
         coded = [np.frombuffer(c, "<u4") for c in words.encode([t or "" for t in block["text"]])]
         return {
             "doc_id": block["doc_id"],

@@ -160,3 +160,13 @@ def test_words_hold_the_first_ids_that_fit():
 
 def test_token_files_keep_a_million_chunks(byte_bpe):
     assert simple8b._encoder(byte_bpe).known.kept >= 1_000_000
+
+
+def test_the_pipeline_keeps_fewer_chunks(spark, monkeypatch, tmp_path):
+    import corpus_pipeline
+
+    made = []
+    monkeypatch.setattr(bpe, "round_trip_digests", lambda *a, **options: made.append(options))
+    corpus_pipeline.encode(spark, None, str(tmp_path))
+    assert 2 * made[0]["kept"] <= 200_000
+    assert bpe._tokenizer(corpus_pipeline.public_tokenizers.path("word_bpe_49k.json"), 7).known.kept == 7
