@@ -12,8 +12,10 @@ bringing the counts back, moves a line per pair and chunk and not one per link.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -26,17 +28,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skylog.llm.chunks import ChunkIds, byte_alphabet
+from skylog.llm.chunks import PIECE, SPACE, ChunkIds, byte_alphabet
 from skylog.llm.common import arrow_rows, importable, materialise
-from skylog.llm.simple8b import TextEncoder
+from skylog.llm.simple8b import CHUNKS, TextEncoder
 
 # Characters of text after which a chunk is full; a longer text is a chunk of its own.
 CHUNK = 1 << 20
-# Chunks of text whose ids are kept, in each of two generations.
+# Words of text whose ids of both sides are kept, in each of two generations, and chunks of side A beside them.
 KEPT = 300_000
-# An id of side B is below this, so that a pair of ids is one number.
+KEPT_A = 50_000
+# An id of side B is below this, so that a pair of ids is one number; added to it, it marks it as of side B.
 RADIX = 1 << 31
 
+# White space that a word can begin with; it may belong to a run that began before the space.
+BLANK = frozenset(re.findall(f"[{SPACE}]", "".join(map(chr, range(1 << 14)))))
+
 SCHEMA = (
     "part int, place long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
     "groups_sha256 array<string>, pairs array<long>, counts array<long>, links binary"
@@ -52,7 +58,7 @@ class Sides:
         self.a = TextEncoder(byte_level)
         self.a.tokenizer.encode_special_tokens = True
         self.a.added = []  # their strings are plain text here
-        self.a.known = ChunkIds(self._spelling, KEPT)
+        self.a.known = ChunkIds(self._spelling, KEPT_A)
         code = {c: b for b, c in enumerate(byte_alphabet())}
         with open(byte_level, encoding="utf-8") as file:
             told = json.load(file)
@@ -68,23 +74,55 @@ class Sides:
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
         self.a_size = np.array([len(x) for x in self.a_bytes])
         self.b_size = np.array([len(x) for x in self.b_bytes])
+        self.known = ChunkIds(self._word, KEPT)
+        self.by_word = self._cuttable()
+
+    def _cuttable(self) -> bool:
+        """Whether side B spells a text by its words: no piece goes on after a space that follows something else."""
+        tokens = [self.b.id_to_piece(i) for i in range(self.b.piece_size())]
+        return not any("▁" in token.lstrip("▁") for token in tokens) and self.b.encode("a b") == self.b.encode("a") + self.b.encode("b")
 
     def _spelling(self, chunk: str) -> bytes:
         """Ids of a run of text, or none if they do not spell it; a text with such a run is too short in bytes."""
         ids = self.a._chunk(chunk)
         return ids if b"".join(map(self.a_bytes.__getitem__, array("I", ids))) == chunk.encode() else b""
 
+    def _word(self, word: str) -> bytes:
+        """Ids of both sides for a space and a word, those of side B marked; none if a side does not spell them, or white space may go on."""
+        chunk = " " + word
+        if not word or word[0] in BLANK:
+            return b""
+        a = self.a._chunk(chunk) if word.isalpha() else self.a.known.of_text(chunk, CHUNKS)
+        b = self.b.encode(word)
+        spelled = chunk.encode()
+        if b"".join(map(self.a_bytes.__getitem__, array("I", a))) != spelled or b"".join(map(self.b_bytes.__getitem__, b)) != spelled:
+            return b""
+        return a + array("I", [RADIX + i for i in b]).tobytes()
+
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of both sides; none where a text is empty or a side does not spell space and text."""
-        none = np.empty(0, np.int64)
-        for text, a in zip(texts, self.a.encode([" " + t for t in texts])):
-            whole = (" " + text).encode()
-            a = np.frombuffer(a, np.uint32).astype(np.int64)
-            b = self.b.encode(text, num_threads=1) if text else []
-            if text and self.a_size[a].sum() == len(whole) and b"".join(map(self.b_bytes.__getitem__, b)) == whole:
-                yield a, np.array(b, np.int64)
-            else:
-                yield none, none
+        collecting = gc.isenabled()
+        gc.disable()  # as in the encoder of side A
+        try:
+            return iter([self._text(t) for t in texts])
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _text(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Word by word where that spells the text, else whole."""
+        if self.by_word and len(text) <= PIECE:
+            ids = np.frombuffer(b"".join(map(self.known.__getitem__, text.split(" "))), np.uint32)
+            of_b = ids >= RADIX
+            a, b = ids[~of_b].astype(np.int64), ids[of_b].astype(np.int64) - RADIX
+            if self.a_size[a].sum() == len(text.encode()) + 1 == self.b_size[b].sum():
+                return a, b
+        whole = (" " + text).encode()
+        a = np.frombuffer(self.a.encode([" " + text])[0], np.uint32).astype(np.int64)
+        b = self.b.encode(text, num_threads=1) if text else []
+        if text and self.a_size[a].sum() == len(whole) and b"".join(map(self.b_bytes.__getitem__, b)) == whole:
+            return a, np.array(b, np.int64)
+        return np.empty(0, np.int64), np.empty(0, np.int64)
 
 
 @lru_cache(maxsize=1)
@@ -115,13 +153,16 @@ def _digits(ids: np.ndarray, after: np.ndarray) -> tuple[bytes, np.ndarray]:
         return b"", np.empty(0, np.int64)
     width = len(str(int(ids.max())))
     grid = np.empty((len(ids), width + 1), np.uint8)
-    rest = ids.copy()
+    small = rest = ids.astype(np.uint32)
     for column in range(width - 1, -1, -1):
-        rest, digit = np.divmod(rest, 10)
-        grid[:, column] = digit + 48
+        tens = rest // np.uint32(10)
+        grid[:, column] = rest - tens * np.uint32(10) + np.uint32(48)
+        rest = tens
     grid[:, width] = after
     shown = np.empty(grid.shape, bool)
-    shown[:, :width] = np.arange(width) >= width - np.maximum(np.searchsorted(10 ** np.arange(width), ids, "right"), 1)[:, None]
+    for column in range(width - 1):
+        shown[:, column] = small >= np.uint32(10 ** (width - 1 - column))
+    shown[:, width - 1] = True
     shown[:, width] = after > 0
     return grid[shown].tobytes(), np.cumsum(shown.sum(axis=1))
 

@@ -91,3 +91,34 @@ def test_documents(spark, sides, documents):
 
 def test_empty_table(spark, nothing):
     assert lines(nothing) == []
+
+
+def test_words_are_encoded_once_for_both_sides(sides, monkeypatch):
+    asked = []
+
+    class Model:
+        def encode(self, text, **_):
+            asked.append(text)
+            return model.encode(text)
+
+    model = sides.b
+    monkeypatch.setattr(sides, "b", Model())
+    found = list(sides.encode(["zyxel quark zyxel", "quark zyxel quark\n"]))
+    assert sorted(asked) == ["quark", "quark\n", "zyxel"]
+    assert [b.tolist() for _, b in found] == [model.encode("zyxel quark zyxel"), model.encode("quark zyxel quark\n")]
+
+
+@pytest.mark.parametrize("text", ["\xa0 \xa0", "a\n \nb", "a \n", "a\n b", "a ", " a", "a  b", "a▁ b", "▁ a", "\x00 a", "don't 'reason, a.b"])
+def test_words_spell_texts_as_the_libraries_do(sides, text):
+    library, model = Tokenizer.from_file(A), sentencepiece.SentencePieceProcessor(model_file=B)
+    a, b = library.encode(" " + text, add_special_tokens=False).ids, model.encode(text)
+    spelled = b"".join(sides.b_bytes[i] for i in b) == (" " + text).encode()
+    assert [x.tolist() for x in next(sides.encode([text]))] == ([a, b] if spelled else [[], []])
+
+
+def test_digits_are_spelled_whole():
+    import numpy as np
+
+    ids = np.array([0, 9, 10, 99, 100, 50256, 7])
+    text, ends = alignment._digits(ids, np.array([44, 44, 59, 124, 44, 44, 0]))
+    assert (text, ends.tolist()) == (b"0,9,10;99|100,50256,7", [2, 4, 7, 10, 14, 20, 21])
