@@ -20,6 +20,7 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from skylog.llm.chunks import SPACE, ChunkIds, byte_alphabet
+from skylog.llm.chunks import PIECE, SPACE, ChunkIds, byte_alphabet
 from skylog.llm.common import arrow_rows, importable
 
 BLOCK = 1024
@@ -40,6 +41,8 @@ MARGIN = 64
 KEPT = 1_000_000
 # A line of a token file holds about this many characters of text, and at least one document.
 LINE = 1 << 20
+# Lines that are encoded together.
+TOGETHER = 4
 
 _U = np.uint64
 _POWERS = _U(1) << np.arange(64, dtype=_U)
@@ -142,10 +145,40 @@ def unpack(words: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
 CHUNKS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 
 
+# White space of more than one byte in UTF-8.
+_WIDE = re.compile("[" + "".join(c for c in SPACE if c > "\x7f") + "]")
+# By byte: ASCII white space, marks that no letter shares a pre-token with, letters of ASCII, first of two bytes that are a letter (but for U+00D7 and U+00F7).
+_SPACES, _MARKS, _LETTERS, _LEADS = (
+    np.isin(np.arange(256), list(these))
+    for these in (b"\t\n\v\f\r ", b".,;:!?", bytes(range(65, 91)) + bytes(range(97, 123)), bytes([*range(0xC3, 0xCA), 0xD0, 0xD1]))
+)
+
 # The pre-tokens of a chunk of ASCII, as the byte-level pattern has them.
 _ASCII = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 
 
+def _begins(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where chunks begin in texts that lie one after the other in UTF-8, from ``starts`` on; their white space is all ASCII.
+
+    The chunks are those of ``CHUNKS``, cut once more between a letter and a mark.
+    """
+    space = _SPACES[data]
+    begins = np.zeros(len(data) + 1, bool)
+    begins[1:-1] = space[1:] & ~space[:-1]
+    into = space[:-1] & ~space[1:]  # white space, and a word behind it
+    into[starts[(starts > 0) & (starts < len(data))] - 1] = False
+    into = np.flatnonzero(into)
+    begins[into] = True
+    begins[into[data[into] != 32] + 1] = True
+    mark = np.flatnonzero(_MARKS[data])
+    mark = mark[mark > 1]
+    last, lead = data[mark - 1], data[mark - 2]
+    letter = _LETTERS[last] | (_LEADS[lead] & (last & 0xC0 == 0x80) & ((lead != 0xC3) | (last & 0xDF != 0x97)))
+    begins[mark[letter]] = True
+    begins[starts] = True
+    return np.flatnonzero(begins[:-1])
+
+
 class TextEncoder:
     """Ids of whole texts by the tokenizers library, chunk by chunk.
 
@@ -153,6 +186,9 @@ class TextEncoder:
     pre-tokenizer would spell it. One that is all of ASCII, or a word and a mark, is
     cut as that pre-tokenizer cuts it, and its parts are looked up in turn. Any
     other chunk goes through the whole library.
+
+    ``encode`` looks up every chunk of a text, ``encode_block`` every different one
+    of many texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -205,6 +241,28 @@ class TextEncoder:
             if collecting:
                 gc.enable()
 
+    def encode_block(self, texts: list[str]) -> list[bytes]:
+        """As ``encode``; chunks of all texts are told apart by Arrow, and each is looked up once."""
+        plain = [len(t) <= PIECE and (t.isascii() or not _WIDE.search(t)) and not any(a in t for a in self.added) for t in texts]
+        raw = [t.encode("utf-8") if p else b"" for t, p in zip(texts, plain)]
+        data, starts = b"".join(raw), np.cumsum([0, *map(len, raw)])
+        if not data:
+            return self.encode(texts)
+        begins = _begins(np.frombuffer(data, np.uint8), starts)
+        bounds = np.append(begins, len(data)).astype("<i4")
+        chunks = pa.Array.from_buffers(pa.string(), len(begins), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            known = pa.array(map(self.known.__getitem__, chunks.dictionary.to_numpy(zero_copy_only=False)), pa.binary())
+        finally:
+            if collecting:
+                gc.enable()
+        made = known.take(chunks.indices)
+        ids = memoryview(made.buffers()[2])
+        at = np.frombuffer(made.buffers()[1], "<i4")[np.searchsorted(begins, starts)].tolist()
+        return [bytes(ids[a:b]) if p else self.encode([t])[0] for t, p, a, b in zip(texts, plain, at, at[1:])]
+
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> TextEncoder:
@@ -244,8 +302,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, encoder = TaskContext.get().partitionId(), _encoder(tokenizer)
-        for place, (ids, texts) in enumerate(lines(batches)):
-            coded = [made + end for made in encoder.encode(texts)]
+
+        def encoded() -> Iterator[tuple[list, list[bytes]]]:
+            whole_lines = lines(batches)
+            while block := list(islice(whole_lines, TOGETHER)):
+                made = iter(encoder.encode_block([text for _, texts in block for text in texts]))
+                yield from [(ids, [next(made) + end for _ in ids]) for ids, _ in block]
+
+        for place, (ids, coded) in enumerate(encoded()):
             whole = np.frombuffer(b"".join(coded), "<u4")
             words, offsets = pack(whole)
             line = [part, place, ids, [len(c) // 4 for c in coded], len(whole), offsets.tobytes(), words.tobytes()]

@@ -46,6 +46,48 @@ def test_chunks_give_the_ids_of_whole_texts(texts, byte_bpe):
     assert [np.frombuffer(m, "<u4").tolist() for m in made] == [e.ids for e in whole]
 
 
+BLOCKS = [
+    "", "\n", " \n\n", "a", ", b", "é,à ×, ÷. ñ!", "a  \n", "\n\n b", "x\n\ny \tz\t", "Здравствуй, мир. ҂, Ҁ.", "a,b.c;d 'll. don't. I'm, x'. é'. …, “a”. ²,",
+    "a\x85b, c\xa0d", "\u3000", "́, q́. 漢, か.", "<|endoftext|> a, b", "end ", " ", "word.", ". word", "\x1c, a\x1f b", "\x00,a", "ab,", ",",
+]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aZéß×÷ЯҁҀ1².,;:!?'s-…“ \n\t\r\x0b\x1c\x85\xa0\u2003漢́🙂\x00"), max_size=14), max_size=6))
+def test_blocks_give_the_ids_of_whole_texts(byte_bpe, given_texts):
+    encoder = simple8b._encoder(byte_bpe)
+    for texts in (given_texts, BLOCKS, BLOCKS[::-1]):
+        whole = encoder.tokenizer.encode_batch(texts, add_special_tokens=False)
+        assert [np.frombuffer(m, "<u4").tolist() for m in encoder.encode_block(texts)] == [e.ids for e in whole]
+
+
+def test_a_block_looks_every_chunk_up_once(byte_bpe):
+    encoder = simple8b.TextEncoder(byte_bpe)
+    asked = []
+    encoder.known = type("Known", (dict,), {"__missing__": lambda self, chunk: asked.append(chunk) or encoder._chunk(chunk)})()
+    texts = ["some words, some more words. " * 50, "more words", ""]
+    made = encoder.encode_block(texts)
+    assert sorted(asked) == sorted({"some", " words", ",", " some", " more", ".", " ", "more"})
+    assert made == simple8b.TextEncoder(byte_bpe).encode(texts)
+
+
+def test_long_texts_of_a_block_are_cut_at_chunks(byte_bpe, monkeypatch):
+    monkeypatch.setattr("skylog.llm.chunks.PIECE", 50)
+    monkeypatch.setattr(simple8b, "PIECE", 50)
+    texts = ["short text, " * 4, "It's a  long\n\n text, that's cut " * 200, "short"]
+    whole = Tokenizer.from_file(byte_bpe).encode_batch(texts, add_special_tokens=False)
+    assert [np.frombuffer(m, "<u4").tolist() for m in simple8b.TextEncoder(byte_bpe).encode_block(texts)] == [e.ids for e in whole]
+
+
+def test_token_files_of_several_lines_in_a_block(spark, byte_bpe, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text, number {i}.  \n\n" * (i % 4)) for i in range(60)], "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(simple8b, "LINE", 100)
+    simple8b.write_tokens(docs, path := str(tmp_path / "lines"), byte_bpe)
+    tokenizer = Tokenizer.from_file(byte_bpe)
+    got = {r.doc_id: r.ids for r in simple8b.read_tokens(spark, path).collect()}
+    assert got == {r.doc_id: tokenizer.encode(r.text, add_special_tokens=False).ids + [0] for r in docs.collect()}
+
+
 def test_long_texts_are_cut_at_chunks(byte_bpe, word_bpe, monkeypatch):
     text = "It's a  long\n\n text, that's cut " * 200
     whole = Tokenizer.from_file(byte_bpe).encode(text, add_special_tokens=False).ids
