@@ -19,6 +19,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pandas as pd
@@ -29,14 +30,19 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skylog.llm.chunks import PIECE, SPACE, ChunkIds, byte_alphabet
-from skylog.llm.common import arrow_rows, importable, materialise
+from skylog.llm.common import arrow_rows, give_back, importable, materialise
 from skylog.llm.simple8b import CHUNKS, TextEncoder
 
 # Characters of text after which a chunk is full; a longer text is a chunk of its own.
 CHUNK = 1 << 20
 # Words of text whose ids of both sides are kept, in each of two generations, and chunks of side A beside them.
-KEPT = 300_000
-KEPT_A = 50_000
+KEPT = 200_000
+KEPT_A = 20_000
+# New words that go through both sides together, and how few go one by one.
+TOGETHER = 1 << 13
+FEW = 64
+# Characters of text whose tokens are aligned at a time; their pairs are counted by chunk.
+STEP = 1 << 18
 # An id of side B is below this, so that a pair of ids is one number; added to it, it marks it as of side B.
 RADIX = 1 << 31
 
@@ -75,6 +81,7 @@ class Sides:
         self.a_size = np.array([len(x) for x in self.a_bytes])
         self.b_size = np.array([len(x) for x in self.b_bytes])
         self.known = ChunkIds(self._word, KEPT)
+        self.ready: dict[str, bytes] = {}  # ids of new words that are not kept yet
         self.by_word = self._cuttable()
 
     def _cuttable(self) -> bool:
@@ -89,6 +96,8 @@ class Sides:
 
     def _word(self, word: str) -> bytes:
         """Ids of both sides for a space and a word, those of side B marked; none if a side does not spell them, or white space may go on."""
+        if (ids := self.ready.pop(word, None)) is not None:
+            return ids
         chunk = " " + word
         if not word or word[0] in BLANK:
             return b""
@@ -99,13 +108,47 @@ class Sides:
             return b""
         return a + array("I", [RADIX + i for i in b]).tobytes()
 
+    def _words(self, words: list[str]) -> None:
+        """Make the ids of new words ready, as ``_word`` has them; words that a side does not spell are left to it."""
+        of_b = self.b.encode(words, num_threads=1)
+        spelled = (" " + " ".join(words)).encode()
+        if b"".join([self.b_bytes[i] for ids in of_b for i in ids]) != spelled:
+            good = [b"".join(map(self.b_bytes.__getitem__, ids)) == (" " + w).encode() for w, ids in zip(words, of_b)]
+            words, of_b = list(compress(words, good)), list(compress(of_b, good))
+            spelled = (" " + " ".join(words)).encode()
+        if not words:
+            return
+        a = np.array(self.a.tokenizer.encode_batch_fast([spelled.decode()], add_special_tokens=False)[0].ids)
+        b = np.array([i for ids in of_b for i in ids])
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        end_a, end_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
+        last = np.searchsorted(end_a, ends)
+        if b"".join(map(self.a_bytes.__getitem__, a.tolist())) != spelled or (end_a[last] != ends).any():
+            return
+        # The ids of a word lie side by side, those of side A first.
+        order = np.argsort(np.concatenate([np.searchsorted(ends, end_a) * 2, np.searchsorted(ends, end_b) * 2 + 1]), kind="stable")
+        ids = np.concatenate([a, b + RADIX])[order].astype("<u4").tobytes()
+        upto = (4 * (last + 1 + np.cumsum(list(map(len, of_b))))).tolist()
+        self.ready.update((w, ids[start:end]) for w, start, end in zip(words, [0, *upto], upto))
+
+    def _prepare(self, texts: list[str]) -> None:
+        """Make the new words of texts ready, many together."""
+        known, old = self.known, self.known.old
+        seen = {w for t in texts if len(t) <= PIECE for w in t.split(" ")}
+        new = [w for w in seen if w and w not in known and w not in old and w[0] not in BLANK]
+        for at in range(0, len(new) if len(new) > FEW else 0, TOGETHER):
+            self._words(new[at : at + TOGETHER])
+
     def encode(self, texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of both sides; none where a text is empty or a side does not spell space and text."""
         collecting = gc.isenabled()
         gc.disable()  # as in the encoder of side A
         try:
+            if self.by_word:
+                self._prepare(texts)
             return iter([self._text(t) for t in texts])
         finally:
+            self.ready.clear()
             if collecting:
                 gc.enable()
 
@@ -185,8 +228,41 @@ def _spelled_groups(doc_a: np.ndarray, group_a: np.ndarray, ids_a: np.ndarray, d
     return made
 
 
+def _steps(texts: list[str]) -> Iterator[list[str]]:
+    """Texts in order, some at a time; at least one."""
+    step, size = [], 0
+    for text in texts:
+        step.append(text)
+        size += len(text)
+        if size >= STEP:
+            yield step
+            step, size = [], 0
+    if step:
+        yield step
+
+
 def align(sides: Sides, texts: list[str]) -> dict[str, list]:
     """Counts and group digests of every text, and the links of all as places in the table of distinct pairs."""
+    made: dict[str, list] = {name: [] for name in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256")}
+    tables, counted, places = [], [], []
+    for step in _steps(texts):
+        part, linked = _aligned(sides, step)
+        for name, values in part.items():
+            made[name] += values
+        pairs, place, counts = np.unique(linked, return_inverse=True, return_counts=True)
+        tables.append(pairs)
+        counted.append(counts)
+        places.append(place.astype("<u4"))
+    pairs, place = np.unique(np.concatenate(tables), return_inverse=True)
+    counts = np.zeros(len(pairs), np.int64)
+    np.add.at(counts, place, np.concatenate(counted))
+    to = np.split(place.astype("<u4"), np.cumsum([len(x) for x in tables])[:-1])
+    links = b"".join([whole[of_step].tobytes() for whole, of_step in zip(to, places)])
+    return made | {"pairs": pairs, "counts": counts, "links": zstandard.ZstdCompressor(level=1).compress(links)}
+
+
+def _aligned(sides: Sides, texts: list[str]) -> tuple[dict[str, list], np.ndarray]:
+    """Counts and group digests of every text, and the pair of ids of every link."""
     docs = len(texts)
     ids = list(sides.encode(texts))
     counts_a, counts_b = np.array([len(a) for a, _ in ids], np.int64), np.array([len(b) for _, b in ids], np.int64)
@@ -198,17 +274,14 @@ def align(sides: Sides, texts: list[str]) -> dict[str, list]:
     ends = np.intersect1d(end_a, end_b, assume_unique=True)
     group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
     group_doc = doc_a[np.searchsorted(end_a, ends)]
-    pairs, place, counts = np.unique(ids_a[link_a] * RADIX + ids_b[link_b], return_inverse=True, return_counts=True)
-    return {
+    made = {
         "n_a": counts_a.tolist(),
         "n_b": counts_b.tolist(),
         "n_groups": np.bincount(group_doc, minlength=docs).tolist(),
         "n_links": np.bincount(doc_a[link_a], minlength=docs).tolist(),
         "groups_sha256": _spelled_groups(doc_a, group_a, ids_a, doc_b, group_b, ids_b, docs),
-        "pairs": pairs,
-        "counts": counts,
-        "links": zstandard.ZstdCompressor(level=1).compress(place.astype("<u4").tobytes()),
     }
+    return made, ids_a[link_a] * RADIX + ids_b[link_b]
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list]]:
@@ -238,6 +311,8 @@ def aligned_chunks(docs: DataFrame, byte_level: str, piece_model: str) -> DataFr
         for place, (ids, texts) in enumerate(_chunks(batches)):
             line = {"part": part, "place": place, "doc_ids": ids, **align(sides, texts)}
             yield pa.RecordBatch.from_arrays([pa.array([line[f.name]], f.type) for f in target], schema=target)
+        ids = texts = line = None
+        give_back()
 
     importable(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -122,3 +122,48 @@ def test_digits_are_spelled_whole():
     ids = np.array([0, 9, 10, 99, 100, 50256, 7])
     text, ends = alignment._digits(ids, np.array([44, 44, 59, 124, 44, 44, 0]))
     assert (text, ends.tolist()) == (b"0,9,10;99|100,50256,7", [2, 4, 7, 10, 14, 20, 21])
+
+
+class Counted:
+    """A model that tells how often it was asked, and what."""
+
+    def __init__(self, model):
+        self.model, self.asked = model, []
+
+    def encode(self, text, **more):
+        self.asked.append(text)
+        return self.model.encode(text, **more)
+
+
+def test_new_words_go_through_together(sides, monkeypatch):
+    model = Counted(sides.b)
+    monkeypatch.setattr(sides, "b", model)
+    text = " ".join(f"wq{i:x}z'{i},\n" for i in range(2000))
+    (a, b), (again, _) = sides.encode([text, text])
+    assert len(model.asked) == 1 and len(model.asked[0]) == 2000 and not sides.ready
+    assert a.tolist() == again.tolist() == sides.a.tokenizer.encode(" " + text, add_special_tokens=False).ids
+    assert b.tolist() == model.model.encode(text)
+
+
+def test_words_made_together_are_those_made_alone(sides):
+    odd = ["ﬁn", "a▁b", "\x00c", "<|endoftext|>", "<s>", "\n\n", "é½", "日本語", "🙂", "don't", "x\t", "\u2028q", "<0x41>", "½"]
+    words = [f"{w}{i}" for i in range(20) for w in odd] + [f"{i}{w}" for i in range(20) for w in odd]
+    words = [w for w in words if w[0] not in alignment.BLANK]
+    sides._words(words)
+    ready = dict(sides.ready)
+    sides.ready.clear()
+    assert len(ready) > len(words) // 2
+    assert {w: sides._word(w) for w in ready} == ready
+    sides._words(["▁", "a▁b"])
+    assert not sides.ready
+
+
+def test_tokens_of_a_chunk_are_aligned_some_texts_at_a_time(sides, monkeypatch):
+    texts = [t or "" for _, t in TEXTS] + [f"the {i} quick brown foxes, " * 40 for i in range(300)]
+    whole = alignment.align(sides, texts)
+    sizes, overlaps = [], alignment.overlaps
+    monkeypatch.setattr(alignment, "overlaps", lambda a, b: sizes.append(len(a)) or overlaps(a, b))
+    monkeypatch.setattr(alignment, "STEP", 5_000)
+    parts = alignment.align(sides, texts)
+    assert len(sizes) > 50 and sorted(sizes)[-2] < 5_000
+    assert {k: list(v) for k, v in parts.items()} == {k: list(v) for k, v in whole.items()}
