@@ -118,8 +118,8 @@ class Sides:
             spelled = (" " + " ".join(words)).encode()
         if not words:
             return
-        a = np.array(self.a.tokenizer.encode_batch_fast([spelled.decode()], add_special_tokens=False)[0].ids)
-        b = np.array([i for ids in of_b for i in ids])
+        a = np.array(self.a.tokenizer.encode_batch_fast([spelled.decode()], add_special_tokens=False)[0].ids, np.int64)
+        b = np.array([i for ids in of_b for i in ids], np.int64)
         ends = np.cumsum([len(w.encode()) + 1 for w in words])
         end_a, end_b = np.cumsum(self.a_size[a]), np.cumsum(self.b_size[b])
         last = np.searchsorted(end_a, ends)
