@@ -311,8 +311,8 @@ def aligned_chunks(docs: DataFrame, byte_level: str, piece_model: str) -> DataFr
         for place, (ids, texts) in enumerate(_chunks(batches)):
             line = {"part": part, "place": place, "doc_ids": ids, **align(sides, texts)}
             yield pa.RecordBatch.from_arrays([pa.array([line[f.name]], f.type) for f in target], schema=target)
-        ids = texts = line = None
-        give_back()
+            ids = texts = line = None
+            give_back()
 
     importable(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
